@@ -20,18 +20,27 @@ _TAG_BODY = r"""(?:"[^"]*+"|'[^']*+'|[^'">]++)*+>"""
 _COMMENT = r"<!--.*?(?:-->|\z)"
 _RAW = r"<(script|style|textarea|title)(?=[\s/>]).*?(?:</\1\s*+>|\z)"
 _LINK = r"<(?:a|img)(?=[\s/])" + _TAG_BODY
+# Text, other tags, declarations, and a "<" that opens nothing.
 _OTHER = (
-    r"(?:[^<]++|<(?!!--|(?:script|style|textarea|title)[\s/>]|(?:a|img)[\s/])(?:"
+    r"(?:[^<]++|<(?![a-z/!?])|<[!?](?<!<!(?=--))[^>]*+>?+"
+    r"|<(?=[a-z/])(?!(?:script|style|textarea|title)[\s/>]|(?:a|img)[\s/])(?:"
     + _TAG_BODY
     + r")?+)++"
 )
 _TOKEN = f"(?is){_COMMENT}|{_RAW}|{_LINK}|{_OTHER}|<"
 
-_ATTRIBUTES = r"""(?:"[^"]*+"|'[^']*+'|[^'"\s>]++|\s)*?"""
-_VALUE = r"""("[^"]*"|'[^']*'|[^\s"'>]*)"""
+_VALUE = r"""(?:"[^"]*+"|'[^']*+'|[^\s"'>][^\s>]*+)"""
+
+
+def _up_to(attribute: str) -> str:
+    """The attributes before this one; values are passed over whole."""
+    here = rf"[\s/]{attribute}\s*+="
+    return rf"""(?:(?!{here})(?:=\s*+{_VALUE}|[^\s=>/"']++|["'\s/=]))*+{here}"""
+
+
 _ADDRESS = (
-    rf"(?is)^(<(?:a(?=[\s/]){_ATTRIBUTES}[\s/]href|img(?=[\s/]){_ATTRIBUTES}[\s/]src)\s*=\s*)"
-    + _VALUE
+    rf"(?is)^(<(?:a(?=[\s/]){_up_to('href')}|img(?=[\s/]){_up_to('src')})\s*+)"
+    + f"({_VALUE}|)"
 )
 
 

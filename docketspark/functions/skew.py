@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 # A group is hot when it holds more rows than this and more than this share.
 HOT_ROWS = 1_000_000
 HOT_SHARE = 1e-5
+# Longest table of short rows that is broadcast.
+BROADCAST_ROWS = 500_000
 
 
 def hot_groups(
@@ -55,6 +57,20 @@ def join_hot(
     return spread.join(repeated, [*on, "_part"]).drop("_part")
 
 
+def join_short(
+    left: DataFrame, right: DataFrame, on: list[str], spread_by: list[str]
+) -> DataFrame:
+    """Inner join with a table of short rows that is usually small but need not be.
+
+    Its rows are counted, up to the limit, when the join is put together: within
+    the limit it is broadcast and ``left`` is not shuffled at all, beyond it the
+    hot groups of ``left`` are spread.
+    """
+    if right.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        return left.join(F.broadcast(right), on)
+    return join_hot(left, right, on, spread_by)
+
+
 def same(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
     """Equality of keys where null equals null; still usable as a hash-join key."""
     return reduce(lambda a, b: a & b, [left[key].eqNullSafe(right[key]) for key in keys])

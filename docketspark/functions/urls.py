@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from docketspark.functions.columns import ColumnLike, as_column
 from docketspark.functions.forms import HTML_SUFFIXES
-from docketspark.functions.identifiers import file_suffix
 
 # Public addresses of the filing archive and its data service.
 ARCHIVE = "https://www.sec.gov/Archives/edgar/data"
@@ -58,26 +57,23 @@ def file_url(
     base_url: ColumnLike,
     accession_number: ColumnLike,
     main_file: ColumnLike,
+    suffix: ColumnLike,
     preferred: ColumnLike,
     skip_not_preferred: bool,
 ) -> Column:
     """Address of the preferred document; null when it does not exist and must be skipped."""
-    main_file, preferred = as_column(main_file), as_column(preferred)
-    suffix = file_suffix(main_file)
-    main = join_url(base_url, main_file)
+    main_file, preferred, suffix = as_column(main_file), as_column(preferred), as_column(suffix)
     both_html = suffix.isin(HTML_SUFFIXES) & preferred.isin(HTML_SUFFIXES)
-    text_name = F.when(suffix == "", F.concat(main_file, F.lit(".txt"))).otherwise(
-        F.regexp_replace(main_file, r"[^.]+$", "txt")
+    # Only the end of the name changes; a name without a suffix gets one.
+    stem = F.when(suffix == "", F.concat(main_file, F.lit("."))).otherwise(
+        F.left(main_file, F.length(main_file) - F.length(suffix))
     )
-    choice = (
-        F.when((suffix == preferred) | both_html, main)
-        .when(
-            preferred == "xbrl",
-            join_url(base_url, F.concat(as_column(accession_number), F.lit("-xbrl.zip"))),
-        )
-        .when(preferred == "txt", join_url(base_url, text_name))
+    name = (
+        F.when((suffix == preferred) | both_html, main_file)
+        .when(preferred == "xbrl", F.concat(as_column(accession_number), F.lit("-xbrl.zip")))
+        .when(preferred == "txt", F.concat(stem, F.lit("txt")))
     )
-    return choice if skip_not_preferred else choice.otherwise(main)
+    return join_url(base_url, name if skip_not_preferred else name.otherwise(main_file))
 
 
 def _fold_dots(path: Column) -> Column:

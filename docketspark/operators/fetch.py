@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from docketspark.functions import urls
 from docketspark.functions.columns import ColumnLike, as_column
 from docketspark.functions.forms import preferred_type
-from docketspark.functions.identifiers import file_name
+from docketspark.functions.identifiers import file_name, file_suffix
 
 
 def plan_urls(
@@ -22,15 +22,23 @@ def plan_urls(
     ``form`` is the form that was asked for: an amendment is fetched in the
     default type of its base form.
     """
-    planned = filings.withColumn("preferred_type", preferred_type(form, preferred))
+    # In steps, so that each value is computed once and then referred to.
+    typed = filings.withColumn("preferred_type", preferred_type(form, preferred)).withColumn(
+        "_suffix", file_suffix("main_file_name")
+    )
     address = urls.file_url(
-        "base_url", "accession_number", "main_file_name", "preferred_type", skip_not_preferred
+        "base_url",
+        "accession_number",
+        "main_file_name",
+        "_suffix",
+        "preferred_type",
+        skip_not_preferred,
     )
+    planned = typed.withColumn("file_url", address).drop("_suffix")
     return planned.withColumns(
         {
-            "file_url": address,
             "fallback_url": urls.join_url("base_url", "main_file_name"),
-            "skip": address.isNull() & F.lit(skip_not_preferred),
+            "skip": F.col("file_url").isNull() & F.lit(skip_not_preferred),
         }
     )
 
@@ -62,19 +70,21 @@ def choose_available(
     # A fallback equal to the preferred address is no second candidate.
     tries = F.array_distinct(F.array(*candidates))
     columns = plan.columns
-    exists = available.select(F.col("url")).distinct().withColumn("_exists", F.lit(True))
+    exists = available.select("url").distinct().withColumn("_exists", F.lit(True))
     checked = (
         to_fetch(plan)
         .select(*columns, F.posexplode(tries).alias("_rank", "url"))
         .join(exists, "url", "left")
     )
-    best = F.min(F.when(F.col("_exists"), F.struct("_rank", "url")))
-    chosen = checked.groupBy(*columns).agg(best.alias("_best"))
+    # A number is aggregated, not the address: that keeps the aggregation hashed.
+    best = F.min(F.when(F.col("_exists"), F.col("_rank"))).alias("_best")
+    chosen = checked.groupBy(*columns).agg(best)
+    fetched = F.get(tries, F.col("_best"))
     return chosen.select(
         *columns,
-        F.col("_best.url").alias("fetched_url"),
-        file_name("_best.url").alias("save_name"),
-        (F.col("_best._rank") > 0).alias("used_fallback"),
+        fetched.alias("fetched_url"),
+        file_name(fetched).alias("save_name"),
+        (F.col("_best") > 0).alias("used_fallback"),
     )
 
 

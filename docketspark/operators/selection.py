@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from docketspark.functions.columns import ColumnLike, as_column
 from docketspark.functions.forms import base_form, is_form, within_dates
 from docketspark.functions.identifiers import cik10
-from docketspark.functions.skew import join_hot
+from docketspark.functions.skew import join_short
 
 NEWEST_FIRST = ["filing_date", "accession_number", "main_file_name"]
 
@@ -97,7 +97,7 @@ def _since_nth_newest(filings: DataFrame, group: list[str], n: int) -> DataFrame
     )
     needed = days.withColumn("_newer", F.coalesce(F.sum("_rows").over(newer), F.lit(0)))
     first = needed.where(F.col("_newer") < n).groupBy(*group).agg(F.min("_day").alias("_first"))
-    dated = join_hot(filings, first, group, ["accession_number", "main_file_name"])
+    dated = join_short(filings, first, group, ["accession_number", "main_file_name"])
     return dated.where(F.col("_day") >= F.col("_first")).drop("_day", "_first")
 
 

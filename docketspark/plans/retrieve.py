@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docketspark.functions.forms import base_form, is_amendment
-from docketspark.functions.skew import join_hot
+from docketspark.functions.skew import join_short
 from docketspark.operators.entities import resolve_companies
 from docketspark.operators.fetch import choose_available, plan_urls
 from docketspark.operators.index import index_rows
@@ -40,7 +40,7 @@ def requested_filings(
     by_company = hits.withColumn("request_form", base_form("file_type")).withColumn(
         "request_cik", F.explode(F.array_distinct("ciks"))
     )
-    asked = join_hot(by_company, wanted, _PER_REQUEST, ["hit_id"]).where(
+    asked = join_short(by_company, wanted, _PER_REQUEST, ["hit_id"]).where(
         F.col("filing_date").between(F.col("_first"), F.col("_last"))
     )
     metadata = hit_metadata(asked.drop("_first", "_last"))

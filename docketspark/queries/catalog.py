@@ -13,7 +13,7 @@ from docketspark.operators import index as index_ops
 from docketspark.plans.retrieve import retrieve, retrieved_index
 from docketspark.plans.watch import archive_catalog, new_filings
 from docketspark.queries import feeds
-from docketspark.session import scratch_dir
+from docketspark.session import scratch_dir, spread
 from docketspark.sinks.index_table import append_index, read_index
 from docketspark.sources import archives, index_files, search, securities, submissions
 from docketspark.sources import entities as entity_files
@@ -136,7 +136,7 @@ def search_date_range(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def text_search_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = feeds.table(spark, sf_dir, "documents")
+    docs = spread(feeds.table(spark, sf_dir, "documents"))
     found = docs.where(selection.matches_text("text", TEXT_QUERY))
     return found.select("doc_id", "lang", "source", "n_chars")
 
@@ -357,20 +357,20 @@ def index_csv_import(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = feeds.table(spark, sf_dir, "pages").withColumn("document", F.col("url"))
+    pages = spread(feeds.table(spark, sf_dir, "pages")).withColumn("document", F.col("url"))
     return documents.extract_links(pages, ["page_id"], "html", "document")
 
 
 @query
 def page_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = feeds.table(spark, sf_dir, "pages")
+    pages = spread(feeds.table(spark, sf_dir, "pages"))
     return documents.rewrite_documents(pages, "html", "url").select("page_id", "html")
 
 
 @query
 def document_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages as filed documents: HTML gets absolute links, other files stay as they are."""
-    pages = feeds.table(spark, sf_dir, "pages")
+    pages = spread(feeds.table(spark, sf_dir, "pages"))
     key = F.col("page_id")
     filed = pages.select(
         feeds.padded(key % 50, 10).alias("cik"),

@@ -15,10 +15,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docketspark.operators.index import index_rows
+from docketspark.session import spread
 from docketspark.sources.archives import locate
 
 # Orders per submission document and per search-result page, suppliers per ticker file.
-SUBMISSION_RANGE = 4096
+SUBMISSION_RANGE = 65_536
 PAGE_RANGE = 100
 TICKER_RANGE = 1000
 
@@ -251,7 +252,7 @@ def fact_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     facts = F.create_map(F.lit("us-gaap"), gaap, F.lit("dei"), dei)
     doc = F.struct(F.col("l_suppkey").alias("cik"), facts.alias("facts"))
-    return table(spark, sf_dir, "lineitem").select(F.to_json(doc).alias("v"))
+    return spread(table(spark, sf_dir, "lineitem")).select(F.to_json(doc).alias("v"))
 
 
 def security_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -306,7 +307,7 @@ def zipped_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
             columns = [pa.array(names, pa.string()), pa.array(blobs, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["archive", "content"])
 
-    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    pages = spread(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     return pages.mapInArrow(pack, "archive string, content binary")
 
 

@@ -10,15 +10,21 @@ from __future__ import annotations
 
 import io
 import re
+import sys
 import zipfile
 import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyarrow import fs
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# The functions below travel to the tasks themselves, so this package need not be
+# installed on the executors.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Members whose data lies in the same stretch of an archive share a task.
 RANGE_BYTES = 64 << 20
 # Longer members come as several rows, numbered by ``part``.

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docketspark.functions.columns import explode_parsed
 from docketspark.functions.identifiers import absolute_path, accession_from_path
 from docketspark.schemas import FILE_NUMBER_MAP, INDEX_COLUMNS, INDEX_CSV
 
@@ -28,9 +29,8 @@ def read_index_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 def parse_file_number_index(docs: DataFrame, text: str = "v") -> DataFrame:
     """Index rows from ``{file number: [[form type, path, date], …]}``."""
-    numbers = docs.select(
-        F.explode(F.from_json(F.col(text), FILE_NUMBER_MAP)).alias("file_number", "entries")
-    )
+    parsed = F.from_json(F.col(text), FILE_NUMBER_MAP)
+    numbers = explode_parsed(docs, parsed, ["file_number", "entries"])
     rows = numbers.select("file_number", F.explode("entries").alias("entry"))
     return _as_index(
         rows.select(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketspark.functions.columns import blank_to_null
+from docketspark.functions.columns import blank_to_null, explode_parsed
 from docketspark.functions.identifiers import accession, safe_form
 from docketspark.functions.urls import filing_base_url
 from docketspark.schemas import SEARCH_RESULT
@@ -23,8 +23,7 @@ def parse_search_results(docs: DataFrame, text: str = "v") -> DataFrame:
 
 def search_hits(results: DataFrame) -> DataFrame:
     """One row per hit of the results that are not errors."""
-    hits = results.where(F.col("error").isNull())
-    hits = hits.select(F.explode("hits.hits").alias("hit"))
+    hits = explode_parsed(results, F.when(F.col("error").isNull(), F.col("hits.hits")), ["hit"])
     source = F.col("hit._source")
     return hits.select(
         F.col("hit._id").alias("hit_id"),

@@ -60,7 +60,10 @@ def malformed_submissions(docs: DataFrame) -> DataFrame:
 def explode_submissions(docs: DataFrame) -> DataFrame:
     """One row per filing: the parallel arrays are read side by side."""
     arrays = F.arrays_zip(*[F.col(f"filings.recent.{name}").alias(name) for name in RECENT_FIELDS])
-    rows = docs.where(_well_formed()).select("cik", F.posexplode(arrays).alias("pos", "filing"))
+    # The test sits inside the generator: as a filter it would be pushed below the
+    # parsing of JSON text and parse every document twice.
+    listed = F.posexplode_outer(F.when(_well_formed(), arrays)).alias("pos", "filing")
+    rows = docs.select("cik", listed).where(F.col("pos").isNotNull())
     return rows.select(
         "cik",
         "pos",

@@ -1,0 +1,176 @@
+from __future__ import annotations
+
+import json
+
+import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+
+from docketspark.operators.index import index_rows, one_per_key
+from docketspark.plans.check import check_index
+from docketspark.sinks import tables
+from docketspark.sinks.index_table import (
+    append_index,
+    read_index,
+    rewrite_index,
+    write_file_number_index,
+)
+from docketspark.sources.index_files import list_stored_files, parse_file_number_index
+from docketspark.sources.submissions import explode_submissions, parse_submissions
+from docketspark.streaming.index_stream import stream_submissions, stream_to_index
+from docketspark.streaming.live_feed import dropped_as_late, without_repeats, write_feed
+
+
+def document(key, numbers, day="2020-01-02"):
+    return json.dumps(
+        {
+            "cik": str(key),
+            "filings": {
+                "recent": {
+                    "form": ["S-1/A"] * len(numbers),
+                    "accessionNumber": [f"{key:010d}-{20 + n % 3}-{n:06d}" for n in numbers],
+                    "filingDate": [day] * len(numbers),
+                    "primaryDocument": ["a.htm"] * len(numbers),
+                    "fileNumber": ["001-1" if n % 2 else None for n in numbers],
+                }
+            },
+        }
+    )
+
+
+def catalog(spark, texts):
+    return explode_submissions(parse_submissions(spark.createDataFrame([(t,) for t in texts], "v string")))
+
+
+def entries(df):
+    rows = [tuple(row) for row in df.collect()]
+    assert len(rows) == len(set(rows))
+    return set(rows)
+
+
+def test_appending_twice_is_appending_once(spark, tmp_path):
+    table = str(tmp_path / "index")
+    assert read_index(spark, table).count() == 0
+    rows = index_rows(catalog(spark, [document(k, range(10)) for k in range(5)]))
+    append_index(rows, table, "1")
+    once = entries(read_index(spark, table))
+    assert len(once) == 50
+    append_index(rows, table, "2")
+    append_index(rows, table, "1")
+    assert entries(read_index(spark, table)) == once
+
+
+def test_many_small_appends_equal_one_large(spark, tmp_path):
+    docs = [document(k, range(6)) for k in range(4)]
+    append_index(index_rows(catalog(spark, docs)), str(tmp_path / "large"), "1")
+    for n, doc in enumerate(docs):
+        append_index(index_rows(catalog(spark, [doc, docs[0]])), str(tmp_path / "small"), str(n))
+    assert entries(read_index(spark, str(tmp_path / "small"))) == entries(
+        read_index(spark, str(tmp_path / "large"))
+    )
+
+
+def test_a_corrected_date_is_still_the_same_entry(spark, tmp_path):
+    table = str(tmp_path / "index")
+    append_index(index_rows(catalog(spark, [document(1, [1])])), table, "1")
+    append_index(index_rows(catalog(spark, [document(1, [1], "2021-05-05")])), table, "2")
+    assert [str(r.filing_date) for r in read_index(spark, table).collect()] == ["2020-01-02"]
+
+
+def test_check_writes_a_new_table_only_when_something_goes(spark, tmp_path):
+    table = str(tmp_path / "index")
+    append_index(index_rows(catalog(spark, [document(1, range(4))])), table, "1")
+    paths = [r.file_path for r in read_index(spark, table).collect()]
+    for path in paths[:3]:
+        file = tmp_path / "filings" / path
+        file.parent.mkdir(parents=True)
+        file.write_text("x")
+    manifest = list_stored_files(spark, str(tmp_path))
+    new, removed = check_index(spark, table, manifest, str(tmp_path / "checked"))
+    assert (new, removed) == (str(tmp_path / "checked"), 1)
+    assert {r.file_path for r in read_index(spark, new).collect()} == set(paths[:3])
+    again = check_index(spark, new, manifest, str(tmp_path / "unused"))
+    assert again == (new, 0) and not (tmp_path / "unused").exists()
+    append_index(index_rows(catalog(spark, [document(1, range(4))])), new, "2")
+    assert len(entries(read_index(spark, new))) == 4
+    with pytest.raises(AnalysisException):
+        rewrite_index(read_index(spark, table), new)
+
+
+def test_file_number_export_reads_back(spark, tmp_path):
+    rows = index_rows(catalog(spark, [document(k, range(6)) for k in range(3)]))
+    numbered = rows.where(F.col("file_number").isNotNull())
+    path = str(tmp_path / "numbers")
+    write_file_number_index(rows, path)
+    lines = spark.read.json(path)
+    entry = F.transform("entries", lambda e: F.array(e["form_type"], e["file_path"], e["filing_date"]))
+    docs = lines.select(F.to_json(F.create_map("file_number", entry)).alias("v"))
+    assert entries(parse_file_number_index(docs)) == entries(numbered)
+
+
+def test_security_csv_refuses_an_existing_target(spark, tmp_path):
+    rows = spark.createDataFrame([("c", "i", "d")], "cusip string, issuer string, description string")
+    path = str(tmp_path / "csv")
+    tables.write_security_csv(rows, path, overwrite=False)
+    with pytest.raises(AnalysisException):
+        tables.write_security_csv(rows, path, overwrite=False)
+    tables.write_security_csv(rows, path)
+    assert [tuple(r) for r in spark.read.csv(path).collect()] == [("c", "i", "d")]
+
+
+def test_ticker_map_and_documents_are_stored(spark, tmp_path):
+    tickers = spark.createDataFrame([("A", "1")], "ticker string, cik string")
+    for _ in range(2):
+        tables.write_ticker_map(tickers, str(tmp_path / "tickers"))
+    assert spark.read.parquet(str(tmp_path / "tickers")).count() == 1
+    docs = spark.createDataFrame([("p", bytearray(b"x"))], "file_path string, content binary")
+    for _ in range(2):
+        tables.write_documents(docs, str(tmp_path / "documents"))
+    assert spark.read.parquet(str(tmp_path / "documents")).count() == 2
+
+
+def test_stream_leaves_what_a_batch_leaves(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    docs = [document(k, range(8)) for k in range(4)]
+    for n, doc in enumerate(docs):
+        (folder / f"CIK{n:010d}.json").write_text(doc)
+
+    def run():
+        filings = stream_submissions(spark, str(folder), files_per_trigger=1)
+        stream_to_index(filings, str(tmp_path / "index"), str(tmp_path / "check")).awaitTermination()
+
+    run()
+    # A company is delivered again with one more filing.
+    (folder / "again-CIK0000000002.json").write_text(document(2, range(9)))
+    run()
+    batch = one_per_key(index_rows(catalog(spark, [*docs, document(2, range(9))])))
+    assert entries(read_index(spark, str(tmp_path / "index"))) == entries(batch)
+
+
+def feed(spark, tmp_path, deliveries, name):
+    folder = tmp_path / name
+    folder.mkdir()
+    for n, doc in enumerate(deliveries):
+        (folder / f"{n}-CIK{n:010d}.json").write_text(doc)
+        # Files are taken in order of their age.
+        import os
+
+        os.utime(folder / f"{n}-CIK{n:010d}.json", (1_600_000_000 + n, 1_600_000_000 + n))
+    filings = stream_submissions(spark, str(folder), files_per_trigger=1)
+    out = str(tmp_path / f"{name}-out")
+    query = write_feed(without_repeats(filings), out, str(tmp_path / f"{name}-check"))
+    query.awaitTermination()
+    return spark.read.parquet(out), dropped_as_late(query)
+
+
+def test_ordered_feed_gives_each_filing_once(spark, tmp_path):
+    deliveries = [document(k, [1, 1, 2], f"2020-0{k}-01") for k in range(1, 6)]
+    out, dropped = feed(spark, tmp_path, deliveries, "ordered")
+    assert out.count() == 10 and dropped == 0
+
+
+def test_unordered_feed_counts_what_it_drops(spark, tmp_path):
+    deliveries = [document(k, [1, 2], day) for k, day in enumerate(["2020-06-01", "2020-06-02", "2019-01-01"], 1)]
+    out, dropped = feed(spark, tmp_path, deliveries, "unordered")
+    assert out.count() + dropped == 6 and dropped > 0
