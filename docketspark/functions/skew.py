@@ -14,20 +14,24 @@ HOT_SHARE = 1e-5
 BROADCAST_ROWS = 500_000
 
 
+def group_sizes(df: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys, group_rows``; counted before anything is shuffled."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("group_rows"))
+
+
 def hot_groups(
-    df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS, hot_share: float = HOT_SHARE
+    sizes: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS, hot_share: float = HOT_SHARE
 ) -> DataFrame:
-    """``keys, parts`` of the groups too large for one task.
+    """``keys, parts`` of the groups too large for one task, from their sizes.
 
-    The counting aggregates before it shuffles. Every group listed holds more
-    than ``hot_share`` of all rows, so there are fewer than ``1 / hot_share``
-    of them however large the data is: the list may always be broadcast.
+    Every group listed holds more than ``hot_share`` of all rows, so there are
+    fewer than ``1 / hot_share`` of them however large the data is: the list may
+    always be broadcast.
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    total = counts.agg(F.sum("_rows")).scalar()
-    return counts.where(
-        (F.col("_rows") > F.lit(hot_rows)) & (F.col("_rows") > total * F.lit(hot_share))
-    ).select(*keys, F.ceil(F.col("_rows") / F.lit(hot_rows)).cast("int").alias("parts"))
+    total = sizes.agg(F.sum("group_rows")).scalar()
+    size = F.col("group_rows")
+    hot = sizes.where((size > F.lit(hot_rows)) & (size > total * F.lit(hot_share)))
+    return hot.select(*keys, F.ceil(size / F.lit(hot_rows)).cast("int").alias("_parts"))
 
 
 def join_hot(
@@ -35,40 +39,49 @@ def join_hot(
     right: DataFrame,
     on: list[str],
     spread_by: list[str],
+    how: str = "inner",
+    sizes: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
     hot_share: float = HOT_SHARE,
 ) -> DataFrame:
-    """Inner join whose hot groups of ``left`` are spread over several tasks.
+    """Join (inner, left or left_semi) whose hot groups of ``left`` span several tasks.
 
-    Rows of a hot group get one of its ``parts``; the rows of ``right`` with the
-    same key (few: this is the dimension side) are repeated once per part. The
-    join key then includes the part, so neither the join nor an operator that
-    reuses its partitioning sees a whole hot group.
+    Rows of a hot group get one of its parts; the rows of ``right``, one or a few
+    per key, are repeated once per part. The join key then includes the part, so
+    neither the join nor an operator that reuses its partitioning sees a whole
+    hot group. This is spelled out because the adaptive skew join leaves a join
+    alone when one of its sides is an aggregate on the same key. ``sizes`` are
+    those of the groups of ``left``, where they are known already.
     """
-    hot = F.broadcast(hot_groups(left, on, hot_rows, hot_share))
-    parts = F.coalesce(F.col("parts"), F.lit(1))
+    sizes = group_sizes(left, on) if sizes is None else sizes.select(*on, "group_rows")
+    hot = F.broadcast(hot_groups(sizes, on, hot_rows, hot_share))
+    parts = F.coalesce(F.col("_parts"), F.lit(1))
     part = F.pmod(F.xxhash64(*spread_by), parts.cast("bigint")).cast("int")
-    spread = left.join(hot, on, "left").withColumn("_part", part).drop("parts")
+    spread = left.join(hot, on, "left").withColumn("_part", part).drop("_parts")
     repeated = (
         right.join(hot, on, "left")
         .withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1)))
-        .drop("parts")
+        .drop("_parts")
     )
-    return spread.join(repeated, [*on, "_part"]).drop("_part")
+    return spread.join(repeated, [*on, "_part"], how).drop("_part")
 
 
 def join_short(
-    left: DataFrame, right: DataFrame, on: list[str], spread_by: list[str]
+    left: DataFrame,
+    right: DataFrame,
+    on: list[str],
+    spread_by: list[str],
+    how: str = "inner",
 ) -> DataFrame:
-    """Inner join with a table of short rows that is usually small but need not be.
+    """Join with a table of short rows that is usually small but need not be.
 
     Its rows are counted, up to the limit, when the join is put together: within
     the limit it is broadcast and ``left`` is not shuffled at all, beyond it the
     hot groups of ``left`` are spread.
     """
     if right.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        return left.join(F.broadcast(right), on)
-    return join_hot(left, right, on, spread_by)
+        return left.join(F.broadcast(right), on, how)
+    return join_hot(left, right, on, spread_by, how)
 
 
 def same(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:

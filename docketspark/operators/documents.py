@@ -54,19 +54,20 @@ def stored_documents(documents: DataFrame, name: str, content: str) -> DataFrame
     )
 
 
-def stored_members(contents: DataFrame, stored: DataFrame) -> DataFrame:
+def stored_members(contents: DataFrame) -> DataFrame:
     """Archive members as further rows of the store, next to their archive.
 
-    ``contents`` are the members of the archives in ``stored``, whose column
-    ``archive`` names the path of the archive in the store.
+    ``contents`` are the members of stored archives, named by their path in the
+    store. That path holds the company, form and accession number, so contents
+    are not moved for a join.
     """
     folder = F.regexp_replace("archive", "[^/]*$", "")
-    members = contents.join(stored.select("archive", "cik", "form_type", "accession_number"), "archive")
-    return members.select(
+    segments = F.split("archive", "/")
+    return contents.select(
         F.concat(folder, F.col("member")).alias("file_path"),
-        "cik",
-        "form_type",
-        "accession_number",
+        F.get(segments, 0).alias("cik"),
+        F.get(segments, 1).alias("form_type"),
+        F.get(segments, 2).alias("accession_number"),
         "part",
         "content",
         F.length("content").alias("content_length"),

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docketspark.functions.identifiers import cik10, ticker_key
+from docketspark.functions.skew import join_short
 
 _NO_TICKER_PARTS = 4096
 
@@ -34,12 +35,9 @@ def resolve_companies(
     )
     key = F.when(numeric.isNull() & F.col(column).isNotNull(), ticker_key(column)).otherwise(nowhere)
     lookup = tickers.select(F.col("ticker").alias("_key"), F.col("cik").alias("_cik"))
-    return (
-        queries.withColumn("_key", key)
-        .join(lookup, "_key", "left")
-        .withColumn("cik", F.coalesce(numeric, F.col("_cik")))
-        .drop("_key", "_cik")
-    )
+    keyed = queries.withColumn("_key", key)
+    found = join_short(keyed, lookup, ["_key"], queries.columns, "left")
+    return found.withColumn("cik", F.coalesce(numeric, F.col("_cik"))).drop("_key", "_cik")
 
 
 def unresolved(resolved: DataFrame) -> DataFrame:

@@ -63,8 +63,8 @@ def choose_available(
 
     ``available`` holds a column ``url``. The candidates of a row are checked in
     one join and brought back together by an aggregation that starts before its
-    shuffle. Repeated rows of the plan are taken once. A caller who skips other
-    types gets no fallback.
+    shuffle. Repeated rows of the plan are merged before the join, where they
+    would meet in one task. A caller who skips other types gets no fallback.
     """
     candidates = ["file_url"] if skip_not_preferred else ["file_url", "fallback_url"]
     # A fallback equal to the preferred address is no second candidate.
@@ -73,6 +73,7 @@ def choose_available(
     exists = available.select("url").distinct().withColumn("_exists", F.lit(True))
     checked = (
         to_fetch(plan)
+        .distinct()
         .select(*columns, F.posexplode(tries).alias("_rank", "url"))
         .join(exists, "url", "left")
     )

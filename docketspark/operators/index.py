@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docketspark.functions.identifiers import cik10, relative_path, safe_form
-from docketspark.functions.skew import same
+from docketspark.functions.skew import group_sizes, join_hot, join_short, same
 from docketspark.schemas import INDEX_COLUMNS, INDEX_KEY
 
 # Longest list of one file number that is put into a single row.
@@ -55,8 +55,9 @@ def of_file_number(index: DataFrame, cik: str, file_number: str) -> DataFrame:
 
 def related_filings(index: DataFrame, requested: DataFrame) -> DataFrame:
     """Entries of the requested ``cik, file_number`` pairs, each entry once."""
-    wanted = requested.select("cik", "file_number").distinct()
-    return index.join(wanted, ["cik", "file_number"], "left_semi")
+    keys = ["cik", "file_number"]
+    wanted = requested.select(*keys).distinct()
+    return join_short(index, wanted, keys, ["file_path"], "left_semi").select(*INDEX_COLUMNS)
 
 
 def related_summary(index: DataFrame) -> DataFrame:
@@ -66,11 +67,22 @@ def related_summary(index: DataFrame) -> DataFrame:
     linear in the index; ``related_filings`` gives the entries of those of interest.
     """
     keys = ["cik", "file_number"]
-    groups = file_number_groups(index).select(
+    entries = index.where(F.col("file_number").isNotNull()).distinct()
+    groups = _number_groups(entries)
+    sizes = groups.withColumnRenamed("n_entries", "group_rows")
+    found = groups.select(
         *keys, (F.col("n_entries") - 1).alias("n_related"), "first_date", "last_date"
     )
-    entries = index.where(F.col("file_number").isNotNull()).distinct()
-    return entries.join(groups, keys).select(*INDEX_COLUMNS, "n_related", "first_date", "last_date")
+    joined = join_hot(entries, found, keys, ["file_path"], sizes=sizes)
+    return joined.select(*INDEX_COLUMNS, "n_related", "first_date", "last_date")
+
+
+def _number_groups(entries: DataFrame) -> DataFrame:
+    return entries.groupBy("cik", "file_number").agg(
+        F.count(F.lit(1)).alias("n_entries"),
+        F.min("filing_date").alias("first_date"),
+        F.max("filing_date").alias("last_date"),
+    )
 
 
 def file_number_groups(index: DataFrame) -> DataFrame:
@@ -92,15 +104,14 @@ def file_number_lists(index: DataFrame, list_rows: int = LIST_ROWS) -> DataFrame
     """
     keys = ["cik", "file_number"]
     entries = index.where(F.col("file_number").isNotNull()).distinct()
-    sizes = entries.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    parts = F.ceil(F.col("_n") / F.lit(list_rows))
-    long = sizes.where(F.col("_n") > list_rows).select(*keys, parts.alias("_parts"))
-    part = F.pmod(F.xxhash64("file_path", "form_type"), F.coalesce("_parts", F.lit(1)))
+    sizes = group_sizes(entries, keys)
+    count = F.ceil(F.col("group_rows") / F.lit(list_rows))
+    long = sizes.where(F.col("group_rows") > list_rows).select(*keys, count.alias("lists"))
+    cut = join_hot(entries, long, keys, ["file_path"], "left", sizes)
+    part = F.pmod(F.xxhash64("file_path", "form_type"), F.coalesce("lists", F.lit(1)))
     entry = F.struct("filing_date", "file_path", "form_type")
-    return (
-        entries.join(long, keys, "left")
-        .groupBy(*keys, part.cast("int").alias("part"))
-        .agg(F.sort_array(F.collect_list(entry)).alias("entries"))
+    return cut.groupBy(*keys, part.cast("int").alias("part")).agg(
+        F.sort_array(F.collect_list(entry)).alias("entries")
     )
 
 

@@ -38,7 +38,7 @@ def filings_per_company(filings: DataFrame) -> DataFrame:
 def of_companies(rows: DataFrame, companies: DataFrame, key: str = "cik") -> DataFrame:
     """Rows of the listed companies. The list may hold repeats and short keys."""
     wanted = companies.select(cik10(companies[key].cast("string")).alias("cik")).distinct()
-    return rows.join(wanted, "cik", "left_semi")
+    return join_short(rows, wanted, ["cik"], rows.columns, "left_semi")
 
 
 def select_hits(

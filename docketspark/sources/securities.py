@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docketspark.functions.columns import ColumnLike, as_column
+from docketspark.functions.skew import join_hot
 from docketspark.functions.urls import security_list_url
 
 
@@ -40,14 +41,18 @@ def security_rows(cells: DataFrame) -> DataFrame:
     the last column is the status. A table's width is that of its widest row,
     counted before the shuffle; other widths keep their cells.
     """
-    widths = cells.groupBy("table_id").agg(F.max(F.size("cells")).alias("width"))
+    tables = cells.groupBy("table_id").agg(
+        F.max(F.size("cells")).alias("width"), F.count(F.lit(1)).alias("group_rows")
+    )
+    widths = tables.select("table_id", "width")
     cell = F.col("cells")
     kept = (
         F.when(F.col("width") == 5, F.array(F.get(cell, 0), F.get(cell, 2), F.get(cell, 3)))
         .when(F.col("width") == 4, F.array(F.get(cell, 0), F.get(cell, 1), F.get(cell, 2)))
         .otherwise(cell)
     )
-    rows = cells.join(widths, "table_id").select("table_id", "row_no", kept.alias("cells"))
+    joined = join_hot(cells, widths, ["table_id"], ["row_no"], sizes=tables)
+    rows = joined.select("table_id", "row_no", kept.alias("cells"))
     names = ["cusip", "issuer", "description"]
     return rows.select(
         "table_id", "row_no", "cells", *[F.get("cells", i).alias(n) for i, n in enumerate(names)]

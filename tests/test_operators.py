@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from docketspark.functions.skew import hot_groups, join_hot
+from docketspark.functions.skew import group_sizes, hot_groups, join_hot
 from docketspark.operators import documents, fetch, hooks, selection
 from docketspark.operators import index as index_ops
 from docketspark.plans import retrieve as retrieval
@@ -200,13 +200,20 @@ def test_hot_groups_are_spread_and_the_join_stays_whole(spark):
         F.col("id").alias("v"),
     )
     right = left.select("k").distinct().withColumn("name", F.concat(F.lit("n"), "k"))
-    hot = hot_groups(left, ["k"], hot_rows=100, hot_share=0.01).collect()
-    assert [(r.k, r.parts) for r in hot] == [("hot", 10)]
-    joined = join_hot(left, right, ["k"], ["v"], hot_rows=100, hot_share=0.01)
+    sizes = group_sizes(left, ["k"])
+    hot = hot_groups(sizes, ["k"], hot_rows=100, hot_share=0.01).collect()
+    assert [(r.k, r._parts) for r in hot] == [("hot", 10)]
+    limits = {"hot_rows": 100, "hot_share": 0.01}
+    joined = join_hot(left, right, ["k"], ["v"], **limits)
     assert joined.columns == ["k", "v", "name"]
     got = joined.collect()
     assert len(got) == 3000 and len({r.v for r in got}) == 3000
     assert all(r.name == "n" + r.k for r in got)
+    some = right.where(F.col("k").isin("hot", "1"))
+    semi = join_hot(left, some, ["k"], ["v"], "left_semi", **limits)
+    assert semi.columns == ["k", "v"] and semi.count() == 1001
+    outer = join_hot(left, some, ["k"], ["v"], "left", sizes, **limits)
+    assert outer.count() == 3000 and outer.where(F.col("name").isNotNull()).count() == 1001
 
 
 @pytest.mark.parametrize("limit", [10, 0])
@@ -255,6 +262,7 @@ def test_document_store_rows_and_members(spark):
         [(row.file_path, "d/m.xml", 0, 0, bytearray(b"xy"))],
         "archive string, member string, position bigint, part int, content binary",
     )
-    member = documents.stored_members(contents, stored.withColumnRenamed("file_path", "archive")).first()
+    member = documents.stored_members(contents).first()
     assert member.file_path == "0000000001/10-K.A/000000000120000007/d/m.xml"
     assert member.content_length == 2 and member.cik == "0000000001"
+    assert (member.form_type, member.accession_number) == ("10-K.A", "000000000120000007")
