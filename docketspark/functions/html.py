@@ -58,9 +58,8 @@ def link_tag_name(token: ColumnLike) -> Column:
 
 
 def _unquoted(value: Column) -> Column:
-    return F.when(value.rlike("""^["']"""), F.substring(value, F.lit(2), F.length(value) - 2)).otherwise(
-        value
-    )
+    inner = F.substring(value, F.lit(2), F.length(value) - 2)
+    return F.when(value.rlike("""^["']"""), inner).otherwise(value)
 
 
 def link_address(token: ColumnLike) -> Column:

@@ -7,9 +7,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A group is hot when it holds more rows than this and more than this share.
+# A group is hot when it holds more rows than this.
 HOT_ROWS = 1_000_000
-HOT_SHARE = 1e-5
+# Most groups that are spread. Any other group has less than this fraction of all rows.
+HOT_GROUPS = 100_000
 # Longest table of short rows that is broadcast.
 BROADCAST_ROWS = 500_000
 
@@ -19,19 +20,17 @@ def group_sizes(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("group_rows"))
 
 
-def hot_groups(
-    sizes: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS, hot_share: float = HOT_SHARE
-) -> DataFrame:
-    """``keys, parts`` of the groups too large for one task, from their sizes.
+def hot_groups(sizes: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """``keys, _parts`` of the largest groups, those too large for one task.
 
-    Every group listed holds more than ``hot_share`` of all rows, so there are
-    fewer than ``1 / hot_share`` of them however large the data is: the list may
-    always be broadcast.
+    At most ``HOT_GROUPS`` however large the data is, so the list always fits the
+    driver and a broadcast. A group not among that many largest ones holds less
+    than one in ``HOT_GROUPS`` of all rows and needs no spreading.
     """
-    total = sizes.agg(F.sum("group_rows")).scalar()
-    size = F.col("group_rows")
-    hot = sizes.where((size > F.lit(hot_rows)) & (size > total * F.lit(hot_share)))
-    return hot.select(*keys, F.ceil(size / F.lit(hot_rows)).cast("int").alias("_parts"))
+    hot = sizes.where(F.col("group_rows") > hot_rows)
+    largest = hot.orderBy(F.col("group_rows").desc(), *keys).limit(HOT_GROUPS)
+    parts = F.ceil(F.col("group_rows") / F.lit(hot_rows)).cast("int")
+    return largest.select(*keys, parts.alias("_parts"))
 
 
 def join_hot(
@@ -42,19 +41,24 @@ def join_hot(
     how: str = "inner",
     sizes: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
-    hot_share: float = HOT_SHARE,
 ) -> DataFrame:
     """Join (inner, left or left_semi) whose hot groups of ``left`` span several tasks.
 
-    Rows of a hot group get one of its parts; the rows of ``right``, one or a few
-    per key, are repeated once per part. The join key then includes the part, so
-    neither the join nor an operator that reuses its partitioning sees a whole
-    hot group. This is spelled out because the adaptive skew join leaves a join
-    alone when one of its sides is an aggregate on the same key. ``sizes`` are
-    those of the groups of ``left``, where they are known already.
+    The hot groups are looked up when the join is put together. Without any, the
+    join is a plain one. Else the rows of a hot group get one of its parts, and
+    the rows of ``right``, one or a few per key, are repeated once per part. The
+    join key then includes the part, so neither the join nor an operator that
+    reuses its partitioning sees a whole hot group. This is spelled out because
+    the adaptive skew join leaves a join alone when one of its sides is an
+    aggregate on the same key. ``sizes`` may give group sizes that are cheaper
+    to find than those of ``left``; too large a size does no harm.
     """
-    sizes = group_sizes(left, on) if sizes is None else sizes.select(*on, "group_rows")
-    hot = F.broadcast(hot_groups(sizes, on, hot_rows, hot_share))
+    sizes = group_sizes(left, on) if sizes is None else sizes
+    hot = hot_groups(sizes, on, hot_rows)
+    found = hot.collect()
+    if not found:
+        return left.join(right, on, how)
+    hot = F.broadcast(left.sparkSession.createDataFrame(found, hot.schema))
     parts = F.coalesce(F.col("_parts"), F.lit(1))
     part = F.pmod(F.xxhash64(*spread_by), parts.cast("bigint")).cast("int")
     spread = left.join(hot, on, "left").withColumn("_part", part).drop("_parts")

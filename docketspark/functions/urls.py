@@ -12,6 +12,10 @@ from docketspark.functions.forms import HTML_SUFFIXES
 ARCHIVE = "https://www.sec.gov/Archives/edgar/data"
 COMPANY_FACTS = "https://data.sec.gov/api/xbrl/companyfacts"
 COMPANY_CONCEPT = "https://data.sec.gov/api/xbrl/companyconcept"
+BULK_COMPANY_FACTS = "https://www.sec.gov/Archives/edgar/daily-index/xbrl/companyfacts.zip"
+BULK_SUBMISSIONS = "https://www.sec.gov/Archives/edgar/daily-index/bulkdata/submissions.zip"
+COMPANY_TICKERS = "https://www.sec.gov/files/company_tickers.json"
+COMPANY_TICKERS_EXCHANGE = "https://www.sec.gov/files/company_tickers_exchange.json"
 SECURITY_LIST_UNTIL_2021Q1 = "https://www.sec.gov/divisions/investment/13f"
 SECURITY_LIST_SINCE_2021Q2 = "https://www.sec.gov/files/investment"
 

@@ -33,7 +33,8 @@ def resolve_companies(
     nowhere = F.concat(
         F.lit("\t"), F.pmod(F.xxhash64(column), F.lit(_NO_TICKER_PARTS)).cast("string")
     )
-    key = F.when(numeric.isNull() & F.col(column).isNotNull(), ticker_key(column)).otherwise(nowhere)
+    is_ticker = numeric.isNull() & F.col(column).isNotNull()
+    key = F.when(is_ticker, ticker_key(column)).otherwise(nowhere)
     lookup = tickers.select(F.col("ticker").alias("_key"), F.col("cik").alias("_cik"))
     keyed = queries.withColumn("_key", key)
     found = join_short(keyed, lookup, ["_key"], queries.columns, "left")

@@ -69,11 +69,10 @@ def related_summary(index: DataFrame) -> DataFrame:
     keys = ["cik", "file_number"]
     entries = index.where(F.col("file_number").isNotNull()).distinct()
     groups = _number_groups(entries)
-    sizes = groups.withColumnRenamed("n_entries", "group_rows")
     found = groups.select(
         *keys, (F.col("n_entries") - 1).alias("n_related"), "first_date", "last_date"
     )
-    joined = join_hot(entries, found, keys, ["file_path"], sizes=sizes)
+    joined = join_hot(entries, found, keys, ["file_path"], sizes=group_sizes(index, keys))
     return joined.select(*INDEX_COLUMNS, "n_related", "first_date", "last_date")
 
 
@@ -107,7 +106,7 @@ def file_number_lists(index: DataFrame, list_rows: int = LIST_ROWS) -> DataFrame
     sizes = group_sizes(entries, keys)
     count = F.ceil(F.col("group_rows") / F.lit(list_rows))
     long = sizes.where(F.col("group_rows") > list_rows).select(*keys, count.alias("lists"))
-    cut = join_hot(entries, long, keys, ["file_path"], "left", sizes)
+    cut = join_hot(entries, long, keys, ["file_path"], "left", group_sizes(index, keys))
     part = F.pmod(F.xxhash64("file_path", "form_type"), F.coalesce("lists", F.lit(1)))
     entry = F.struct("filing_date", "file_path", "form_type")
     return cut.groupBy(*keys, part.cast("int").alias("part")).agg(

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docketspark.functions import forms, identifiers, urls
-from docketspark.operators import documents, entities, fetch, selection
+from docketspark.operators import documents, entities, fetch, hooks, selection
 from docketspark.operators import index as index_ops
+from docketspark.plans.check import check_index
 from docketspark.plans.retrieve import retrieve, retrieved_index
 from docketspark.plans.watch import archive_catalog, new_filings
 from docketspark.queries import feeds
@@ -65,6 +67,16 @@ def submissions_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _dated(rows.select(*_FILING, F.get("file_num", 0).alias("file_number")))
 
 
+@query
+def submissions_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with arrays of unequal length: those of keys ending in 3 lose one."""
+    docs = feeds.submission_documents(spark, sf_dir)
+    emptied = F.regexp_replace("v", r'"fileNumber":\[[^\]]*\]', '"fileNumber":[]')
+    text = F.when(F.col("cik").endswith("3"), emptied).otherwise(F.col("v"))
+    broken = docs.select(text.alias("v"))
+    return submissions.malformed_submissions(submissions.parse_submissions(broken))
+
+
 @query
 def newer_filings(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = selection.newer_filings(_catalog(spark, sf_dir), AFTER, ["10-K", "10-K/A", "S-1"])
@@ -114,8 +126,8 @@ def search_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _selected(hits: DataFrame) -> DataFrame:
-    rows = hits.select("hit_id", F.try_element_at("ciks", F.lit(-1)).alias("cik"), "file_type", "filing_date")
-    return _dated(rows)
+    last = F.try_element_at("ciks", F.lit(-1)).alias("cik")
+    return _dated(hits.select("hit_id", last, "file_type", "filing_date"))
 
 
 @query
@@ -164,11 +176,19 @@ def preferred_type_default(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _plan(spark: SparkSession, sf_dir: str, preferred: Column | None, skip: bool) -> DataFrame:
     rows = feeds.catalog(spark, sf_dir)
     rows = rows.withColumn("base_url", urls.filing_base_url("cik", "accession_number"))
-    rows = rows.select("cik", "form_type", "root_form", "accession_number", "main_file_name", "base_url")
+    rows = rows.drop("filing_date", "file_num")
     return fetch.plan_urls(rows, "root_form", preferred, skip)
 
 
-_PLAN = ["cik", "accession_number", "main_file_name", "preferred_type", "file_url", "fallback_url", "skip"]
+_PLAN = [
+    "cik",
+    "accession_number",
+    "main_file_name",
+    "preferred_type",
+    "file_url",
+    "fallback_url",
+    "skip",
+]
 
 
 @query
@@ -182,6 +202,12 @@ def url_plan_skip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plan(spark, sf_dir, asked, True).select(*_PLAN)
 
 
+@query
+def accession_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plan = fetch.plan_by_accession(feeds.catalog(spark, sf_dir))
+    return plan.select("cik", "accession_number", "base_url", "file_url")
+
+
 @query
 def url_plan_to_fetch(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = fetch.to_fetch(_plan(spark, sf_dir, F.lit("htm"), True))
@@ -328,6 +354,16 @@ def index_check_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index_ops.check_report(index, feeds.manifest(spark, sf_dir))
 
 
+@query
+def index_check_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored index is checked against the stored files and written anew."""
+    root = scratch_dir(spark, "check")
+    append_index(feeds.index(spark, sf_dir), f"{root}/index", "000001")
+    manifest = feeds.manifest(spark, sf_dir)
+    where, _ = check_index(spark, f"{root}/index", manifest, f"{root}/checked")
+    return _dated(read_index(spark, where))
+
+
 @query
 def index_new_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = feeds.index(spark, sf_dir)
@@ -433,6 +469,26 @@ def zip_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def document_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Members of stored archives as documents next to them."""
+    zips = feeds.zipped_pages(spark, sf_dir)
+    key = F.substring_index("archive", ".", 1).cast("bigint")
+    path = identifiers.relative_path(
+        feeds.padded(key % 50, 10), F.lit("10-K"), feeds.padded(key, 18), "archive"
+    )
+    members = archives.expand_archives(zips.select(path.alias("archive"), "content"))
+    stored = documents.stored_members(members)
+    return stored.select(
+        "file_path",
+        "cik",
+        "form_type",
+        "accession_number",
+        F.md5("content").alias("content_md5"),
+        "content_length",
+    )
+
+
 @query
 def submissions_from_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     zips = feeds.zipped_submissions(spark, sf_dir, scratch_dir(spark, "zips"))
@@ -444,10 +500,9 @@ def submissions_from_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
 def thirteen_f_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = feeds.table(spark, sf_dir, "orders")
     # Twenty-two years later as well: both folders of the list occur.
-    dates = F.explode(
-        F.array(F.col("o_orderdate").cast("date"), F.add_months(F.col("o_orderdate").cast("date"), 264))
-    ).alias("day")
-    return securities.security_list_urls(orders.select(dates), "day")
+    day = F.col("o_orderdate").cast("date")
+    days = F.explode(F.array(day, F.add_months(day, 264))).alias("day")
+    return securities.security_list_urls(orders.select(days), "day")
 
 
 @query
@@ -488,6 +543,18 @@ def identifier_scalars(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def filing_hook(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A user function over all filings, batch by batch."""
+
+    def label(batch: pd.DataFrame) -> pd.DataFrame:
+        text = batch["form_type"].str.lower() + "@" + batch["filing_date"]
+        return pd.DataFrame({"accession_number": batch["accession_number"], "label": text})
+
+    rows = _dated(feeds.catalog(spark, sf_dir).select(*_FILING))
+    return hooks.map_filings(rows, label, "accession_number string, label string")
+
+
 @query
 def retrieve_filings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Requests -> companies -> hits -> newest three -> plan -> available address."""
@@ -548,5 +615,5 @@ def stream_new_filings(spark: SparkSession, sf_dir: str) -> DataFrame:
     filings = stream_submissions(spark, f"{root}/documents", multi_line=False)
     feed = without_repeats(filings.select(*_FILING))
     write_feed(feed, f"{root}/feed", f"{root}/checkpoint").awaitTermination()
-    schema = "cik string, form_type string, accession_number string, main_file_name string, filing_date date"
-    return _dated(spark.read.schema(schema).parquet(f"{root}/feed").select(*_FILING))
+    schema = feed.select(*_FILING).schema
+    return _dated(spark.read.schema(schema).parquet(f"{root}/feed"))

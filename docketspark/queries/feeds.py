@@ -125,13 +125,9 @@ def search_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = F.struct(
         F.struct("hits").alias("hits"), F.struct(F.size("hits").alias("size")).alias("query")
     )
-    failed = F.struct(
-        F.struct(
-            F.array(F.struct(F.concat(F.lit("no access: "), F.col("c_name")).alias("reason"))).alias(
-                "root_cause"
-            )
-        ).alias("error")
-    )
+    reason = F.concat(F.lit("no access: "), F.col("c_name")).alias("reason")
+    causes = F.array(F.struct(reason)).alias("root_cause")
+    failed = F.struct(F.struct(causes).alias("error"))
     customers = table(spark, sf_dir, "customer").where(F.col("c_acctbal") < 0)
     return pages.select(F.to_json(found).alias("v")).unionAll(
         customers.select(F.to_json(failed).alias("v"))

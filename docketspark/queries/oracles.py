@@ -116,6 +116,14 @@ _ALL_INDEX = "cik, form_type, file_number, file_path, filing_date"
 
 ORACLES = {
     "submissions_explode": _with(["v_filings"], f"select {_FILING}, file_number from v_filings"),
+    # Documents of keys ending in 3 lack their file numbers.
+    "submissions_malformed": _with(
+        ["v_filings"],
+        """select cik, n as form, n as "accessionNumber", n as "filingDate",
+                  n as "primaryDocument", cast(0 as int) as "fileNumber"
+           from (select cik, cast(count(*) as int) as n from v_filings
+                 where right(cik, 1) = '3' group by cik, order_no // 65536)""",
+    ),
     "newer_filings": _with(
         ["v_filings"],
         f"""select {_FILING} from v_filings
@@ -131,8 +139,9 @@ ORACLES = {
         ["v_filings"],
         f"""select * from (
               select {_FILING},
-                     row_number() over (partition by cik, file_type
-                       order by filing_date desc, accession_number desc) as rank, base_url
+                     cast(row_number() over (partition by cik, file_type
+                       order by filing_date desc, accession_number desc) as int) as rank,
+                     base_url
               from v_filings) where rank <= 3""",
     ),
     "newest_n_overall": _with(
@@ -205,6 +214,11 @@ ORACLES = {
                                       when right(cik, 1) = '4' then 'html'
                                       else preferred_type end as pref from v_plan))""",
     ),
+    "accession_urls": _with(
+        ["v_filings"],
+        """select cik, accession_number, base_url, base_url || '/' || main_file_name as file_url
+           from v_filings""",
+    ),
     "url_plan_to_fetch": _with(
         ["v_filings"],
         """select cik, accession_number, base_url || '/' || main_file_name as file_url
@@ -329,6 +343,11 @@ ORACLES = {
                  group by 1, 2)
            group by 1""",
     ),
+    "index_check_rewrite": _with(
+        ["v_index", "v_present"],
+        f"""select {_ALL_INDEX} from v_index
+            where file_path in (select file_path from v_present)""",
+    ),
     "index_new_only": _with(
         ["v_index"], f"select {_ALL_INDEX} from v_index where filing_date >= '1999-01-01'"
     ),
@@ -397,6 +416,16 @@ ORACLES = {
     "submissions_from_archives": _with(
         ["v_filings"], f"select {_FILING}, file_number from v_filings"
     ),
+    "document_members": """
+        select folder || m.member as file_path, cik, form_type, accession_number,
+               md5(m.content) as content_md5, cast(strlen(m.content) as int) as content_length
+        from (select *, cik || '/' || form_type || '/' || accession_number || '/' as folder,
+                     unnest([{'member': 'data/main.htm', 'content': html},
+                             {'member': 'url.txt', 'content': url}]) as m
+              from (select lpad(cast(page_id % 50 as varchar), 10, '0') as cik,
+                           '10-K' as form_type,
+                           lpad(cast(page_id as varchar), 18, '0') as accession_number,
+                           html, url from pages))""",
     "thirteen_f_urls": """
         select distinct cast(year(d) as int) as year, cast(quarter(d) as int) as quarter,
                case when year(d) > 2021 or (year(d) = 2021 and quarter(d) >= 2)
@@ -458,6 +487,11 @@ ORACLES = {
                  join v_number using (order_no)
                  where rn <= 3 and number % 11 <> 0 and number % 7 <> 0)""",
     ),
+    "filing_hook": _with(
+        ["v_filings"],
+        """select accession_number, lower(file_type) || '@' || filing_date as label
+           from v_filings""",
+    ),
     "watch_new_filings": _with(
         ["v_filings", "v_index"],
         """select i.cik, i.form_type, i.file_number, i.file_path, i.filing_date,

@@ -19,9 +19,8 @@ from docketspark.functions.identifiers import accession_from_path
 from docketspark.operators.index import file_number_lists, not_indexed, one_per_key
 from docketspark.schemas import INDEX, INDEX_COLUMNS
 
-_STORED = T.StructType(
-    [*INDEX.fields, T.StructField("batch", T.StringType()), T.StructField("filed_in", T.StringType())]
-)
+_LAYOUT = [T.StructField(name, T.StringType()) for name in ("batch", "filed_in")]
+_STORED = T.StructType([*INDEX.fields, *_LAYOUT])
 
 
 def _filed_in() -> Column:

@@ -41,17 +41,14 @@ def security_rows(cells: DataFrame) -> DataFrame:
     the last column is the status. A table's width is that of its widest row,
     counted before the shuffle; other widths keep their cells.
     """
-    tables = cells.groupBy("table_id").agg(
-        F.max(F.size("cells")).alias("width"), F.count(F.lit(1)).alias("group_rows")
-    )
-    widths = tables.select("table_id", "width")
+    widths = cells.groupBy("table_id").agg(F.max(F.size("cells")).alias("width"))
     cell = F.col("cells")
     kept = (
         F.when(F.col("width") == 5, F.array(F.get(cell, 0), F.get(cell, 2), F.get(cell, 3)))
         .when(F.col("width") == 4, F.array(F.get(cell, 0), F.get(cell, 1), F.get(cell, 2)))
         .otherwise(cell)
     )
-    joined = join_hot(cells, widths, ["table_id"], ["row_no"], sizes=tables)
+    joined = join_hot(cells, widths, ["table_id"], ["row_no"])
     rows = joined.select("table_id", "row_no", kept.alias("cells"))
     names = ["cusip", "issuer", "description"]
     return rows.select(

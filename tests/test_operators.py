@@ -201,9 +201,9 @@ def test_hot_groups_are_spread_and_the_join_stays_whole(spark):
     )
     right = left.select("k").distinct().withColumn("name", F.concat(F.lit("n"), "k"))
     sizes = group_sizes(left, ["k"])
-    hot = hot_groups(sizes, ["k"], hot_rows=100, hot_share=0.01).collect()
+    hot = hot_groups(sizes, ["k"], hot_rows=100).collect()
     assert [(r.k, r._parts) for r in hot] == [("hot", 10)]
-    limits = {"hot_rows": 100, "hot_share": 0.01}
+    limits = {"hot_rows": 100}
     joined = join_hot(left, right, ["k"], ["v"], **limits)
     assert joined.columns == ["k", "v", "name"]
     got = joined.collect()
