@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from docketspark.operators.index import index_rows
 from docketspark.session import spread
-from docketspark.sources.archives import locate
+from docketspark.sources.files import locate
 
 # Orders per submission document and per search-result page, suppliers per ticker file.
 SUBMISSION_RANGE = 65_536

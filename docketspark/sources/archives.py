@@ -9,18 +9,18 @@ list has to fit in memory.
 from __future__ import annotations
 
 import io
-import re
 import sys
 import zipfile
 import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyarrow import fs
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docketspark.sources.files import open_input, record_batches
+
 # The functions below travel to the tasks themselves, so this package need not be
 # installed on the executors.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -29,7 +29,6 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 RANGE_BYTES = 64 << 20
 # Longer members come as several rows, numbered by ``part``.
 PART_BYTES = 256 << 20
-_BATCH_BYTES = 32 << 20
 _LOCAL_HEADER = 30
 
 MEMBER_SCHEMA = (
@@ -48,36 +47,6 @@ def list_archives(spark: SparkSession, path: str | list[str]) -> DataFrame:
     )
 
 
-def locate(path: str) -> tuple[fs.FileSystem, str]:
-    """The file system of a path and the path in it."""
-    if "://" in path and not path.startswith("file:"):
-        return fs.FileSystem.from_uri(path)
-    return fs.LocalFileSystem(), re.sub("^file:(//)?", "", path)
-
-
-def _open(path: str) -> pa.NativeFile:
-    system, name = locate(path)
-    return system.open_input_file(name)
-
-
-def _batches(rows: Iterator[tuple], schema: pa.Schema, size_of) -> Iterator[pa.RecordBatch]:
-    """Rows in record batches bounded by bytes."""
-    pending, size = [], 0
-    for row in rows:
-        pending.append(row)
-        size += size_of(row)
-        if size >= _BATCH_BYTES:
-            yield _record_batch(pending, schema)
-            pending, size = [], 0
-    if pending:
-        yield _record_batch(pending, schema)
-
-
-def _record_batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
-    columns = [pa.array(values, kind) for values, kind in zip(zip(*rows), schema.types)]
-    return pa.RecordBatch.from_arrays(columns, schema=schema)
-
-
 _MEMBER_ARROW = pa.schema(
     [
         ("archive", pa.string()),
@@ -119,10 +88,10 @@ def _list_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     def rows():
         for batch in batches:
             for name in batch.column("archive").to_pylist():
-                with _open(name) as handle:
+                with open_input(name) as handle:
                     yield from _entries(name, handle)
 
-    yield from _batches(rows(), _MEMBER_ARROW, lambda row: 128 + len(row[1]))
+    yield from record_batches(rows(), _MEMBER_ARROW, lambda row: 128 + len(row[1]))
 
 
 def archive_members(archives: DataFrame) -> DataFrame:
@@ -173,14 +142,14 @@ def _read_members(part_bytes: int):
                     if entry["archive"] != name:
                         if handle is not None:
                             handle.close()
-                        name, handle = entry["archive"], _open(entry["archive"])
+                        name, handle = entry["archive"], open_input(entry["archive"])
                     pieces = _inflate(handle, entry, part_bytes) if entry["length"] else [b""]
                     for part, content in enumerate(pieces):
                         yield (name, entry["member"], entry["position"], part, content)
             if handle is not None:
                 handle.close()
 
-        yield from _batches(rows(), _CONTENT_ARROW, lambda row: 128 + len(row[4]))
+        yield from record_batches(rows(), _CONTENT_ARROW, lambda row: 128 + len(row[4]))
 
     return read
 
@@ -205,7 +174,7 @@ def _expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     for part, data in enumerate(pieces):
                         yield (name, fields["member"], fields["position"], part, data)
 
-    yield from _batches(rows(), _CONTENT_ARROW, lambda row: 128 + len(row[4]))
+    yield from record_batches(rows(), _CONTENT_ARROW, lambda row: 128 + len(row[4]))
 
 
 def expand_archives(stored: DataFrame) -> DataFrame:

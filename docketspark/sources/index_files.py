@@ -1,4 +1,4 @@
-"""Import of index files and listing of stored files."""
+"""Import of index files."""
 
 from __future__ import annotations
 
@@ -47,17 +47,3 @@ def with_locations(index: DataFrame, root: str) -> DataFrame:
     return index.withColumn("accession_number", accession_from_path("file_path")).withColumn(
         "file_path", absolute_path(root, "file_path")
     )
-
-
-def list_stored_files(spark: SparkSession, root: str) -> DataFrame:
-    """Manifest ``file_path, length, modified`` of the files below ``root/filings``.
-
-    Only names are listed; the content column is pruned and no file is opened.
-    """
-    folder = f"{root.rstrip('/')}/filings/"
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
-    return files.select(
-        F.substring_index("path", "/filings/", -1).alias("file_path"),
-        "length",
-        F.col("modificationTime").alias("modified"),
-    )

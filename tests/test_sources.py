@@ -9,6 +9,7 @@ from docketspark.operators import entities
 from docketspark.sources import entities as entity_files
 from docketspark.sources import facts as fact_files
 from docketspark.sources import index_files, search, securities, submissions
+from docketspark.sources.files import list_stored_files
 
 
 def recent(**arrays):
@@ -228,7 +229,7 @@ def test_stored_files_are_listed_without_reading_them(spark, tmp_path):
     folder.mkdir(parents=True)
     (folder / "a.xml").write_text("abc")
     (tmp_path / "other.txt").write_text("not a filing")
-    files = index_files.list_stored_files(spark, str(tmp_path))
+    files = list_stored_files(spark, str(tmp_path))
     assert [(r.file_path, r.length) for r in files.collect()] == [
         ("0000000001/4/000000000120000007/a.xml", 3)
     ]

@@ -15,7 +15,9 @@ from docketspark.sinks.index_table import (
     rewrite_index,
     write_file_number_index,
 )
-from docketspark.sources.index_files import list_stored_files, parse_file_number_index
+from docketspark.sources.facts import concept_facts
+from docketspark.sources.files import list_stored_files, stored_files_of
+from docketspark.sources.index_files import parse_file_number_index
 from docketspark.sources.submissions import explode_submissions, parse_submissions
 from docketspark.streaming.index_stream import stream_submissions, stream_to_index
 from docketspark.streaming.live_feed import dropped_as_late, without_repeats, write_feed
@@ -86,6 +88,10 @@ def test_check_writes_a_new_table_only_when_something_goes(spark, tmp_path):
         file.parent.mkdir(parents=True)
         file.write_text("x")
     manifest = list_stored_files(spark, str(tmp_path))
+    listed = {(r.file_path, r.length) for r in manifest.collect()}
+    by_folder = stored_files_of(read_index(spark, table), str(tmp_path))
+    assert {(r.file_path, r.length) for r in by_folder.collect()} == listed
+    assert len(listed) == 3
     new, removed = check_index(spark, table, manifest, str(tmp_path / "checked"))
     assert (new, removed) == (str(tmp_path / "checked"), 1)
     assert {r.file_path for r in read_index(spark, new).collect()} == set(paths[:3])
@@ -118,6 +124,20 @@ def test_security_csv_refuses_an_existing_target(spark, tmp_path):
     assert [tuple(r) for r in spark.read.csv(path).collect()] == [("c", "i", "d")]
 
 
+def test_stored_facts_are_found_by_concept(spark, tmp_path):
+    rows = [(c, x, t, "USD", n) for n, (c, x, t) in enumerate(
+        [("0000000001", "us-gaap", "Assets"), ("0000000002", "us-gaap", "Assets"),
+         ("0000000001", "us-gaap", "Cash"), ("0000000001", "dei", "Assets")]
+    )]
+    facts = spark.createDataFrame(
+        rows, "cik string, taxonomy string, tag string, unit string, val int"
+    ).withColumn("end", F.lit("2020-12-31"))
+    tables.write_facts(facts, str(tmp_path / "facts"))
+    stored = spark.read.parquet(str(tmp_path / "facts"))
+    assert sorted(r.val for r in concept_facts(stored, "us-gaap", "Assets").collect()) == [0, 1]
+    assert [r.val for r in concept_facts(stored, "us-gaap", "Assets", "1").collect()] == [0]
+
+
 def test_ticker_map_and_documents_are_stored(spark, tmp_path):
     tickers = spark.createDataFrame([("A", "1")], "ticker string, cik string")
     for _ in range(2):
