@@ -28,11 +28,16 @@ def stream_to_index(filings: DataFrame, table: str, checkpoint: str) -> Streamin
 
     A delivered document repeats all filings of its company, so every batch is
     compared with the table. A batch that is run again after a failure replaces
-    its own folder and so leaves each entry once.
+    its own folder and so leaves each entry once. Batches are named after the
+    query too, whose id lives in the checkpoint: a stream started anew counts
+    from zero but must not replace the batches of the one before it.
     """
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        append_index(batch, table, f"{batch_id:012d}")
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if not query:
+            raise ValueError("the stream has no query id to name its batches by")
+        append_index(batch, table, f"{query}-{batch_id:012d}")
 
     return (
         index_rows(filings)

@@ -168,6 +168,18 @@ def test_stream_leaves_what_a_batch_leaves(spark, tmp_path):
     assert entries(read_index(spark, str(tmp_path / "index"))) == entries(batch)
 
 
+def test_a_stream_started_anew_keeps_what_the_first_one_wrote(spark, tmp_path):
+    for name, key in (("first", 1), ("second", 2)):
+        folder = tmp_path / name
+        folder.mkdir()
+        (folder / f"CIK{key:010d}.json").write_text(document(key, range(3)))
+        filings = stream_submissions(spark, str(folder))
+        check = str(tmp_path / f"{name}-check")
+        stream_to_index(filings, str(tmp_path / "index"), check).awaitTermination()
+    assert len(entries(read_index(spark, str(tmp_path / "index")))) == 6
+    assert len(list((tmp_path / "index").glob("batch=*"))) == 2
+
+
 def feed(spark, tmp_path, deliveries, name):
     folder = tmp_path / name
     folder.mkdir()
