@@ -10,6 +10,8 @@ from docketspark.functions.columns import ColumnLike, as_column
 from docketspark.functions.forms import preferred_type
 from docketspark.functions.identifiers import file_name, file_suffix
 
+_NO_URL_PARTS = 4096
+
 
 def plan_urls(
     filings: DataFrame,
@@ -61,31 +63,39 @@ def choose_available(
 ) -> DataFrame:
     """Take the preferred address if it exists, else the fallback; null if neither does.
 
-    ``available`` holds a column ``url``. The candidates of a row are checked in
-    one join and brought back together by an aggregation that starts before its
-    shuffle. Repeated rows of the plan are merged before the join, where they
-    would meet in one task. A caller who skips other types gets no fallback.
+    ``available`` holds a column ``url``. Repeated rows of the plan are merged
+    before the joins, where they would meet in one task. A caller who skips other
+    types gets no fallback.
     """
-    candidates = ["file_url"] if skip_not_preferred else ["file_url", "fallback_url"]
-    # A fallback equal to the preferred address is no second candidate.
-    tries = F.array_distinct(F.array(*candidates))
     columns = plan.columns
-    exists = available.select("url").distinct().withColumn("_exists", F.lit(True))
-    checked = (
-        to_fetch(plan)
-        .distinct()
-        .select(*columns, F.posexplode(tries).alias("_rank", "url"))
-        .join(exists, "url", "left")
+    exists = available.where(F.col("url").isNotNull()).select("url").distinct()
+    # Stands in for an address that need not be looked up; null keys would all
+    # meet in one task.
+    nowhere = F.concat(
+        F.lit("\t"), F.pmod(F.xxhash64("accession_number"), F.lit(_NO_URL_PARTS)).cast("string")
     )
-    # A number is aggregated, not the address: that keeps the aggregation hashed.
-    best = F.min(F.when(F.col("_exists"), F.col("_rank"))).alias("_best")
-    chosen = checked.groupBy(*columns).agg(best)
-    fetched = F.get(tries, F.col("_best"))
-    return chosen.select(
+
+    def look_up(rows: DataFrame, address: Column, found: str) -> DataFrame:
+        # All addresses begin alike, which makes sorting them slow; a hash sorts fast.
+        keyed = rows.withColumn("_try", F.coalesce(address, nowhere))
+        keyed = keyed.withColumn("_hash", F.xxhash64("_try"))
+        url = F.col("url")
+        known = exists.select(F.xxhash64(url).alias("_hash"), url.alias("_try"), url.alias(found))
+        return keyed.join(known, ["_hash", "_try"], "left").drop("_hash", "_try")
+
+    checked = look_up(to_fetch(plan).distinct(), F.col("file_url"), "_first")
+    if not skip_not_preferred:
+        needed = F.when(F.col("_first").isNull(), F.col("fallback_url"))
+        checked = look_up(checked, needed, "_spare")
+    else:
+        checked = checked.withColumn("_spare", F.lit(None).cast("string"))
+    return checked.select(
         *columns,
-        fetched.alias("fetched_url"),
-        file_name(fetched).alias("save_name"),
-        (F.col("_best") > 0).alias("used_fallback"),
+        F.coalesce("_first", "_spare").alias("fetched_url"),
+        file_name(F.coalesce("_first", "_spare")).alias("save_name"),
+        F.when(F.col("_first").isNotNull(), False)
+        .when(F.col("_spare").isNotNull(), True)
+        .alias("used_fallback"),
     )
 
 

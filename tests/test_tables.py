@@ -3,7 +3,7 @@ from __future__ import annotations
 import json
 
 import pytest
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, StreamingQueryException
 from pyspark.sql import functions as F
 
 from docketspark.operators.index import index_rows, one_per_key
@@ -168,6 +168,34 @@ def test_stream_leaves_what_a_batch_leaves(spark, tmp_path):
     assert entries(read_index(spark, str(tmp_path / "index"))) == entries(batch)
 
 
+def test_a_batch_that_fails_after_writing_leaves_each_entry_once(spark, tmp_path, monkeypatch):
+    from docketspark.streaming import index_stream
+
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "CIK0000000001.json").write_text(document(1, range(4)))
+    calls = []
+
+    def failing(batch, table, name):
+        append_index(batch, table, name)
+        calls.append(name)
+        if len(calls) == 1:
+            raise RuntimeError("lost after the write")
+
+    monkeypatch.setattr(index_stream, "append_index", failing)
+
+    def run():
+        filings = stream_submissions(spark, str(folder))
+        query = stream_to_index(filings, str(tmp_path / "index"), str(tmp_path / "check"))
+        query.awaitTermination()
+
+    with pytest.raises(StreamingQueryException):
+        run()
+    run()
+    assert len(calls) == 2 and calls[0] == calls[1]
+    assert len(entries(read_index(spark, str(tmp_path / "index")))) == 4
+
+
 def test_a_stream_started_anew_keeps_what_the_first_one_wrote(spark, tmp_path):
     for name, key in (("first", 1), ("second", 2)):
         folder = tmp_path / name
