@@ -115,7 +115,11 @@ def file_number_lists(index: DataFrame, list_rows: int = LIST_ROWS) -> DataFrame
 
 
 def _marked(index: DataFrame, manifest: DataFrame) -> DataFrame:
-    """Distinct entries with ``copies`` and whether their file is ``stored``."""
+    """Distinct entries with ``copies`` and whether their file is ``stored``.
+
+    An outer join, because the optimizer moves semi and anti joins below the
+    aggregation, where an entry repeated many times is compared many times.
+    """
     entries = index.groupBy(*INDEX_COLUMNS).agg(F.count(F.lit(1)).alias("copies"))
     files = manifest.select("file_path").distinct().withColumn("_stored", F.lit(True))
     marked = entries.join(files, "file_path", "left")
@@ -124,14 +128,12 @@ def _marked(index: DataFrame, manifest: DataFrame) -> DataFrame:
 
 def index_kept(index: DataFrame, manifest: DataFrame) -> DataFrame:
     """The index after a check: no repeated rows, no rows without a stored file."""
-    files = manifest.select("file_path")
-    return index.distinct().join(files, "file_path", "left_semi").select(*INDEX_COLUMNS)
+    return _marked(index, manifest).where("stored").select(*INDEX_COLUMNS)
 
 
 def index_removed(index: DataFrame, manifest: DataFrame) -> DataFrame:
     """Entries whose file is not stored."""
-    files = manifest.select("file_path")
-    return index.distinct().join(files, "file_path", "left_anti").select(*INDEX_COLUMNS)
+    return _marked(index, manifest).where(~F.col("stored")).select(*INDEX_COLUMNS)
 
 
 def check_report(index: DataFrame, manifest: DataFrame) -> DataFrame:

@@ -104,10 +104,12 @@ def _since_nth_newest(filings: DataFrame, group: list[str], n: int) -> DataFrame
 def unknown_forms(filings: DataFrame, known: DataFrame, form: str = "form_type") -> DataFrame:
     """Forms outside the known list (column ``form_type``), with their counts.
 
-    Forms are counted before they are compared, so the join sees each form once.
-    Amendments count as their base form.
+    Forms are counted before they are compared, so the join sees each form once
+    (an anti join would be moved below the counting). Amendments count as their
+    base form.
     """
     counts = filings.groupBy(base_form(form).alias("form_type")).agg(
         F.count(F.lit(1)).alias("n_filings")
     )
-    return counts.join(known.select("form_type").distinct(), "form_type", "left_anti")
+    names = known.select("form_type").distinct().withColumn("_known", F.lit(True))
+    return counts.join(names, "form_type", "left").where(F.col("_known").isNull()).drop("_known")
