@@ -65,7 +65,12 @@ def absolute_path(root: str, path: ColumnLike) -> Column:
 
 def accession_from_path(path: ColumnLike) -> Column:
     """The deepest folder of a path that is an accession number, else null."""
-    segments = F.split(F.translate(as_column(path), "\\", "/"), "/")
+    path = F.translate(as_column(path), "\\", "/")
+    # Nearly always it is the folder of the file itself.
+    nearest = accession(F.substring_index(F.substring_index(path, "/", -2), "/", 1))
+    is_nearest = path.contains("/") & (F.length(nearest) == ACCESSION_LENGTH)
+    segments = F.split(path, "/")
     folders = F.slice(segments, F.lit(1), F.greatest(F.size(segments) - 1, F.lit(0)))
     candidates = F.transform(F.reverse(folders), accession)
-    return F.get(F.filter(candidates, lambda name: F.length(name) == ACCESSION_LENGTH), 0)
+    deepest = F.get(F.filter(candidates, lambda name: F.length(name) == ACCESSION_LENGTH), 0)
+    return F.when(is_nearest, nearest).otherwise(deepest)
