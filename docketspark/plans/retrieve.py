@@ -13,7 +13,8 @@ from docketspark.operators.index import index_rows
 from docketspark.operators.selection import newest_per_group
 from docketspark.sources.search import hit_metadata
 
-_PER_REQUEST = ["request_cik", "request_form"]
+_KEY = ["request_cik", "request_form"]
+_REQUEST = [*_KEY, "request_after", "request_before"]
 
 
 def requested_filings(
@@ -26,25 +27,29 @@ def requested_filings(
     """Metadata of the filings each request asks for.
 
     ``requests``: ``ticker_or_cik, form_type, after_date, before_date`` (dates may
-    be null). There is one request per company and form: of several, the widest
-    date range counts. A hit belongs to every company it names.
+    be null: open). Equal requests are one request; requests that differ in a
+    date each get their own newest filings. A hit belongs to every company it names.
     """
     resolved = resolve_companies(requests, tickers).where(F.col("cik").isNotNull())
-    first = F.coalesce("after_date", F.lit("0001-01-01").cast("date"))
-    last = F.coalesce("before_date", F.lit("9999-12-31").cast("date"))
-    wanted = resolved.groupBy(
-        F.col("cik").alias("request_cik"), F.col("form_type").alias("request_form")
-    ).agg(F.min(first).alias("_first"), F.max(last).alias("_last"))
+    wanted = resolved.select(
+        F.col("cik").alias("request_cik"),
+        F.col("form_type").alias("request_form"),
+        F.col("after_date").alias("request_after"),
+        F.col("before_date").alias("request_before"),
+    ).distinct()
     if not amendments:
         hits = hits.where(~is_amendment("file_type"))
-    by_company = hits.withColumn("request_form", base_form("file_type")).withColumn(
+    # An amendment answers requests for its base form and for itself.
+    names = F.array_distinct(F.array("file_type", base_form("file_type")))
+    by_company = hits.withColumn("request_form", F.explode(names)).withColumn(
         "request_cik", F.explode(F.array_distinct("ciks"))
     )
-    asked = join_short(by_company, wanted, _PER_REQUEST, ["hit_id"]).where(
-        F.col("filing_date").between(F.col("_first"), F.col("_last"))
+    # Open bounds hold for any date, so a hit without a date answers open requests only.
+    after, before, date = F.col("request_after"), F.col("request_before"), F.col("filing_date")
+    asked = join_short(by_company, wanted, _KEY, ["hit_id"]).where(
+        (after.isNull() | (date >= after)) & (before.isNull() | (date <= before))
     )
-    metadata = hit_metadata(asked.drop("_first", "_last"))
-    return newest_per_group(metadata, _PER_REQUEST, number_of_filings).drop("rank")
+    return newest_per_group(hit_metadata(asked), _REQUEST, number_of_filings).drop("rank")
 
 
 def retrieve(

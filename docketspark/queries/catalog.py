@@ -567,8 +567,10 @@ def retrieve_filings(spark: SparkSession, sf_dir: str) -> DataFrame:
         feeds.available(plan),
         number_of_filings=3,
     )
-    names = ["request_cik", "request_form", "cik", "form_type", "accession_number", "fetched_url"]
-    return _dated(fetched.select(*names, "save_name", "used_fallback", "filing_date"))
+    request = ["request_cik", "request_form", "request_after", "request_before"]
+    names = ["cik", "form_type", "accession_number", "fetched_url", "save_name", "used_fallback"]
+    rows = fetched.select(*request, *names, "filing_date")
+    return _dated(rows, "request_after", "request_before", "filing_date")
 
 
 @query

@@ -65,20 +65,21 @@ _VIEWS = {
         select order_no, cast(right(accession_number, 4) as int) as number from v_filings""",
     # The hits that the request of a company and form may take.
     "v_requests": """
-        select r.cik as request_cik, r.request_form,
-               min(case when r.q_id % 4 >= 2 then '1996-01-01' else '0001-01-01' end) as first,
-               max(case when r.q_id % 4 >= 2 then '1999-12-31' else '9999-12-31' end) as last
-        from (select *, case when q_id % 3 = 0 then '10-Q' else '10-K' end as request_form
-              from v_resolved where cik is not null) r
-        group by 1, 2""",
+        select distinct cik as request_cik,
+               case when q_id % 3 = 0 then '10-Q' else '10-K' end as request_form,
+               case when q_id % 4 >= 2 then '1996-01-01' end as request_after,
+               case when q_id % 4 >= 2 then '1999-12-31' end as request_before
+        from v_resolved where cik is not null""",
     "v_hits": """
         select cik as request_cik, * from v_filings
         union
         select '0000000001' as request_cik, * from v_filings""",
     "v_asked": """
-        select h.*, r.request_form from v_hits h join v_requests r
+        select h.*, r.request_form, r.request_after, r.request_before
+        from v_hits h join v_requests r
           on h.request_cik = r.request_cik and h.root_form = r.request_form
-         and h.filing_date between r.first and r.last""",
+         and h.filing_date between coalesce(r.request_after, '0001-01-01')
+                               and coalesce(r.request_before, '9999-12-31')""",
 }
 
 _NEEDS = {
@@ -461,14 +462,16 @@ ORACLES = {
               from orders)""",
     "retrieve_filings": _with(
         ["v_asked", "v_number"],
-        """select request_cik, request_form, cik, root_form as form_type, accession_number,
+        """select request_cik, request_form, request_after, request_before,
+                  cik, root_form as form_type, accession_number,
                   url as fetched_url, regexp_replace(url, '^.*/', '') as save_name,
                   url <> file_url as used_fallback, filing_date
            from (select *, case when number % 11 = 0 then null
                      when number % 7 = 0 then base_url || '/' || main_file_name
                      else file_url end as url
                  from (select *, base_url || '/' || accession_number || '-xbrl.zip' as file_url,
-                              row_number() over (partition by request_cik, request_form
+                              row_number() over (partition by request_cik, request_form,
+                                  request_after, request_before
                                 order by filing_date desc, accession_number desc) as rn
                        from v_asked) join v_number using (order_no)
                  where rn <= 3)""",
@@ -481,7 +484,8 @@ ORACLES = {
            from (select *, case when order_no % 6 = 0
                    then [file_number, '333-' || lpad(cast(order_no % 11 as varchar), 5, '0')]
                    else [file_number] end as numbers
-                 from (select *, row_number() over (partition by request_cik, request_form
+                 from (select *, row_number() over (partition by request_cik, request_form,
+                                  request_after, request_before
                                 order by filing_date desc, accession_number desc) as rn
                        from v_asked where file_type not like '%/A')
                  join v_number using (order_no)

@@ -220,7 +220,13 @@ def test_hot_groups_are_spread_and_the_join_stays_whole(spark):
 def test_requests_of_many_companies(spark, monkeypatch, limit):
     monkeypatch.setattr("docketspark.functions.skew.BROADCAST_ROWS", limit)
     requests = spark.createDataFrame(
-        [("ab", "S-1", "2020-01-01", None), ("2", "S-1", None, None), ("zz", "S-1", None, None)],
+        [
+            ("ab", "S-1", "2020-01-01", None),
+            ("AB", "S-1", "2020-01-01", None),
+            ("ab", "S-1", "2019-01-01", "2019-12-31"),
+            ("2", "S-1", None, None),
+            ("zz", "S-1", None, None),
+        ],
         "ticker_or_cik string, form_type string, a string, b string",
     ).select("ticker_or_cik", "form_type", F.col("a").cast("date").alias("after_date"), F.col("b").cast("date").alias("before_date"))
     tickers = spark.createDataFrame([("AB", "0000000001")], "ticker string, cik string")
@@ -233,9 +239,35 @@ def test_requests_of_many_companies(spark, monkeypatch, limit):
     got = retrieval.requested_filings(requests, tickers, df, 2, amendments=False).collect()
     by_request = {}
     for row in got:
-        by_request.setdefault(row.request_cik, []).append(int(row.accession_number))
-    # Newest first; 5 is an amendment; 0, 3 and 6 lie before the first request's range.
-    assert {k: sorted(v) for k, v in by_request.items()} == {"0000000001": [2, 8], "0000000002": [1, 7]}
+        key = (row.request_cik, str(row.request_before))
+        by_request.setdefault(key, []).append(int(row.accession_number))
+    # Newest first; 5 is an amendment; 0, 3 and 6 are of 2019.
+    assert {key: sorted(found) for key, found in by_request.items()} == {
+        ("0000000001", "None"): [2, 8],
+        ("0000000001", "2019-12-31"): [3, 6],
+        ("0000000002", "None"): [1, 7],
+    }
+
+
+@pytest.mark.parametrize(("form", "amendments", "expected"), [
+    ("S-1", True, [1, 2]), ("S-1", False, [1]), ("S-1/A", True, [2]), ("S-1/A", False, []),
+])
+def test_an_amendment_answers_requests_for_its_form_and_for_itself(spark, form, amendments, expected):
+    requests = spark.createDataFrame(
+        [("1", form, None, None)],
+        "ticker_or_cik string, form_type string, after_date date, before_date date",
+    )
+    tickers = spark.createDataFrame([], "ticker string, cik string")
+    columns = "hit_id string, ciks array<string>, file_num array<string>, xsl string, filing_date date, form string, root_form string, file_type string"
+    hits = spark.createDataFrame(
+        [
+            (f"{n:018d}:m.htm", ["0000000001", "0000000001"], [], "", None, kind, "S-1", kind)
+            for n, kind in [(1, "S-1"), (2, "S-1/A"), (3, "S-3/A")]
+        ],
+        columns,
+    )
+    got = retrieval.requested_filings(requests, tickers, hits, 10, amendments).collect()
+    assert sorted(int(row.accession_number) for row in got) == expected
 
 
 def test_hooks_see_every_filing(spark, tmp_path):
