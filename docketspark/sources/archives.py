@@ -26,7 +26,7 @@ from docketspark.sources.files import open_input, record_batches
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Members whose data lies in the same stretch of an archive share a task.
-RANGE_BYTES = 64 << 20
+RANGE_BYTES = 8 << 20
 # Longer members come as several rows, numbered by ``part``.
 PART_BYTES = 256 << 20
 _LOCAL_HEADER = 30
@@ -155,9 +155,15 @@ def _read_members(part_bytes: int):
 
 
 def archive_contents(members: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
-    """The data of the listed members; filter ``members`` first to read only some."""
+    """The data of the listed members; filter ``members`` first to read only some.
+
+    The number of partitions is given: by the size of the member list, which is
+    small, adaptive execution would merge them into a few tasks that read everything.
+    """
+    tasks = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     stretch = F.expr(f"offset div {RANGE_BYTES}")
-    ranges = members.repartition("archive", stretch).sortWithinPartitions("archive", "offset")
+    dealt = members.repartition(tasks, "archive", stretch)
+    ranges = dealt.sortWithinPartitions("archive", "offset")
     return ranges.mapInArrow(_read_members(part_bytes), CONTENT_SCHEMA)
 
 
