@@ -3,7 +3,6 @@ from __future__ import annotations
 import json
 
 import pytest
-from pyspark.sql import functions as F
 
 from docketspark.operators import entities
 from docketspark.sources import entities as entity_files
