@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docketspark.llm.common import stored
+from docketspark.llm.common import fresh, stored
 
 # A line goes when it is on more than this share of its site's pages ...
 MAX_SHARE = 0.02
@@ -69,24 +69,18 @@ def drop_boilerplate(
     counts as a page, repeated ones too; an empty table gives no rows. Columns of ``docs``
     named ``n_lines`` or ``n_dropped`` are replaced.
     """
-    own = "_site_host", "_site_lines"
+    names = [n for n in docs.columns if n.lower() not in ("n_lines", "n_dropped")]
+    site, own_site, gone, kept = fresh(docs, "site", "site_of_lines", "lines_gone", "lines_kept")
     listed = stored(boilerplate(docs, host, text, max_share, min_pages), "boilerplate")
-    listed = listed.select(F.col("host").alias(own[0]), F.col("lines").alias(own[1]))
-    joined = docs.withColumn("_host", host).join(listed, F.col("_host") == F.col(own[0]), "left")
+    listed = listed.select(F.col("host").alias(own_site), F.col("lines").alias(gone))
+    joined = docs.withColumn(site, host).join(listed, F.col(site) == F.col(own_site), "left")
     lines = _lines(F.col(text))
-    kept = F.filter(
-        lines, lambda x: (F.trim(x) == "") | ~F.array_contains(F.col(own[1]), _key(x))
+    left = F.filter(lines, lambda x: (F.trim(x) == "") | ~F.array_contains(F.col(gone), _key(x)))
+    left = F.when(F.col(gone).isNull(), lines).otherwise(left)
+    n_lines = F.when(F.col(text).isNull(), 0).otherwise(F.size(lines)).cast("bigint")
+    n_left = F.when(F.col(text).isNull(), 0).otherwise(F.size(kept)).cast("bigint")
+    found = joined.withColumn(kept, left).withColumns(
+        {"n_lines": n_lines, "n_dropped": n_lines - n_left}
     )
-    kept = F.when(F.col(own[1]).isNull(), lines).otherwise(kept)
-    found = joined.withColumn("_kept", kept)
-    found = found.withColumns(
-        {
-            "n_lines": F.when(F.col(text).isNull(), 0).otherwise(F.size(lines)).cast("bigint"),
-            "n_dropped": F.when(F.col(text).isNull(), 0)
-            .otherwise(F.size(lines) - F.size("_kept"))
-            .cast("bigint"),
-        }
-    )
-    text_left = F.when(F.col("n_dropped") == 0, F.col(text)).otherwise(F.array_join("_kept", "\n"))
-    names = [n for n in docs.columns if n not in ("n_lines", "n_dropped")]
+    text_left = F.when(F.col("n_dropped") == 0, F.col(text)).otherwise(F.array_join(kept, "\n"))
     return found.withColumn(text, text_left).select(*names, "n_lines", "n_dropped")

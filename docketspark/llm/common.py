@@ -35,6 +35,17 @@ def text_of(name: str = "text"):
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores before it as make it new to ``df``."""
+    known, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in known:
+            name = f"_{name}"
+        known.add(name.lower())
+        out.append(name)
+    return out
+
+
 def shuffle_parts(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 

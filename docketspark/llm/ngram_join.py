@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from docketspark.llm.common import (
     batches,
     bounded_batches,
+    fresh,
     lower_ascii,
     mix64,
     shuffle_parts,
@@ -494,9 +495,10 @@ def one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
     document of each group. Of rows that repeat that id the one with the least text stays;
     rows with a null id stay."""
     groups = similar_groups(docs, words, percent)
-    stay = groups.where("doc_id = component_id").select("doc_id").distinct()
-    stay = stored(stay.withColumnRenamed("doc_id", "_stays"), "stays")
-    kept = docs.join(stay, F.col("doc_id").cast("bigint") == F.col("_stays")).drop("_stays")
+    stays, copy = fresh(docs, "stays", "copy")
+    stay = groups.where("doc_id = component_id").select(F.col("doc_id").alias(stays)).distinct()
+    stay = stored(stay, "stays")
+    kept = docs.join(stay, F.col("doc_id").cast("bigint") == F.col(stays)).drop(stays)
     order = Window.partitionBy("doc_id").orderBy("text")
-    kept = kept.withColumn("_copy", F.row_number().over(order)).where("_copy = 1").drop("_copy")
+    kept = kept.withColumn(copy, F.row_number().over(order)).where(F.col(copy) == 1).drop(copy)
     return kept.unionByName(docs.where("doc_id is null"))

@@ -1,0 +1,171 @@
+import re
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from docketspark.llm import compression, quality_rules
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def slow_counts(text):
+    words = WORD.findall(text)
+    seen, dup, covered = set(), 0, set()
+    runs = Counter(zip(words, words[1:], words[2:], strict=False))
+    for i, run in enumerate(zip(words, words[1:], words[2:], strict=False)):
+        if runs[run] > 1:
+            covered |= {i, i + 1, i + 2}
+    for line in text.split("\n"):
+        if WORD.search(line):
+            dup += line in seen
+            seen.add(line)
+    return (len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), dup, len(covered))
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.text(alphabet="ab é\n\t|#\x0b\x85", max_size=40), min_size=1, max_size=5))
+def test_counts_are_the_definition(texts):
+    counts, features = quality_rules.statistics(pa.array(texts))
+    got = list(zip(*(counts[c].tolist() for c in quality_rules.COUNTS), strict=True))
+    assert got == [slow_counts(t) for t in texts]
+    assert features.shape == (len(texts), len(quality_rules.FEATURES)) and np.isfinite(features).all()
+
+
+def test_counts_of_sliced_and_null_columns():
+    column = pa.array(["skip", None, "a b c a b c", "", "x\nx\n\nx"])[1:]
+    counts, _ = quality_rules.statistics(column)
+    assert counts["n_words"].tolist() == [0, 6, 0, 3]
+    assert counts["n_dup_lines"].tolist() == [0, 0, 0, 2]
+    assert counts["n_repeat_words"].tolist() == [0, 6, 0, 0]
+
+
+def sample(rows=600, seed=3):
+    rng = np.random.default_rng(seed)
+    x = rng.random((rows, 3))
+    y = (x[:, 0] + 0.3 * np.sin(9 * x[:, 1]) + 0.1 * rng.standard_normal(rows) < 0.6).astype(float)
+    return x, y
+
+
+def test_trees_are_monotonic_and_learn():
+    x, y = sample()
+    trees = quality_rules.fit_trees(x, y, [-1, 0, 1])
+    assert ((trees.score(x) > 0.5) == y).mean() > 0.9
+    rng = np.random.default_rng(4)
+    for feature, direction in ((0, -1), (2, 1)):
+        grid = np.repeat(rng.random((50, 3)), 21, axis=0)
+        grid[:, feature] = np.tile(np.linspace(-0.2, 1.2, 21), 50)
+        steps = np.diff(trees.score(grid).reshape(50, 21), axis=1)
+        assert (direction * steps >= -1e-12).all()
+
+
+def test_flat_trees_score_as_walking_them_does():
+    x, y = sample(200)
+    trees = quality_rules.fit_trees(x, y, [0, 0, 0], n_trees=7)
+
+    def walk(row):
+        total = trees.base
+        for node in trees.roots:
+            while trees.left[node] != node:
+                low = row[trees.feature[node]] <= trees.threshold[node]
+                node = trees.left[node] if low else trees.right[node]
+            total += trees.value[node]
+        return 1 / (1 + np.exp(-total))
+
+    assert np.allclose(trees.score(x[:40]), [walk(r) for r in x[:40]])
+
+
+@pytest.mark.parametrize("y", [[], [1, 1, 1], [0, 0]])
+def test_labels_of_one_kind(y):
+    x = np.zeros((len(y), 3))
+    trees = quality_rules.fit_trees(x, np.array(y, float), [0, 0, 0])
+    assert set(trees.score(np.zeros((2, 3))) >= 0.5) == {not y or y[0] == 1}
+
+
+GOOD = "the river runs along a quiet valley where people grow barley and keep sheep through seasons number {} of years and "
+BAD = "buy%%% now### cheap*** pills$$$ click&&& here||| win### {} prizes%%% today*** "
+COLUMNS = "doc_id bigint, text string, score string, kept int, label string"
+
+
+def labelled(spark, n=240):
+    rng = np.random.default_rng(1)
+    rows, labels = [], []
+    for i in range(n):
+        words = (GOOD if i % 3 else BAD).format(i).split()
+        text = " ".join(rng.permutation(words * 6)) + f" {i}"
+        rows.append((i, text, "s", 1, "l"))
+        labels.append((i, int(i % 3 > 0), 0))
+    rows += [(1000, None, "s", 1, "l"), (1001, "", "s", 1, "l"), (None, "short text", "s", None, None)]
+    rows += [(1002, "one two three " * 60, None, 1, "l"), (0, rows[0][1], "s", 1, "l")]
+    labels += [(None, 1, 0), (1000, None, 0), (5, 1, 0), (5, 1, 0), (9999, 0, 0)]
+    docs = spark.createDataFrame(rows, COLUMNS)
+    return docs, spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+
+
+def test_rules_keep_good_documents(spark):
+    docs, labels = labelled(spark)
+    trees = quality_rules.learn(docs, labels)
+    rows = quality_rules.judge(docs, trees).collect()
+    assert len(rows) == docs.count()
+    by_id = {r.doc_id: r for r in rows}
+    assert all(by_id[i].kept == (i % 3 > 0) for i in range(240))
+    for i in (1000, 1001, None, 1002):
+        assert by_id[i].base_failed and not by_id[i].kept
+    assert by_id[1002].n_repeat_words == 180
+    kept = quality_rules.keep_good(docs, trees)
+    assert kept.schema == docs.schema
+    assert sorted(r.doc_id for r in kept.collect()) == [i for i in range(240) if i % 3]
+    again = quality_rules.learn(docs.repartition(7), labels.repartition(3))
+    assert np.allclose(again.value, trees.value)
+
+
+def test_empty_tables(spark):
+    docs, labels = labelled(spark, 30)
+    none, unlabelled = docs.where("false"), labels.where("false")
+    trees = quality_rules.learn(docs, unlabelled)
+    assert quality_rules.judge(none, trees).collect() == []
+    kept = {r.doc_id for r in quality_rules.judge(docs, trees).collect() if r.kept}
+    assert kept == set(range(30))  # without labels the base rules alone decide
+    model = compression.learn(none, labels)
+    assert compression.score(none, model).collect() == []
+    assert {r.score for r in compression.score(docs, compression.learn(docs, unlabelled)).collect()} == {0.5}
+
+
+def test_classifier_ranks_held_out_documents(spark):
+    docs, labels = labelled(spark)
+    model = compression.learn(docs, labels)
+    rows = compression.score(docs, model).collect()
+    assert len(rows) == docs.count()
+    for r in rows:
+        assert 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3)
+        assert r.held_out == compression.held_out(r.doc_id)
+    held = [r for r in rows if r.held_out and r.doc_id < 240]
+    assert len(held) > 20
+    assert np.mean([r.predicted == (r.doc_id % 3 > 0) for r in held]) > 0.95
+    kept = compression.keep_good(docs, model)
+    assert kept.schema == docs.schema
+    wanted = sorted(str(r.doc_id) for r in rows if r.predicted)
+    assert sorted(str(r.doc_id) for r in kept.collect()) == wanted
+
+
+def test_held_out_labels_are_not_learnt(spark):
+    docs, labels = labelled(spark)
+    flipped = labels.selectExpr(
+        "doc_id",
+        "if(pmod(crc32(cast(cast(doc_id as string) as binary)), 5) = 0, 1 - quality, quality) as quality",
+    )
+    a, b = compression.learn(docs, labels), compression.learn(docs, flipped)
+    assert a.good == b.good and a.bad == b.bad and np.allclose(a.weights, b.weights)
+
+
+def test_long_texts_are_measured_to_their_end(spark):
+    docs, labels = labelled(spark)
+    model = compression.learn(docs, labels)
+    good, bad = model.compressors()
+    start = (GOOD * 40).encode()
+    tail = (BAD * 400).encode()
+    plain, mixed = (compression.measure(compression.pieces(t), good, bad) for t in (start * 8, start + tail))
+    assert mixed[0] < plain[0] and mixed[2] > plain[2]
