@@ -106,7 +106,7 @@ ORACLES = {
 WITH lines AS (
   SELECT doc_id, source, text, string_split(text, chr(10)) AS l FROM documents
 ), bare AS (
-  SELECT source, unnest(list_distinct(list_filter(list_transform(l, x -> trim(x, ' ')), x -> x <> ''))) AS line
+  SELECT source, unnest(list_distinct(list_filter(list_transform(l, lambda x: trim(x, ' ')), lambda x: x <> ''))) AS line
   FROM lines WHERE source IS NOT NULL
 ), totals AS (
   SELECT source, count(*) AS total FROM documents WHERE source IS NOT NULL GROUP BY source
@@ -117,7 +117,7 @@ WITH lines AS (
   WHERE n >= {boilerplate.MIN_PAGES} AND n > {boilerplate.MAX_SHARE}::DOUBLE * total GROUP BY source
 ), kept AS (
   SELECT doc_id, lines.source, text, l,
-    list_filter(l, x -> trim(x, ' ') = '' OR NOT coalesce(list_contains(gone.lines, trim(x, ' ')), false)) AS k
+    list_filter(l, lambda x: trim(x, ' ') = '' OR NOT coalesce(list_contains(gone.lines, trim(x, ' ')), false)) AS k
   FROM lines LEFT JOIN gone ON lines.source = gone.source
 )
 SELECT doc_id, source, CASE WHEN text IS NULL THEN NULL ELSE array_to_string(k, chr(10)) END AS text,
@@ -131,7 +131,7 @@ WITH p AS (
     min(page_id) OVER (PARTITION BY payload) AS first_id FROM p
 )
 SELECT page_id, payload_bytes,
-  list_aggregate(list_transform(range(32), i ->
+  list_aggregate(list_transform(range(32), lambda i:
     substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
       1 + ((('0x' || substr(hex, 1 + 5 * (i // 4)::INT, 5))::INT >> (15 - 5 * (i % 4))::INT) & 31), 1)),
     'string_agg', '') AS payload_digest,
