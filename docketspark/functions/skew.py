@@ -11,9 +11,6 @@ from pyspark.sql import functions as F
 HOT_ROWS = 1_000_000
 # Most groups that are spread. Any other group has less than this fraction of all rows.
 HOT_GROUPS = 100_000
-# Longest table of short rows that is broadcast.
-BROADCAST_ROWS = 500_000
-
 
 def group_sizes(df: DataFrame, keys: list[str]) -> DataFrame:
     """``keys, group_rows``; counted before anything is shuffled."""
@@ -41,51 +38,44 @@ def join_hot(
     how: str = "inner",
     sizes: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
+    null_safe: bool = False,
 ) -> DataFrame:
     """Join (inner, left or left_semi) whose hot groups of ``left`` span several tasks.
 
-    The hot groups are looked up when the join is put together. Without any, the
-    join is a plain one. Else the rows of a hot group get one of its parts, and
-    the rows of ``right``, one or a few per key, are repeated once per part. The
-    join key then includes the part, so neither the join nor an operator that
-    reuses its partitioning sees a whole hot group. This is spelled out because
-    the adaptive skew join leaves a join alone when one of its sides is an
-    aggregate on the same key. ``sizes`` may give group sizes that are cheaper
+    The hot groups are part of the plan: their list, which has a bound, is broadcast to
+    both sides. The rows of a hot group get one of its parts, and the rows of ``right``, one
+    or a few per key, are repeated once per part. The join key includes the part, so
+    neither the join nor an operator that reuses its partitioning sees a whole hot group.
+    This is spelled out because the adaptive skew join leaves a join alone when one of its
+    sides is an aggregate on the same key. ``sizes`` may give group sizes that are cheaper
     to find than those of ``left``; too large a size does no harm.
+
+    Keys with nulls are spread like others. They match nothing, as in any join, unless
+    ``null_safe``: then null equals null.
     """
     sizes = group_sizes(left, on) if sizes is None else sizes
+    names = {key: f"_hot_{key}" for key in on}
     hot = hot_groups(sizes, on, hot_rows)
-    found = hot.collect()
-    if not found:
-        return left.join(right, on, how)
-    hot = F.broadcast(left.sparkSession.createDataFrame(found, hot.schema))
-    parts = F.coalesce(F.col("_parts"), F.lit(1))
-    part = F.pmod(F.xxhash64(*spread_by), parts.cast("bigint")).cast("int")
-    spread = left.join(hot, on, "left").withColumn("_part", part).drop("_parts")
+    hot = F.broadcast(hot.select(*[F.col(k).alias(n) for k, n in names.items()], "_parts"))
+
+    def with_parts(df: DataFrame) -> DataFrame:
+        known = reduce(lambda a, b: a & b, [df[k].eqNullSafe(hot[n]) for k, n in names.items()])
+        found = df.join(hot, known, "left").drop(*names.values())
+        return found.withColumn("_parts", F.coalesce("_parts", F.lit(1)))
+
+    part = F.pmod(F.xxhash64(*spread_by), F.col("_parts").cast("bigint")).cast("int")
+    spread = with_parts(left).withColumn("_part", part).drop("_parts")
     repeated = (
-        right.join(hot, on, "left")
-        .withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1)))
+        with_parts(right)
+        .withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
         .drop("_parts")
     )
-    return spread.join(repeated, [*on, "_part"], how).drop("_part")
-
-
-def join_short(
-    left: DataFrame,
-    right: DataFrame,
-    on: list[str],
-    spread_by: list[str],
-    how: str = "inner",
-) -> DataFrame:
-    """Join with a table of short rows that is usually small but need not be.
-
-    Its rows are counted, up to the limit, when the join is put together: within
-    the limit it is broadcast and ``left`` is not shuffled at all, beyond it the
-    hot groups of ``left`` are spread.
-    """
-    if right.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        return left.join(F.broadcast(right), on, how)
-    return join_hot(left, right, on, spread_by, how)
+    if not null_safe:
+        return spread.join(repeated, [*on, "_part"], how).drop("_part")
+    repeated = repeated.withColumnsRenamed({k: f"_right_{k}" for k in [*on, "_part"]})
+    matches = [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in [*on, "_part"]]
+    joined = spread.join(repeated, reduce(lambda a, b: a & b, matches), how)
+    return joined.drop("_part", *[f"_right_{k}" for k in [*on, "_part"]])
 
 
 def same(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:

@@ -41,7 +41,10 @@ def rewrite_documents(
 
 
 def stored_documents(documents: DataFrame, name: str, content: str) -> DataFrame:
-    """Rows of the document store, keyed by the path a file would have on disk."""
+    """Rows of the document store, keyed by the path a file would have on disk.
+
+    ``member`` and ``part`` are null for main files; archive members have both.
+    """
     path = relative_path("cik", "form_type", "accession_number", name)
     data = F.col(content).cast("binary")
     return documents.select(
@@ -49,8 +52,10 @@ def stored_documents(documents: DataFrame, name: str, content: str) -> DataFrame
         "cik",
         "form_type",
         "accession_number",
+        F.lit(None).cast("string").alias("member"),
+        F.lit(None).cast("int").alias("part"),
         data.alias("content"),
-        F.length(data).alias("content_length"),
+        F.length(data).cast("bigint").alias("content_length"),
     )
 
 
@@ -68,7 +73,8 @@ def stored_members(contents: DataFrame) -> DataFrame:
         F.get(segments, 0).alias("cik"),
         F.get(segments, 1).alias("form_type"),
         F.get(segments, 2).alias("accession_number"),
+        "member",
         "part",
         "content",
-        F.length("content").alias("content_length"),
+        F.length("content").cast("bigint").alias("content_length"),
     )

@@ -6,17 +6,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docketspark.functions.identifiers import cik10, ticker_key
-from docketspark.functions.skew import join_short
+from docketspark.functions.skew import join_hot
 
 _NO_TICKER_PARTS = 4096
 
 
 def ticker_map(records: DataFrame) -> DataFrame:
-    """One company per ticker: the record with the highest number wins."""
+    """One company per ticker: the record with the highest number wins.
+
+    Of records with the same number the greatest company key wins, whatever their order;
+    a record without a number comes before all others.
+    """
+    last = F.max(F.struct(F.coalesce("idx", F.lit(-1)).alias("idx"), "cik"))
     return (
         records.where(F.col("ticker").isNotNull())
         .groupBy(ticker_key("ticker").alias("ticker"))
-        .agg(F.max_by("cik", "idx").alias("cik"))
+        .agg(last.alias("last"))
+        .select("ticker", F.col("last.cik").alias("cik"))
     )
 
 
@@ -37,7 +43,7 @@ def resolve_companies(
     key = F.when(is_ticker, ticker_key(column)).otherwise(nowhere)
     lookup = tickers.select(F.col("ticker").alias("_key"), F.col("cik").alias("_cik"))
     keyed = queries.withColumn("_key", key)
-    found = join_short(keyed, lookup, ["_key"], queries.columns, "left")
+    found = join_hot(keyed, lookup, ["_key"], queries.columns, "left")
     return found.withColumn("cik", F.coalesce(numeric, F.col("_cik"))).drop("_key", "_cik")
 
 

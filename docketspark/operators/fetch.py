@@ -63,32 +63,36 @@ def choose_available(
 ) -> DataFrame:
     """Take the preferred address if it exists, else the fallback; null if neither does.
 
-    ``available`` holds a column ``url``. Repeated rows of the plan are merged
-    before the joins, where they would meet in one task. A caller who skips other
-    types gets no fallback.
+    ``available`` holds a column ``url``. Both addresses of a filing lie in its folder, so
+    the plan and the addresses are moved once, by folder, and a filing meets the addresses
+    of its folder only. That partitioning also serves to merge repeated rows of the plan.
+    A caller who skips other types gets no fallback.
     """
     columns = plan.columns
-    exists = available.where(F.col("url").isNotNull()).select("url").distinct()
+
+    def folder(url: Column) -> Column:
+        return F.xxhash64(F.regexp_replace(url, "[^/]*$", ""))
+
     # Stands in for an address that need not be looked up; null keys would all
     # meet in one task.
-    nowhere = F.concat(
-        F.lit("\t"), F.pmod(F.xxhash64("accession_number"), F.lit(_NO_URL_PARTS)).cast("string")
+    nowhere = F.pmod(F.xxhash64("accession_number"), F.lit(_NO_URL_PARTS))
+    address = F.coalesce("file_url", "fallback_url")
+    key = F.when(address.isNull(), nowhere).otherwise(folder(address))
+    wanted = to_fetch(plan).withColumn("_folder", key)
+    wanted = wanted.repartition("_folder").distinct()
+    listed = available.where(F.col("url").isNotNull())
+    exists = listed.groupBy(folder(F.col("url")).alias("_folder")).agg(
+        F.collect_set("url").alias("_urls")
     )
+    found = wanted.join(exists, "_folder", "left")
+
+    def if_listed(address: Column) -> Column:
+        return F.when(F.array_contains("_urls", address), address)
 
-    def look_up(rows: DataFrame, address: Column, found: str) -> DataFrame:
-        # All addresses begin alike, which makes sorting them slow; a hash sorts fast.
-        keyed = rows.withColumn("_try", F.coalesce(address, nowhere))
-        keyed = keyed.withColumn("_hash", F.xxhash64("_try"))
-        url = F.col("url")
-        known = exists.select(F.xxhash64(url).alias("_hash"), url.alias("_try"), url.alias(found))
-        return keyed.join(known, ["_hash", "_try"], "left").drop("_hash", "_try")
-
-    checked = look_up(to_fetch(plan).distinct(), F.col("file_url"), "_first")
-    if not skip_not_preferred:
-        needed = F.when(F.col("_first").isNull(), F.col("fallback_url"))
-        checked = look_up(checked, needed, "_spare")
-    else:
-        checked = checked.withColumn("_spare", F.lit(None).cast("string"))
+    first = if_listed(F.col("file_url"))
+    spare = F.lit(None).cast("string") if skip_not_preferred else if_listed(F.col("fallback_url"))
+    checked = found.withColumn("_first", first)
+    checked = checked.withColumn("_spare", F.when(F.col("_first").isNull(), spare))
     return checked.select(
         *columns,
         F.coalesce("_first", "_spare").alias("fetched_url"),

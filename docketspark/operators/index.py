@@ -5,19 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docketspark.functions.columns import blank_to_null
 from docketspark.functions.identifiers import cik10, relative_path, safe_form
-from docketspark.functions.skew import group_sizes, join_hot, join_short, same
+from docketspark.functions.skew import group_sizes, join_hot, same
 from docketspark.schemas import INDEX_COLUMNS, INDEX_KEY
 
-# Longest list of one file number that is put into a single row.
-LIST_ROWS = 10_000
-
 
 def index_rows(filings: DataFrame, name: str = "main_file_name") -> DataFrame:
-    """Index rows of filings; a filing with several file numbers gets several rows."""
-    rows = filings.select(
-        "*", F.explode_outer(F.array_distinct("file_num")).alias("file_number")
-    )
+    """Index rows of filings; a filing with several file numbers gets several rows.
+
+    A blank file number is none; a filing without any has one row with null.
+    """
+    numbers = F.array_distinct(F.transform("file_num", blank_to_null))
+    numbers = F.when(F.array_size(numbers) > 1, F.array_compact(numbers)).otherwise(numbers)
+    rows = filings.select("*", F.explode_outer(numbers).alias("file_number"))
     return rows.select(
         "cik",
         safe_form("form_type").alias("form_type"),
@@ -57,7 +58,7 @@ def related_filings(index: DataFrame, requested: DataFrame) -> DataFrame:
     """Entries of the requested ``cik, file_number`` pairs, each entry once."""
     keys = ["cik", "file_number"]
     wanted = requested.select(*keys).distinct()
-    return join_short(index, wanted, keys, ["file_path"], "left_semi").select(*INDEX_COLUMNS)
+    return join_hot(index, wanted, keys, ["file_path"], "left_semi").select(*INDEX_COLUMNS)
 
 
 def related_summary(index: DataFrame) -> DataFrame:
@@ -95,40 +96,52 @@ def file_number_groups(index: DataFrame) -> DataFrame:
     )
 
 
-def file_number_lists(index: DataFrame, list_rows: int = LIST_ROWS) -> DataFrame:
-    """Export form ``cik, file_number, part, entries``: the entries as sorted lists.
+def file_number_lists(index: DataFrame) -> DataFrame:
+    """Export form ``cik, file_number, month, entries``: sorted lists of entries.
 
-    A file number with more than ``list_rows`` entries is cut into parts, so no
-    list outgrows a row; the parts together hold every entry.
+    A list holds a file number's entries of one month of filing, whatever their number
+    elsewhere, so the lists are the same at any size and in order of month the whole.
     """
-    keys = ["cik", "file_number"]
     entries = index.where(F.col("file_number").isNotNull()).distinct()
-    sizes = group_sizes(entries, keys)
-    count = F.ceil(F.col("group_rows") / F.lit(list_rows))
-    long = sizes.where(F.col("group_rows") > list_rows).select(*keys, count.alias("lists"))
-    cut = join_hot(entries, long, keys, ["file_path"], "left", group_sizes(index, keys))
-    part = F.pmod(F.xxhash64("file_path", "form_type"), F.coalesce("lists", F.lit(1)))
+    month = F.date_format("filing_date", "yyyy-MM").alias("month")
     entry = F.struct("filing_date", "file_path", "form_type")
-    return cut.groupBy(*keys, part.cast("int").alias("part")).agg(
+    return entries.groupBy("cik", "file_number", month).agg(
         F.sort_array(F.collect_list(entry)).alias("entries")
     )
 
 
+# Parts that entries without a file path are spread over.
+_NO_PATH_PARTS = 4096
+
+
 def _marked(index: DataFrame, manifest: DataFrame) -> DataFrame:
     """Distinct entries with ``copies`` and whether their file is ``stored``.
 
     An outer join, because the optimizer moves semi and anti joins below the
-    aggregation, where an entry repeated many times is compared many times.
+    aggregation, where an entry repeated many times is compared many times. Entries
+    without a path have keys that match no file and do not meet in one task.
     """
     entries = index.groupBy(*INDEX_COLUMNS).agg(F.count(F.lit(1)).alias("copies"))
-    files = manifest.select("file_path").distinct().withColumn("_stored", F.lit(True))
-    marked = entries.join(files, "file_path", "left")
+    spread = F.pmod(F.xxhash64(*INDEX_COLUMNS), F.lit(_NO_PATH_PARTS)).cast("string")
+    key = F.coalesce("file_path", F.concat(F.lit("\t"), spread))
+    files = manifest.where(F.col("file_path").isNotNull()).select(F.col("file_path").alias("_key"))
+    files = files.distinct().withColumn("_stored", F.lit(True))
+    marked = entries.withColumn("_key", key).join(files, "_key", "left").drop("_key")
     return marked.withColumn("stored", F.coalesce("_stored", F.lit(False))).drop("_stored")
 
 
 def index_kept(index: DataFrame, manifest: DataFrame) -> DataFrame:
     """The index after a check: no repeated rows, no rows without a stored file."""
-    return _marked(index, manifest).where("stored").select(*INDEX_COLUMNS)
+    return kept_of(_marked(index, manifest))
+
+
+def kept_of(marked: DataFrame) -> DataFrame:
+    return marked.where("stored").select(*INDEX_COLUMNS)
+
+
+def mark_entries(index: DataFrame, manifest: DataFrame) -> DataFrame:
+    """Distinct entries with ``copies`` and ``stored``, to be stored and used several times."""
+    return _marked(index, manifest)
 
 
 def index_removed(index: DataFrame, manifest: DataFrame) -> DataFrame:
@@ -141,9 +154,13 @@ def check_report(index: DataFrame, manifest: DataFrame) -> DataFrame:
 
     ``file_numbers_dropped`` counts file numbers no kept entry refers to.
     """
+    return report_of(_marked(index, manifest))
+
+
+def report_of(marked: DataFrame) -> DataFrame:
+    """``check_report`` of entries that are already marked."""
     numbers = (
-        _marked(index, manifest)
-        .groupBy("cik", "file_number")
+        marked.groupBy("cik", "file_number")
         .agg(
             F.sum("copies").alias("entries"),
             F.sum(F.col("copies") - 1).alias("duplicates_removed"),

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from docketspark.functions.columns import ColumnLike, as_column
 from docketspark.functions.forms import base_form, is_form, within_dates
 from docketspark.functions.identifiers import cik10
-from docketspark.functions.skew import join_short
+from docketspark.functions.skew import join_hot
 
 NEWEST_FIRST = ["filing_date", "accession_number", "main_file_name"]
 
@@ -38,7 +38,7 @@ def filings_per_company(filings: DataFrame) -> DataFrame:
 def of_companies(rows: DataFrame, companies: DataFrame, key: str = "cik") -> DataFrame:
     """Rows of the listed companies. The list may hold repeats and short keys."""
     wanted = companies.select(cik10(companies[key].cast("string")).alias("cik")).distinct()
-    return join_short(rows, wanted, ["cik"], rows.columns, "left_semi")
+    return join_hot(rows, wanted, ["cik"], rows.columns, "left_semi")
 
 
 def select_hits(
@@ -68,20 +68,29 @@ def newest(filings: DataFrame, n: int) -> DataFrame:
     return filings.orderBy(*[F.col(name).desc() for name in NEWEST_FIRST]).limit(n)
 
 
+# Parts of a group that are ranked by themselves before the group is.
+RANK_PARTS = 16
+
+
 def newest_per_group(filings: DataFrame, group: list[str], n: int) -> DataFrame:
-    """The newest ``n`` filings of each group, with their ``rank``.
+    """The newest ``n`` filings of each group, with their ``rank``; null keys are groups too.
 
     A rank test against a literal lets Spark keep ``n`` rows per group in every
-    map task before it shuffles, so a group of any size sends at most ``n`` rows
-    per map task. Spark does so up to a limit on ``n``; beyond it, older filings
-    are dropped by date before the ranking.
+    map task before it shuffles. A group's parts are ranked first, so the task that
+    ranks a group of any size sees at most ``n`` rows of each part. Spark limits the rows
+    before the shuffle up to a bound on ``n``; beyond it, older filings are dropped by
+    date before the ranking.
     """
     limit = filings.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")
     if n > int(limit):
         filings = _since_nth_newest(filings, group, n)
     newest_first = [F.col(name).desc() for name in NEWEST_FIRST]
+    part = F.pmod(F.xxhash64(*NEWEST_FIRST), F.lit(RANK_PARTS))
+    within = Window.partitionBy(*group, "_part").orderBy(*newest_first)
+    parts = filings.withColumn("_part", part).withColumn("_rank", F.row_number().over(within))
+    candidates = parts.where(F.col("_rank") <= n).drop("_part", "_rank")
     rank = F.row_number().over(Window.partitionBy(*group).orderBy(*newest_first))
-    return filings.withColumn("rank", rank).where(F.col("rank") <= n)
+    return candidates.withColumn("rank", rank).where(F.col("rank") <= n)
 
 
 def _since_nth_newest(filings: DataFrame, group: list[str], n: int) -> DataFrame:
@@ -97,7 +106,8 @@ def _since_nth_newest(filings: DataFrame, group: list[str], n: int) -> DataFrame
     )
     needed = days.withColumn("_newer", F.coalesce(F.sum("_rows").over(newer), F.lit(0)))
     first = needed.where(F.col("_newer") < n).groupBy(*group).agg(F.min("_day").alias("_first"))
-    dated = join_short(filings, first, group, ["accession_number", "main_file_name"])
+    spread_by = ["accession_number", "main_file_name"]
+    dated = join_hot(filings, first, group, spread_by, null_safe=True)
     return dated.where(F.col("_day") >= F.col("_first")).drop("_day", "_first")
 
 

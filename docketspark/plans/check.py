@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketspark.operators.index import check_report, index_kept
+from docketspark.operators.index import kept_of, mark_entries
+from docketspark.session import scratch_dir
 from docketspark.sinks.index_table import read_index, rewrite_index
 
 
@@ -15,12 +16,16 @@ def check_index(
     """Remove repeated rows and rows without a file.
 
     Returns where the index now is and how many rows were removed. Nothing is
-    written when there is nothing to remove.
+    written when there is nothing to remove. The index meets the files once: what is found
+    is stored, and both the count and the rows to keep come from there.
     """
-    index = read_index(spark, table)
-    removed = F.sum(F.col("duplicates_removed") + F.col("missing_removed"))
-    count = check_report(index, manifest).agg(removed.alias("n")).first()["n"] or 0
+    found = scratch_dir(spark, "marked")
+    mark_entries(read_index(spark, table), manifest).write.parquet(found)
+    marked = spark.read.parquet(found)
+    # Every copy of a missing entry goes, and all but one of any other.
+    gone = F.when(F.col("stored"), F.col("copies") - 1).otherwise(F.col("copies"))
+    count = marked.agg(F.sum(gone).alias("n")).first()["n"] or 0
     if count == 0:
         return table, 0
-    rewrite_index(index_kept(index, manifest), new_table)
+    rewrite_index(kept_of(marked), new_table)
     return new_table, count

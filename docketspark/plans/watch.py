@@ -11,8 +11,18 @@ from docketspark.functions.identifiers import accession_from_path, file_name
 from docketspark.functions.urls import filing_base_url, join_url
 from docketspark.operators.index import index_rows, not_indexed
 from docketspark.operators.selection import newer_filings
-from docketspark.sources.archives import archive_contents, archive_members, member_text
-from docketspark.sources.submissions import explode_submissions, parse_submissions
+from docketspark.sources.archives import (
+    archive_contents,
+    archive_members,
+    member_rejects,
+    member_text,
+    whole_members,
+)
+from docketspark.sources.submissions import (
+    explode_submissions,
+    malformed_submissions,
+    parse_submissions,
+)
 
 
 def new_filings(
@@ -24,8 +34,26 @@ def new_filings(
     return rows.withColumn("file_url", join_url(base, file_name("file_path")))
 
 
-def archive_catalog(archives: DataFrame) -> DataFrame:
-    """Catalog of the submission documents inside archives (column ``archive``)."""
+def _documents(archives: DataFrame) -> tuple[DataFrame, DataFrame]:
     members = archive_members(archives).where(F.col("member").endswith(".json"))
-    documents = member_text(archive_contents(members))
-    return explode_submissions(parse_submissions(documents, name="member"))
+    return members, archive_contents(whole_members(members), rejects=True)
+
+
+def archive_catalog(archives: DataFrame) -> DataFrame:
+    """Catalog of the submission documents inside archives (column ``archive``).
+
+    ``archive_rejects`` lists what it cannot hold.
+    """
+    _, contents = _documents(archives)
+    return explode_submissions(parse_submissions(member_text(contents), name="member"))
+
+
+def archive_rejects(archives: DataFrame) -> DataFrame:
+    """``archive, member, reason`` of members without rows in the catalog: too long for a
+    row, unreadable, or no well-formed submission document."""
+    members, contents = _documents(archives)
+    parsed = parse_submissions(member_text(contents), name="member", keep=["archive"])
+    malformed = malformed_submissions(parsed, "archive", "name")
+    reason = F.lit("no well-formed submission document").alias("reason")
+    named = malformed.select("archive", F.col("name").alias("member"), reason)
+    return member_rejects(members, contents).unionByName(named)

@@ -12,15 +12,34 @@ from docketspark.functions import forms, identifiers, urls
 from docketspark.operators import documents, entities, fetch, hooks, selection
 from docketspark.operators import index as index_ops
 from docketspark.plans.check import check_index
-from docketspark.plans.retrieve import retrieve, retrieved_index
+from docketspark.plans.obtain import keep, not_yet_kept, obtain, of_new_filings
+from docketspark.plans.retrieve import request_rejects as retrieval_rejects
+from docketspark.plans.retrieve import requested_filings, retrieve, retrieved_index
 from docketspark.plans.watch import archive_catalog, new_filings
 from docketspark.queries import feeds
 from docketspark.session import scratch_dir, spread
-from docketspark.sinks.index_table import append_index, read_index
+from docketspark.sinks.index_table import (
+    append_index,
+    compact_index,
+    read_index,
+    write_file_number_index,
+)
+from docketspark.sinks.tables import (
+    read_documents,
+    write_documents,
+    write_facts,
+    write_security_csv,
+    write_ticker_map,
+)
 from docketspark.sources import archives, index_files, search, securities, submissions
 from docketspark.sources import entities as entity_files
 from docketspark.sources import facts as fact_files
-from docketspark.streaming.index_stream import stream_submissions, stream_to_index
+from docketspark.streaming.index_stream import (
+    documents_to_index,
+    stream_documents,
+    stream_submissions,
+    stream_to_index,
+)
 from docketspark.streaming.live_feed import without_repeats, write_feed
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -96,6 +115,32 @@ def newest_n_per_company(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _dated(rows.select(*_FILING, "rank", base.alias("base_url")))
 
 
+@query
+def newest_n_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """More filings per group than Spark limits before a shuffle; a third have no company."""
+    rows = feeds.catalog(spark, sf_dir)
+    nobody = F.col("accession_number").cast("bigint") % 3 == 0
+    rows = rows.withColumn("cik", F.when(~nobody, F.col("cik")))
+    ranked = selection.newest_per_group(rows, ["cik", "form_type"], 1001)
+    return _dated(ranked.select(*_FILING, "rank"))
+
+
+@query
+def filing_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each filing stands in its document."""
+    return _catalog(spark, sf_dir).select("accession_number", F.col("pos").cast("bigint").alias("pos"))
+
+
+@query
+def catalog_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Submission documents read from files, and their catalog written and read again."""
+    root = scratch_dir(spark, "catalog")
+    feeds.submission_documents(spark, sf_dir).select("v").write.text(f"{root}/documents")
+    docs = submissions.read_submissions(spark, f"{root}/documents", multi_line=False)
+    submissions.write_catalog(submissions.explode_submissions(docs), f"{root}/catalog")
+    return _dated(spark.read.parquet(f"{root}/catalog").select(*_FILING))
+
+
 @query
 def newest_n_overall(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _dated(selection.newest(feeds.catalog(spark, sf_dir), 100).select(*_FILING))
@@ -125,6 +170,15 @@ def search_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def search_broken(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Envelopes of another kind, or cut, are rejects too: here one per order."""
+    orders = feeds.table(spark, sf_dir, "orders")
+    text = F.when(F.col("o_orderkey") % 2 == 0, F.lit('{"message": "busy"}')).otherwise('{"hits": {"hi')
+    results = search.parse_search_results(orders.select(text.alias("v")))
+    return search.search_rejects(results).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
 def _selected(hits: DataFrame) -> DataFrame:
     last = F.try_element_at("ciks", F.lit(-1)).alias("cik")
     return _dated(hits.select("hit_id", last, "file_type", "filing_date"))
@@ -309,7 +363,7 @@ def file_number_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(
         "cik",
         "file_number",
-        "part",
+        "month",
         F.size("entries").cast("bigint").alias("n_entries"),
         F.array_join(joined, "|").alias("entries"),
     )
@@ -329,6 +383,47 @@ def related_filings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _dated(index_ops.related_filings(index, requested))
 
 
+@query
+def sibling_filings_blank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A blank file number is none: filings that have one are related to nothing."""
+    index = index_ops.index_rows(feeds.blank_numbers(spark, sf_dir))
+    rows = index_ops.related_summary(index).select("file_path", "file_number", "n_related")
+    return rows
+
+
+@query
+def index_import_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An index is imported from CSV; appending the same entries adds none."""
+    root = scratch_dir(spark, "import")
+    index = index_ops.index_rows(feeds.blank_numbers(spark, sf_dir))
+    index.drop("cik").write.option("header", True).csv(f"{root}/csv")
+    append_index(index_files.read_index_csv(spark, f"{root}/csv"), f"{root}/index", "000001")
+    append_index(index, f"{root}/index", "000002")
+    return _dated(read_index(spark, f"{root}/index"))
+
+
+@query
+def file_number_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The exported file-number index reads back."""
+    path = scratch_dir(spark, "numbers")
+    write_file_number_index(feeds.index_with_repeats(spark, sf_dir), path)
+    lines = spark.read.text(path).select(F.col("value").alias("v"))
+    return _dated(index_files.parse_file_number_index(lines))
+
+
+@query
+def index_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Many batches merged into one, and a batch that runs again afterwards."""
+    root = scratch_dir(spark, "compact")
+    index = feeds.index_with_repeats(spark, sf_dir)
+    part = F.pmod(F.xxhash64("file_path"), F.lit(3))
+    for n in range(3):
+        append_index(index.where(part == n), f"{root}/index", f"{n}")
+    compact_index(spark, f"{root}/index", f"{root}/merged")
+    append_index(index.where(part == 1), f"{root}/merged", "1")
+    return _dated(read_index(spark, f"{root}/merged"))
+
+
 @query
 def sibling_filings(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = index_ops.related_summary(feeds.index_with_repeats(spark, sf_dir))
@@ -428,11 +523,72 @@ def document_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def links_left_alone(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links with a scheme, or within the document, stay; others become absolute."""
+    pages = feeds.table(spark, sf_dir, "pages")
+    address = (
+        F.when(F.col("page_id") % 4 == 0, F.concat(F.lit("mailto:a@b.example/"), F.col("page_id").cast("string")))
+        .when(F.col("page_id") % 4 == 1, "#part")
+        .when(F.col("page_id") % 4 == 2, "https://other.example/x?y#z")
+        .otherwise("ex1.htm")
+    )
+    html = F.concat(F.lit('<a href="'), address, F.lit('">x</a>'))
+    rows = pages.select("page_id", html.alias("html"), F.lit("https://f.example/d/").alias("base"))
+    return documents.rewrite_documents(rows, "html", "base").select("page_id", "html")
+
+
+@query
+def document_store_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages stored, then some of them again with other content: the later one counts."""
+    path = scratch_dir(spark, "store")
+    key = F.col("page_id")
+    pages = feeds.table(spark, sf_dir, "pages").select(
+        feeds.padded(key % 50, 10).alias("cik"),
+        F.lit("8-K").alias("form_type"),
+        feeds.padded(key, 18).alias("accession_number"),
+        F.lit("main.txt").alias("name"),
+        "page_id",
+        "html",
+    )
+    write_documents(documents.stored_documents(pages, "name", "html"), path, "1")
+    later = pages.where(key % 3 == 0).withColumn("html", F.concat(F.lit("new "), "html"))
+    for _ in range(2):  # the second batch runs again
+        write_documents(documents.stored_documents(later, "name", "html"), path, "2")
+    stored = read_documents(spark, path)
+    return stored.select("file_path", F.md5("content").alias("content_md5"), "content_length")
+
+
+@query
+def ticker_map_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored map is replaced by a later one."""
+    path = scratch_dir(spark, "tickers")
+    write_ticker_map(_tickers(spark, sf_dir).limit(0), path)
+    write_ticker_map(_tickers(spark, sf_dir), path)
+    return spark.read.parquet(path)
+
+
+@query
+def security_csv_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_dir(spark, "securities")
+    write_security_csv(securities.security_rows(feeds.security_cells(spark, sf_dir)), path)
+    return spark.read.schema("cusip string, issuer string, description string").csv(path)
+
+
+@query
+def facts_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored facts of one concept."""
+    path = scratch_dir(spark, "facts")
+    docs = fact_files.parse_company_facts(feeds.fact_documents(spark, sf_dir))
+    write_facts(fact_files.facts_long(docs), path)
+    return _facts(fact_files.concept_facts(spark.read.parquet(path), "dei", "Shares"))
+
+
 _FACT = ["cik", "taxonomy", "tag", "unit", "end", "accn", "fy", "fp", "form"]
 
 
 def _facts(rows: DataFrame) -> DataFrame:
-    return rows.select(*_FACT, F.col("val").cast("double").alias("val"))
+    return rows.select(*_FACT, F.col("value").alias("val"))
 
 
 @query
@@ -443,15 +599,39 @@ def facts_long(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def company_concept(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = fact_files.parse_company_facts(feeds.fact_documents(spark, sf_dir))
-    return _facts(fact_files.company_concept(docs, "us-gaap", "Revenues"))
+    docs = feeds.fact_documents(spark, sf_dir)
+    parsed = fact_files.parse_concept(docs, "us-gaap", "Revenues")
+    return _facts(fact_files.company_concept(parsed, "us-gaap", "Revenues"))
+
+
+@query
+def facts_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without a company, without facts, cut, and sound ones."""
+    key = F.col("l_suppkey")
+    text = (
+        F.when(key % 4 == 0, F.lit('{"facts": {"dei": {}}}'))
+        .when(key % 4 == 1, F.format_string('{"cik": %d}', key))
+        .when(key % 4 == 2, F.lit('{"cik'))
+        .otherwise(F.format_string('{"cik": %d, "facts": {"dei": {}}}', key))
+    )
+    broken = feeds.table(spark, sf_dir, "lineitem").select(key.alias("key"), text.alias("v"))
+    rejects = fact_files.facts_rejects(broken)
+    return rejects.groupBy("key", "reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    zips = feeds.zipped_pages(spark, sf_dir, scratch_dir(spark, "pages"))
+    return archives.archive_contents(archives.archive_members(zips))
+
+
+def _archive_name() -> Column:
+    return identifiers.file_name("archive")
 
 
 @query
 def zip_members(spark: SparkSession, sf_dir: str) -> DataFrame:
-    members = archives.expand_archives(feeds.zipped_pages(spark, sf_dir))
-    return members.select(
-        "archive",
+    return _members(spark, sf_dir).select(
+        _archive_name().alias("archive"),
         "member",
         "part",
         F.length("content").cast("bigint").alias("length"),
@@ -462,28 +642,50 @@ def zip_members(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def zip_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Archives with what their members come to."""
-    members = archives.expand_archives(feeds.zipped_pages(spark, sf_dir))
-    return members.groupBy("archive").agg(
+    members = _members(spark, sf_dir)
+    return members.groupBy(_archive_name().alias("archive")).agg(
         F.count_distinct("member").alias("n_members"),
         F.sum(F.length("content")).alias("length"),
     )
 
 
+@query
+def archive_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives as they are, without reading them."""
+    folder = scratch_dir(spark, "pages")
+    feeds.zipped_pages(spark, sf_dir, folder)
+    listed = archives.list_archives(spark, folder)
+    return listed.select(_archive_name().alias("archive"), (F.col("length") > 22).alias("filled"))
+
+
+@query
+def archive_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Members of archives of pages, read as submission documents: none is one."""
+    zips = feeds.zipped_pages(spark, sf_dir, scratch_dir(spark, "pages"))
+    members = archives.archive_members(zips)
+    contents = archives.archive_contents(members, rejects=True)
+    parsed = submissions.parse_submissions(
+        archives.member_text(contents), name="member", keep=["archive"]
+    )
+    rejected = submissions.malformed_submissions(parsed, "archive", "name")
+    return rejected.select(_archive_name().alias("archive"), F.col("name").alias("member"), "cik")
+
+
 @query
 def document_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Members of stored archives as documents next to them."""
-    zips = feeds.zipped_pages(spark, sf_dir)
-    key = F.substring_index("archive", ".", 1).cast("bigint")
+    contents = _members(spark, sf_dir)
+    key = F.substring_index(_archive_name(), ".", 1).cast("bigint")
     path = identifiers.relative_path(
-        feeds.padded(key % 50, 10), F.lit("10-K"), feeds.padded(key, 18), "archive"
+        feeds.padded(key % 50, 10), F.lit("10-K"), feeds.padded(key, 18), _archive_name()
     )
-    members = archives.expand_archives(zips.select(path.alias("archive"), "content"))
-    stored = documents.stored_members(members)
+    stored = documents.stored_members(contents.withColumn("archive", path))
     return stored.select(
         "file_path",
         "cik",
         "form_type",
         "accession_number",
+        "member",
         F.md5("content").alias("content_md5"),
         "content_length",
     )
@@ -589,6 +791,62 @@ def retrieve_to_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _dated(retrieved_index(fetched))
 
 
+@query
+def retrieve_open_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """More filings asked for than Spark limits before a shuffle, half the dates open."""
+    found = requested_filings(
+        feeds.requests(spark, sf_dir), _tickers(spark, sf_dir), _hits(spark, sf_dir), 1001
+    )
+    request = ["request_cik", "request_form", "request_after", "request_before"]
+    counted = found.groupBy(*request).agg(
+        F.count(F.lit(1)).alias("n"), F.min("filing_date").alias("first_date")
+    )
+    return _dated(counted, "request_after", "request_before", "first_date")
+
+
+@query
+def request_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rejected = retrieval_rejects(feeds.requests(spark, sf_dir), _tickers(spark, sf_dir))
+    return _dated(rejected, "after_date", "before_date")
+
+
+@query
+def retrieve_to_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests -> addresses in a wanted type -> landed files -> store and index, without
+    what is indexed and stored; the rows of the store that the index refers to."""
+    root = scratch_dir(spark, "retrieved")
+    plan = _plan(spark, sf_dir, F.lit("htm"), False)
+    # What a hit's text says is here the number of its filing.
+    hits = _hits(spark, sf_dir).withColumn("text", F.col("hit_id"))
+    fetched = retrieve(
+        feeds.requests(spark, sf_dir), _tickers(spark, sf_dir), hits, feeds.available(plan),
+        number_of_filings=3, preferred="htm", query='"0:d" 1',
+    )
+    kept = feeds.index(spark, sf_dir).where(F.col("cik").endswith("1"))
+    fresh = not_yet_kept(fetched, kept, feeds.manifest(spark, sf_dir))
+    obtained = obtain(fresh, feeds.landed(fresh))
+    for _ in range(2):  # a batch that runs again leaves the same
+        keep(obtained, f"{root}/store", f"{root}/index", "1")
+    stored = read_documents(spark, f"{root}/store")
+    indexed = read_index(spark, f"{root}/index").select("file_path", "file_number")
+    return stored.join(indexed, "file_path").select(
+        "file_path", "cik", "form_type", "file_number", F.md5("content").alias("content_md5")
+    )
+
+
+@query
+def watch_to_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """New filings are obtained, stored and indexed; the table they were missing from."""
+    root = scratch_dir(spark, "watched")
+    index = feeds.index(spark, sf_dir)
+    append_index(index.where(F.col("file_number").isin("001-00000", "001-00003")), f"{root}/index", "0")
+    known = read_index(spark, f"{root}/index")
+    rows = of_new_filings(new_filings(_catalog(spark, sf_dir), known, AFTER, ["S-1", "S-1/A"]))
+    keep(obtain(rows, feeds.landed(rows)), f"{root}/store", f"{root}/index", "1")
+    stored = read_documents(spark, f"{root}/store").select("file_path", "content_length")
+    return _dated(read_index(spark, f"{root}/index").join(stored, "file_path"))
+
+
 @query
 def watch_new_filings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Newer filings of tracked forms that the index does not hold."""
@@ -619,3 +877,20 @@ def stream_new_filings(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_feed(feed, f"{root}/feed", f"{root}/checkpoint").awaitTermination()
     schema = feed.select(*_FILING).schema
     return _dated(spark.read.schema(schema).parquet(f"{root}/feed"))
+
+
+@query
+def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that the index stream cannot hold are beside the table: those of keys
+    ending in 3 lost their file numbers."""
+    root = scratch_dir(spark, "rejects")
+    docs = feeds.submission_documents(spark, sf_dir)
+    emptied = F.regexp_replace("v", r'"fileNumber":\[[^\]]*\]', '"fileNumber":[]')
+    text = F.when(F.col("cik").endswith("3"), emptied).otherwise(F.col("v"))
+    docs.select(text.alias("value")).write.text(f"{root}/documents")
+    arriving = stream_documents(spark, f"{root}/documents", whole_files=False)
+    query_run = documents_to_index(arriving, f"{root}/index", f"{root}/rejects", f"{root}/checkpoint")
+    query_run.awaitTermination()
+    rejected = spark.read.parquet(f"{root}/rejects").select("cik", F.lit("rejected").alias("kind"))
+    held = read_index(spark, f"{root}/index").select("cik", F.lit("indexed").alias("kind"))
+    return rejected.unionByName(held).groupBy("cik", "kind").agg(F.count(F.lit(1)).alias("n"))

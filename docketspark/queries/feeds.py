@@ -6,7 +6,6 @@ a unique key, so its size does not depend on how often a company or form occurs.
 
 from __future__ import annotations
 
-import io
 import uuid
 import zipfile
 
@@ -22,6 +21,8 @@ from docketspark.sources.files import locate
 SUBMISSION_RANGE = 65_536
 PAGE_RANGE = 100
 TICKER_RANGE = 1000
+# Pages per archive.
+ARCHIVE_PAGES = 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -246,6 +247,9 @@ def fact_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     dei = F.create_map(
         F.lit("Rates"),
         concept(pure=F.array(fact(F.col("l_discount"))), USD=F.array(fact(F.col("l_tax")))),
+        F.lit("Shares"),
+        # Numbers of more digits than a money amount has, and very small ones.
+        concept(pure=F.array(fact(price / 7), fact(F.col("l_quantity") / 1e10))),
     )
     facts = F.create_map(F.lit("us-gaap"), gaap, F.lit("dei"), dei)
     doc = F.struct(F.col("l_suppkey").alias("cik"), facts.alias("facts"))
@@ -287,25 +291,30 @@ def file_number_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grouped.select(F.to_json("numbers").alias("v"))
 
 
-def zipped_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One small archive per page: a folder entry, its HTML and its address."""
-
-    def pack(batches):
-        for batch in batches:
-            names, blobs = [], []
-            for page in batch.to_pylist():
-                data = io.BytesIO()
-                with zipfile.ZipFile(data, "w", zipfile.ZIP_DEFLATED) as archive:
-                    archive.writestr("data/", b"")
-                    archive.writestr("data/main.htm", page["html"])
-                    archive.writestr("url.txt", page["url"], zipfile.ZIP_STORED)
-                names.append(f"{page['page_id']}.zip")
-                blobs.append(data.getvalue())
-            columns = [pa.array(names, pa.string()), pa.array(blobs, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["archive", "content"])
-
-    pages = spread(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
-    return pages.mapInArrow(pack, "archive string, content binary")
+def zipped_pages(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
+    """One archive per range of pages, below ``folder``: of each page a folder entry, its
+    HTML and its address. Column ``archive``."""
+
+    def pack(key, pages):
+        system, root = locate(folder)
+        system.create_dir(root, recursive=True)
+        name = f"{key[0].as_py()}.zip"
+        passing = f"{root}/{name}.{uuid.uuid4().hex}"
+        with system.open_output_stream(passing) as data:
+            with zipfile.ZipFile(data, "w", zipfile.ZIP_DEFLATED) as archive:
+                for page in sorted(pages.to_pylist(), key=lambda p: p["page_id"]):
+                    place = str(page["page_id"])
+                    archive.writestr(f"{place}/", b"")
+                    archive.writestr(f"{place}/main.htm", page["html"])
+                    archive.writestr(f"{place}/url.txt", page["url"], zipfile.ZIP_STORED)
+        system.move(passing, f"{root}/{name}")
+        return pa.table({"archive": [f"{folder}/{name}"]})
+
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    grouped = pages.withColumn("n", F.expr(f"page_id div {ARCHIVE_PAGES}")).groupBy("n")
+    written = f"{folder}/names"
+    grouped.applyInArrow(pack, "archive string").write.parquet(written)
+    return spark.read.parquet(written)
 
 
 def zipped_submissions(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
@@ -331,3 +340,18 @@ def zipped_submissions(spark: SparkSession, sf_dir: str, folder: str) -> DataFra
             yield pa.RecordBatch.from_arrays([paths], ["archive"])
 
     return submission_documents(spark, sf_dir).mapInArrow(pack, "archive string")
+
+
+def blank_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The catalog as documents often are: every thirteenth filing has a blank number."""
+    blank = F.col("accession_number").cast("bigint") % 13 == 5
+    rows = catalog(spark, sf_dir)
+    return rows.withColumn("file_num", F.when(blank, F.array(F.lit(""))).otherwise(F.col("file_num")))
+
+
+def landed(rows: DataFrame) -> DataFrame:
+    """``url, content`` of the addresses in ``fetched_url``: small pages with a link to
+    another file of the filing, and other files."""
+    urls = rows.where("fetched_url is not null").select(F.col("fetched_url").alias("url")).distinct()
+    page = F.concat(F.lit('<p>'), "url", F.lit('</p><a href="ex1.htm">exhibit</a>'))
+    return urls.select("url", F.encode(page, "UTF-8").alias("content"))

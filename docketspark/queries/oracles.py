@@ -145,6 +145,24 @@ ORACLES = {
                      base_url
               from v_filings) where rank <= 3""",
     ),
+    "newest_n_large": _with(
+        ["v_filings"],
+        """select cik, form_type, accession_number, main_file_name, filing_date,
+                  cast(rn as int) as rank
+           from (select *, row_number() over (partition by cik, form_type
+                        order by filing_date desc, accession_number desc, main_file_name desc) as rn
+                 from (select case when order_no % 3 <> 0 then cik end as cik,
+                              file_type as form_type, accession_number, main_file_name, filing_date
+                       from v_filings))
+           where rn <= 1001""",
+    ),
+    "filing_positions": _with(
+        ["v_filings"],
+        """select accession_number, row_number() over (partition by cik, order_no // 65536
+                    order by filing_date desc, accession_number desc) - 1 as pos
+           from v_filings""",
+    ),
+    "catalog_written": _with(["v_filings"], f"select {_FILING} from v_filings"),
     "newest_n_overall": _with(
         ["v_filings"],
         f"""select {_FILING} from v_filings
@@ -167,6 +185,8 @@ ORACLES = {
                    as file_type_or_root from v_filings)""",
     ),
     "search_rejects": "select 'no access: ' || c_name as reason from customer where c_acctbal < 0",
+    "search_broken": """
+        select 'neither hits nor an error' as reason, count(*) as n from orders""",
     "search_no_amendments": _with(
         ["v_filings"], f"select {_HIT} from v_filings where file_type = 'S-1'"
     ),
@@ -302,10 +322,24 @@ ORACLES = {
     ),
     "file_number_lists": _with(
         ["v_index"],
-        """select cik, file_number, cast(0 as int) as part, count(*) as n_entries,
+        """select cik, file_number, substr(filing_date, 1, 7) as month, count(*) as n_entries,
                   string_agg(filing_date || ';' || file_path, '|'
                     order by filing_date, file_path) as entries
-           from v_index group by 1, 2""",
+           from v_index group by 1, 2, 3""",
+    ),
+    "file_number_round_trip": _with(["v_index"], f"select {_ALL_INDEX} from v_index"),
+    "index_compacted": _with(["v_index"], f"select {_ALL_INDEX} from v_index"),
+    "index_import_append": _with(
+        ["v_index"],
+        """select cik, form_type, case when cast(accession_number as bigint) % 13 <> 5
+                    then file_number end as file_number, file_path, filing_date
+           from v_index""",
+    ),
+    "sibling_filings_blank": _with(
+        ["v_index"],
+        """select file_path, file_number,
+                  count(*) over (partition by cik, file_number) - 1 as n_related
+           from v_index where cast(accession_number as bigint) % 13 <> 5""",
     ),
     "file_number_import": _with(["v_index"], f"select {_ALL_INDEX} from v_index"),
     "related_filings": _with(
@@ -392,7 +426,10 @@ ORACLES = {
                 {'taxonomy': 'us-gaap', 'tag': 'UnitsSold', 'unit': 'shares',
                  'val': l_quantity},
                 {'taxonomy': 'dei', 'tag': 'Rates', 'unit': 'pure', 'val': l_discount},
-                {'taxonomy': 'dei', 'tag': 'Rates', 'unit': 'USD', 'val': l_tax}]) as f
+                {'taxonomy': 'dei', 'tag': 'Rates', 'unit': 'USD', 'val': l_tax},
+                {'taxonomy': 'dei', 'tag': 'Shares', 'unit': 'pure', 'val': l_extendedprice / 7},
+                {'taxonomy': 'dei', 'tag': 'Shares', 'unit': 'pure',
+                 'val': l_quantity / 1e10}]) as f
               from lineitem)""",
     "company_concept": """
         select lpad(cast(l_suppkey as varchar), 10, '0') as cik, 'us-gaap' as taxonomy,
@@ -403,30 +440,65 @@ ORACLES = {
                case l_returnflag when 'R' then '10-K' else '10-Q' end as form,
                l_extendedprice * m.factor as val
         from lineitem cross join (select unnest([1, 2]) as factor) m""",
+    "facts_written": """
+        select lpad(cast(l_suppkey as varchar), 10, '0') as cik, 'dei' as taxonomy,
+               'Shares' as tag, 'pure' as unit,
+               cast(cast(l_shipdate as date) as varchar) as "end",
+               lpad(cast(l_orderkey as varchar), 18, '0') as accn,
+               year(l_shipdate) as fy, 'Q' || cast(quarter(l_shipdate) as varchar) as fp,
+               case l_returnflag when 'R' then '10-K' else '10-Q' end as form, val
+        from (select *, unnest([l_extendedprice / 7, l_quantity / 1e10]) as val from lineitem)""",
+    "facts_rejects": """
+        select l_suppkey as key, case l_suppkey % 4 when 0 then 'no company key'
+                 when 1 then 'no facts' else 'not a facts document' end as reason, count(*) as n
+        from lineitem where l_suppkey % 4 <> 3 group by 1, 2""",
     "zip_members": """
-        select cast(page_id as varchar) || '.zip' as archive, m.member, cast(0 as int) as part,
+        select cast(page_id // 20 as varchar) || '.zip' as archive,
+               cast(page_id as varchar) || m.member as member, cast(0 as int) as part,
                strlen(m.content) as length, md5(m.content) as content_md5
         from (select page_id, unnest([
-                {'member': 'data/main.htm', 'content': html},
-                {'member': 'url.txt', 'content': url}]) as m
+                {'member': '/main.htm', 'content': html},
+                {'member': '/url.txt', 'content': url}]) as m
               from pages)""",
     "zip_files": """
-        select cast(page_id as varchar) || '.zip' as archive, cast(2 as bigint) as n_members,
-               strlen(html) + strlen(url) as length
+        select cast(page_id // 20 as varchar) || '.zip' as archive,
+               2 * count(*) as n_members,
+               cast(sum(strlen(html) + strlen(url)) as bigint) as length
+        from pages group by 1""",
+    "archive_listing": """
+        select distinct cast(page_id // 20 as varchar) || '.zip' as archive, true as filled
         from pages""",
+    "archive_rejects": """
+        select cast(page_id // 20 as varchar) || '.zip' as archive,
+               cast(page_id as varchar) || m as member, cast(null as varchar) as cik
+        from (select page_id, unnest(['/main.htm', '/url.txt']) as m from pages)""",
     "submissions_from_archives": _with(
         ["v_filings"], f"select {_FILING}, file_number from v_filings"
     ),
     "document_members": """
-        select folder || m.member as file_path, cik, form_type, accession_number,
-               md5(m.content) as content_md5, cast(strlen(m.content) as int) as content_length
+        select folder || member as file_path, cik, form_type, accession_number, member,
+               md5(content) as content_md5, strlen(content) as content_length
         from (select *, cik || '/' || form_type || '/' || accession_number || '/' as folder,
-                     unnest([{'member': 'data/main.htm', 'content': html},
-                             {'member': 'url.txt', 'content': url}]) as m
-              from (select lpad(cast(page_id % 50 as varchar), 10, '0') as cik,
-                           '10-K' as form_type,
-                           lpad(cast(page_id as varchar), 18, '0') as accession_number,
-                           html, url from pages))""",
+                     cast(page_id as varchar) || m.name as member, m.content as content
+              from (select *, unnest([{'name': '/main.htm', 'content': html},
+                                      {'name': '/url.txt', 'content': url}]) as m
+                    from (select lpad(cast(page_id // 20 % 50 as varchar), 10, '0') as cik,
+                                 '10-K' as form_type, page_id, html, url,
+                                 lpad(cast(page_id // 20 as varchar), 18, '0')
+                                   as accession_number from pages)))""",
+    "links_left_alone": """
+        select page_id, '<a href="' || case page_id % 4
+                 when 0 then 'mailto:a@b.example/' || cast(page_id as varchar)
+                 when 1 then '#part' when 2 then 'https://other.example/x?y#z'
+                 else 'https://f.example/d/ex1.htm' end || '">x</a>' as html
+        from pages""",
+    "document_store_twice": """
+        select lpad(cast(page_id % 50 as varchar), 10, '0') || '/8-K/'
+                 || lpad(cast(page_id as varchar), 18, '0') || '/main.txt' as file_path,
+               md5(content) as content_md5, strlen(content) as content_length
+        from (select page_id, case page_id % 3 when 0 then 'new ' else '' end || html as content
+              from pages)""",
+    "ticker_map_written": _with(["v_tickers"], "select ticker, cik from v_tickers"),
     "thirteen_f_urls": """
         select distinct cast(year(d) as int) as year, cast(quarter(d) as int) as quarter,
                case when year(d) > 2021 or (year(d) = 2021 and quarter(d) >= 2)
@@ -441,6 +513,9 @@ ORACLES = {
                  || '|' || p_type as cells, code as cusip, p_brand as issuer,
                p_type as description
         from (select *, lpad(cast(p_partkey as varchar), 9, '0') as code from part)""",
+    "security_csv_written": """
+        select lpad(cast(p_partkey as varchar), 9, '0') as cusip, p_brand as issuer,
+               p_type as description from part""",
     "identifier_scalars": """
         select o_orderkey,
                case o_orderkey % 4
@@ -476,6 +551,55 @@ ORACLES = {
                        from v_asked) join v_number using (order_no)
                  where rn <= 3)""",
     ),
+    "retrieve_open_dates": _with(
+        ["v_asked"],
+        """select request_cik, request_form, request_after, request_before, count(*) as n,
+                  min(filing_date) as first_date
+           from (select *, row_number() over (partition by request_cik, request_form,
+                            request_after, request_before
+                          order by filing_date desc, accession_number desc) as rn from v_asked)
+           where rn <= 1001 group by 1, 2, 3, 4""",
+    ),
+    "request_rejects": _with(
+        ["v_resolved"],
+        """select distinct ticker_or_cik, case when q_id % 3 = 0 then '10-Q' else '10-K' end
+                    as form_type,
+                  case when q_id % 4 >= 2 then '1996-01-01' end as after_date,
+                  case when q_id % 4 >= 2 then '1999-12-31' end as before_date
+           from v_resolved where cik is null""",
+    ),
+    "retrieve_to_store": _with(
+        ["v_asked", "v_number"],
+        """select distinct path as file_path, cik, form_type, unnest(numbers) as file_number,
+                  md5('<p>' || base_url || '/' || main_file_name || '</p><a href="'
+                    || case when suffix in ('htm', 'html') then base_url || '/' else '' end
+                    || 'ex1.htm">exhibit</a>') as content_md5
+           from (select *, root_form as form_type,
+                        cik || '/' || root_form || '/' || accession_number || '/'
+                          || main_file_name as path,
+                        case when order_no % 6 = 0
+                          then [file_number, '333-' || lpad(cast(order_no % 11 as varchar), 5, '0')]
+                          else [file_number] end as numbers
+                 from (select *, row_number() over (partition by request_cik, request_form,
+                                  request_after, request_before
+                                order by filing_date desc, accession_number desc) as rn
+                       from v_asked
+                       where contains(accession_number || ':' || main_file_name, '0:d')
+                         and contains(accession_number || ':' || main_file_name, '1'))
+                 join v_number using (order_no)
+                 where rn <= 3 and number % 11 <> 0
+                   and not (right(cik, 1) = '1' and file_type = root_form))""",
+    ),
+    "watch_to_index": _with(
+        ["v_filings", "v_index"],
+        """select i.cik, i.form_type, i.file_number, i.file_path, i.filing_date,
+                  length('<p>' || f.base_url || '/' || f.main_file_name || '</p><a href="'
+                    || case when f.suffix in ('htm', 'html') then f.base_url || '/' else '' end
+                    || 'ex1.htm">exhibit</a>') as content_length
+           from v_index i join v_filings f on i.accession_number = f.accession_number
+           where i.filing_date >= '2000-06-01' and f.file_type in ('S-1', 'S-1/A')
+             and i.file_number not in ('001-00000', '001-00003')""",
+    ),
     "retrieve_to_index": _with(
         ["v_asked", "v_number"],
         """select distinct cik, root_form as form_type, unnest(numbers) as file_number,
@@ -505,5 +629,12 @@ ORACLES = {
              and i.file_number not in ('001-00000', '001-00003')""",
     ),
     "stream_index": _with(["v_index"], f"select {_ALL_INDEX} from v_index"),
+    "stream_rejects": _with(
+        ["v_filings"],
+        """select cik, case when right(cik, 1) = '3' then 'rejected' else 'indexed' end as kind,
+                  case when right(cik, 1) = '3' then count(distinct order_no // 65536)
+                       else count(*) end as n
+           from v_filings group by 1, 2""",
+    ),
     "stream_new_filings": _with(["v_filings"], f"select {_FILING} from v_filings"),
 }

@@ -37,7 +37,7 @@ TICKER_RECORDS = T.MapType(_S, _struct(cik_str=T.LongType(), ticker=_S))
 TICKER_EXCHANGE = _struct(fields=_STRINGS, data=T.ArrayType(_STRINGS))
 
 FACT = _struct(
-    val=T.DecimalType(38, 6),
+    val=_S,  # as it is written; a double beside it is derived
     start=_S,
     end=_S,
     accn=_S,

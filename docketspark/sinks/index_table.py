@@ -2,8 +2,10 @@
 
 A batch is written to a folder of its own name, so a batch that is run again
 replaces what its first run left behind. Below that, rows are laid out by the
-year digits of their accession number. These are part of the entry's key, so an
-append need only compare with the years its batch holds.
+year digits of their accession number, and sorted by company. Both are part of the
+entry's key, so an append need only compare with the years its batch holds, and within
+their files with the row groups its companies fall in. Batches are merged from time to
+time by ``compact_index``.
 
 There is one writer at a time; plain Parquet has no transactions.
 """
@@ -19,6 +21,9 @@ from docketspark.functions.identifiers import accession_from_path
 from docketspark.operators.index import file_number_lists, not_indexed, one_per_key
 from docketspark.schemas import INDEX, INDEX_COLUMNS
 
+# Companies of a batch that are looked for one by one.
+COMPANY_LIST = 1_000
+
 _LAYOUT = [T.StructField(name, T.StringType()) for name in ("batch", "filed_in")]
 _STORED = T.StructType([*INDEX.fields, *_LAYOUT])
 
@@ -53,12 +58,11 @@ def append_index(rows: DataFrame, table: str, batch: str) -> None:
         stored = _stored(spark, table)
         new = fresh
         if stored is not None:
-            # At most 101 short strings, whatever the size of the batch.
-            years = [row[0] for row in fresh.select("filed_in").distinct().collect()]
-            others = stored.where((F.col("batch") != batch) & F.col("filed_in").isin(years))
+            others = stored.where((F.col("batch") != batch) & _may_match(fresh))
             new = not_indexed(fresh, others)
         (
             new.hint("rebalance", "filed_in")
+            .sortWithinPartitions("filed_in", "cik")
             .write.mode("overwrite")
             .partitionBy("filed_in")
             .parquet(f"{table.rstrip('/')}/batch={batch}")
@@ -67,6 +71,33 @@ def append_index(rows: DataFrame, table: str, batch: str) -> None:
         fresh.unpersist()
 
 
+def _may_match(batch: DataFrame) -> Column:
+    """Where entries equal to those of a batch may be: its years, and its companies.
+
+    Years are folders. Companies are a list while they are few, else the range they span;
+    either reaches the statistics of the files, which are sorted by company.
+    """
+    # At most 101 short strings, whatever the size of the batch.
+    years = [row[0] for row in batch.select("filed_in").distinct().collect()]
+    in_years = F.col("filed_in").isin(years)
+    companies = batch.select("cik").distinct().limit(COMPANY_LIST + 1).collect()
+    if any(row[0] is None for row in companies):
+        return in_years
+    if len(companies) <= COMPANY_LIST:
+        return in_years & F.col("cik").isin([row[0] for row in companies])
+    span = batch.agg(F.min("cik"), F.max("cik"), F.bool_or(F.col("cik").isNull())).first()
+    return in_years if span[2] else in_years & F.col("cik").between(span[0], span[1])
+
+
+def compact_index(spark: SparkSession, table: str, new_table: str) -> None:
+    """Merge the batches of a table into a new one, which readers and the writer go on with.
+
+    A stream's batch that runs again afterwards finds its entries in the merged batch and
+    adds an empty folder, so it still leaves each entry once.
+    """
+    rewrite_index(one_per_key(read_index(spark, table)), new_table)
+
+
 def rewrite_index(kept: DataFrame, table: str) -> None:
     """Write a checked index as a new table of one batch.
 
@@ -86,5 +117,17 @@ def rewrite_index(kept: DataFrame, table: str) -> None:
 
 
 def write_file_number_index(index: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Export ``cik, file_number, entries`` as JSON lines; long lists span several lines."""
-    file_number_lists(index).write.mode(mode).json(path)
+    """Export JSON lines ``{file number: [[form, path, date], …]}``, as imports read them.
+
+    A line holds a number's entries of one company and month; a number's lines in order of
+    month are its whole list.
+    """
+    entry = F.transform(
+        "entries",
+        lambda e: F.array(e["form_type"], e["file_path"], e["filing_date"].cast("string")),
+    )
+    lists = file_number_lists(index)
+    ordered = lists.repartitionByRange("cik", "file_number", "month")
+    ordered = ordered.sortWithinPartitions("cik", "file_number", "month")
+    lines = ordered.select(F.to_json(F.create_map("file_number", entry)).alias("value"))
+    lines.write.mode(mode).text(path)

@@ -5,18 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketspark.functions.columns import explode_parsed
+from docketspark.functions.columns import blank_to_null, explode_parsed
 from docketspark.functions.identifiers import absolute_path, accession_from_path
 from docketspark.schemas import FILE_NUMBER_MAP, INDEX_COLUMNS, INDEX_CSV
 
 
 def _as_index(entries: DataFrame) -> DataFrame:
-    """Entries with forward slashes, a date, and the company key their path starts with."""
+    """Entries with forward slashes, a date, and the company key their path starts with.
+
+    A blank file number is none, as in ``index_rows``.
+    """
     path = F.translate("file_path", "\\", "/")
     return entries.select(
         F.substring_index(path, "/", 1).alias("cik"),
         "form_type",
-        "file_number",
+        blank_to_null("file_number").alias("file_number"),
         path.alias("file_path"),
         F.col("filing_date").try_cast("date").alias("filing_date"),
     ).select(*INDEX_COLUMNS)

@@ -38,9 +38,14 @@ def search_hits(results: DataFrame) -> DataFrame:
 
 
 def search_rejects(results: DataFrame) -> DataFrame:
-    """Why a search failed, one row per error result."""
+    """Why a search gave no hits: one row per error, or per result without hits and error
+    (text that is no JSON, or another document)."""
     reason = F.get(F.col("error.root_cause"), 0)["reason"]
-    return results.where(F.col("error").isNotNull()).select(reason.alias("reason"))
+    failed = F.col("error").isNotNull()
+    empty = F.col("hits.hits").isNull()
+    told = F.when(failed, F.coalesce(reason, F.lit("error without a reason")))
+    rows = results.where(failed | empty)
+    return rows.select(F.coalesce(told, F.lit("neither hits nor an error")).alias("reason"))
 
 
 def hit_metadata(hits: DataFrame) -> DataFrame:

@@ -48,7 +48,7 @@ def security_rows(cells: DataFrame) -> DataFrame:
         .when(F.col("width") == 4, F.array(F.get(cell, 0), F.get(cell, 1), F.get(cell, 2)))
         .otherwise(cell)
     )
-    joined = join_hot(cells, widths, ["table_id"], ["row_no"])
+    joined = join_hot(cells, widths, ["table_id"], ["row_no"], null_safe=True)
     rows = joined.select("table_id", "row_no", kept.alias("cells"))
     names = ["cusip", "issuer", "description"]
     return rows.select(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,7 +17,7 @@ _KEY_IN_NAME = r"CIK([0-9]{10})"
 def read_submissions(
     spark: SparkSession, path: str | list[str], multi_line: bool = True
 ) -> DataFrame:
-    """All submission documents below ``path`` as ``cik, filings``.
+    """All submission documents below ``path`` as ``cik, filings, name``.
 
     The company key comes from the document, else from the file name. For one
     company give the path of its file: nothing else is listed or read.
@@ -25,20 +26,22 @@ def read_submissions(
     return with_company_key(docs, F.col("_metadata.file_name"))
 
 
-def with_company_key(docs: DataFrame, name: Column) -> DataFrame:
-    """``cik, filings`` with the key normalised, taken from ``name`` where absent."""
+def with_company_key(docs: DataFrame, name: Column, keep: Sequence[str] = ()) -> DataFrame:
+    """``cik, filings, name`` with the key normalised, taken from ``name`` where absent."""
     key = F.coalesce(
         cik10("cik"), F.nullif(F.regexp_extract(name, _KEY_IN_NAME, 1), F.lit(""))
     )
-    return docs.select(key.alias("cik"), "filings")
+    return docs.select(key.alias("cik"), "filings", name.alias("name"), *keep)
 
 
-def parse_submissions(docs: DataFrame, text: str = "v", name: str | None = None) -> DataFrame:
+def parse_submissions(
+    docs: DataFrame, text: str = "v", name: str | None = None, keep: Sequence[str] = ()
+) -> DataFrame:
     """Submission documents held as JSON text; only the needed fields are decoded."""
     doc = F.from_json(F.col(text), SUBMISSION)
     source = F.col(name) if name else F.lit(None).cast("string")
-    parsed = docs.select(doc.alias("d"), source.alias("_name"))
-    return with_company_key(parsed.select("d.*", "_name"), F.col("_name"))
+    parsed = docs.select(doc.alias("d"), source.alias("_name"), *keep)
+    return with_company_key(parsed.select("d.*", "_name", *keep), F.col("_name"), keep)
 
 
 def _well_formed() -> Column:
@@ -51,10 +54,11 @@ def _well_formed() -> Column:
     return F.coalesce(same_length, F.lit(False)) & F.col("cik").isNotNull()
 
 
-def malformed_submissions(docs: DataFrame) -> DataFrame:
-    """Documents the catalog cannot hold: no key, an array missing, or unequal lengths."""
+def malformed_submissions(docs: DataFrame, *keep: str) -> DataFrame:
+    """Documents the catalog cannot hold: no key, an array missing, or unequal lengths;
+    text that is no document has neither. ``keep`` names further columns, such as ``name``."""
     sizes = [F.size(f"filings.recent.{name}").alias(name) for name in RECENT_FIELDS]
-    return docs.where(~_well_formed()).select("cik", *sizes)
+    return docs.where(~_well_formed()).select("cik", *keep, *sizes)
 
 
 def explode_submissions(docs: DataFrame) -> DataFrame:

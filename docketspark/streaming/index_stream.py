@@ -9,7 +9,12 @@ from pyspark.sql.streaming import StreamingQuery
 from docketspark.operators.index import index_rows
 from docketspark.schemas import SUBMISSION
 from docketspark.sinks.index_table import append_index
-from docketspark.sources.submissions import explode_submissions, with_company_key
+from docketspark.sources.submissions import (
+    explode_submissions,
+    malformed_submissions,
+    parse_submissions,
+    with_company_key,
+)
 
 
 def stream_submissions(
@@ -23,6 +28,49 @@ def stream_submissions(
     return explode_submissions(docs)
 
 
+def stream_documents(
+    spark: SparkSession, path: str, whole_files: bool = True, files_per_trigger: int | None = None
+) -> DataFrame:
+    """Arriving submission documents as text ``v`` with the ``name`` of their file, so that
+    those which are no documents can be reported."""
+    reader = spark.readStream
+    if files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    texts = reader.text(path, wholetext=whole_files)
+    return texts.select(F.col("value").alias("v"), F.col("_metadata.file_name").alias("name"))
+
+
+def documents_to_index(
+    documents: DataFrame, table: str, rejects: str, checkpoint: str
+) -> StreamingQuery:
+    """``stream_to_index`` from document text, with malformed documents beside the table.
+
+    Each batch leaves a folder below ``rejects`` with ``cik, name`` and array lengths of the
+    documents that gave no rows; a batch that runs again replaces its own folder.
+    """
+
+    def append(batch: DataFrame, batch_id: int) -> None:
+        name = _batch_name(batch, batch_id)
+        parsed = parse_submissions(batch, name="name")
+        malformed = malformed_submissions(parsed, "name")
+        malformed.write.mode("overwrite").parquet(f"{rejects.rstrip('/')}/batch={name}")
+        append_index(index_rows(explode_submissions(parsed)), table, name)
+
+    return (
+        documents.writeStream.foreachBatch(append)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def _batch_name(batch: DataFrame, batch_id: int) -> str:
+    query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if not query:
+        raise ValueError("the stream has no query id to name its batches by")
+    return f"{query}-{batch_id:012d}"
+
+
 def stream_to_index(filings: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
     """Append new entries to the index table until the input is used up.
 
@@ -34,10 +82,7 @@ def stream_to_index(filings: DataFrame, table: str, checkpoint: str) -> Streamin
     """
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        if not query:
-            raise ValueError("the stream has no query id to name its batches by")
-        append_index(batch, table, f"{query}-{batch_id:012d}")
+        append_index(batch, table, _batch_name(batch, batch_id))
 
     return (
         index_rows(filings)

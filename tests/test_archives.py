@@ -8,7 +8,7 @@ import pytest
 from pyspark.errors import PythonException
 from pyspark.sql import functions as F
 
-from docketspark.plans.watch import archive_catalog
+from docketspark.plans.watch import archive_catalog, archive_rejects
 from docketspark.sources import archives
 
 
@@ -71,12 +71,6 @@ def test_only_wanted_members_are_read(spark, folder):
     ]
 
 
-def test_stored_archives_expand(spark, folder):
-    rows = [(n, (folder / n).read_bytes()) for n in ("one.zip", "two.zip")]
-    stored = spark.createDataFrame(rows, "archive string, content binary")
-    assert joined(archives.expand_archives(stored).collect()) == expected(folder)
-
-
 def test_archive_kept_as_it_is(spark, folder):
     row = archives.list_archives(spark, str(folder)).where(F.col("archive").endswith("two.zip")).first()
     assert row.length == (folder / "two.zip").stat().st_size
@@ -90,11 +84,89 @@ def test_unsupported_method_is_an_error_not_a_gap(spark, tmp_path):
         archives.archive_contents(members).collect()
 
 
-def test_text_longer_than_a_part_is_an_error_not_a_prefix(spark, folder):
+def test_members_too_long_for_a_row_are_rejects(spark, folder, monkeypatch):
+    monkeypatch.setattr(archives, "PART_BYTES", 1_000_000)
     members = archives.archive_members(archives.list_archives(spark, str(folder)))
-    contents = archives.archive_contents(members, part_bytes=700_000)
-    with pytest.raises(Exception, match="longer than one part"):
-        archives.member_text(contents.where(F.col("member").endswith("zeros.bin"))).collect()
+    contents = archives.archive_contents(archives.whole_members(members, 1_000_000), rejects=True)
+    assert {r.member for r in archives.member_text(contents).collect()} == {
+        "file1.txt", "dir/empty.txt",
+    }
+    rejects = archives.member_rejects(members, contents).collect()
+    assert {(r.member, r.reason) for r in rejects} == {
+        ("dir/zeros.bin", "too long for one row"), ("dir/noise.bin", "too long for one row"),
+        ("stored é.bin", "not UTF-8"),
+    }
+
+
+@pytest.mark.parametrize("method", [zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED])
+def test_damaged_members_are_errors_or_rejects(spark, tmp_path, method):
+    data = random.Random(1).randbytes(5_000)
+    with zipfile.ZipFile(tmp_path / "x.zip", "w", method) as z:
+        z.writestr("bad", data)
+        z.writestr("good", b"sound")
+    raw = bytearray((tmp_path / "x.zip").read_bytes())
+    raw[2_000] ^= 0x55
+    (tmp_path / "x.zip").write_bytes(raw)
+    members = archives.archive_members(archives.list_archives(spark, str(tmp_path)))
+    with pytest.raises(PythonException, match="checksum|damaged|bytes, not"):
+        archives.archive_contents(members).collect()
+    contents = archives.archive_contents(members, rejects=True)
+    assert [r.v for r in archives.member_text(contents).collect()] == ["sound"]
+    (reject,) = archives.member_rejects(members, contents).collect()
+    assert reject.member == "bad" and reject.reason != "not UTF-8"
+
+
+@pytest.mark.parametrize("length", [0, 10, 31])
+def test_data_that_ends_early_is_an_error_not_a_loop(length):
+    import io
+
+    packed = zipfile.ZIP_DEFLATED if length == 31 else zipfile.ZIP_STORED
+    header = b"PK\x03\x04" + bytes(22) + b"\x00\x00\x00\x00"
+    entry = {"archive": "a", "member": "m", "offset": 0, "method": packed, "length": 100,
+             "compressed_length": 100, "crc": 0}
+    with pytest.raises(ValueError, match="cut short"):
+        list(archives._inflate(io.BytesIO(header + b"x" * length), entry, 64))
+
+
+def test_cut_archives_are_errors(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "x.zip", "w") as z:
+        z.writestr("a", "data")
+    raw = (tmp_path / "x.zip").read_bytes()
+    (tmp_path / "x.zip").write_bytes(raw[:-30])
+    with pytest.raises(PythonException, match="no ZIP archive"):
+        archives.archive_members(archives.list_archives(spark, str(tmp_path))).collect()
+
+
+def test_directories_with_wide_fields_and_leading_data(tmp_path):
+    path = tmp_path / "wide.zip"
+    with zipfile.ZipFile(path, "w") as z:
+        for n in range(66_000):  # more entries than the plain end record can count
+            z.writestr(zipfile.ZipInfo(f"m{n}"), b"")
+        with z.open(zipfile.ZipInfo("wide"), "w", force_zip64=True) as out:
+            out.write(b"x" * 1000)
+    (tmp_path / "shifted.zip").write_bytes(b"#!/bin/sh\n" + path.read_bytes())
+    for name, before in (("wide.zip", 0), ("shifted.zip", 10)):
+        with open(tmp_path / name, "rb") as handle:
+            found = list(archives._entries(name, handle))
+            assert len(found) == 66_001
+            entry = dict(zip(archives._MEMBER_ARROW.names, found[-1], strict=True))
+            assert entry["offset"] >= before
+            assert b"".join(archives._inflate(handle, entry, 300)) == b"x" * 1000
+
+
+def test_documents_without_rows_are_reported(spark, tmp_path):
+    sound = {"filings": {"recent": {n: ["a"] for n in (
+        "form", "accessionNumber", "filingDate", "primaryDocument", "fileNumber")}}}
+    short = {"filings": {"recent": {**sound["filings"]["recent"], "form": []}}}
+    with zipfile.ZipFile(tmp_path / "s.zip", "w") as z:
+        z.writestr("CIK0000000001.json", json.dumps(sound))
+        z.writestr("CIK0000000002.json", json.dumps(short))
+        z.writestr("CIK0000000003.json", "{cut")
+    zips = archives.list_archives(spark, str(tmp_path))
+    assert [r.cik for r in archive_catalog(zips).collect()] == ["0000000001"]
+    assert sorted(r.member for r in archive_rejects(zips).collect()) == [
+        "CIK0000000002.json", "CIK0000000003.json",
+    ]
 
 
 def test_catalog_from_an_archive(spark, tmp_path):

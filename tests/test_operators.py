@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from docketspark.functions.skew import group_sizes, hot_groups, join_hot
-from docketspark.operators import documents, fetch, hooks, selection
+from docketspark.operators import documents, entities, fetch, hooks, selection
 from docketspark.operators import index as index_ops
 from docketspark.plans import retrieve as retrieval
 
@@ -185,13 +185,13 @@ def test_index_lookups(spark):
     assert paths(missing) == ["q", "r", "s"]
 
 
-def test_long_lists_are_cut_into_parts_that_hold_everything(spark):
-    rows = [("1", "4", "hot", f"p{i}", "2020-01-01") for i in range(100)] + [("1", "4", "cold", "q", "2020-01-01")]
-    lists = index_ops.file_number_lists(index(spark, rows), list_rows=10).collect()
-    hot = [r for r in lists if r.file_number == "hot"]
-    assert len(hot) > 5 and max(len(r.entries) for r in hot) < 30
-    assert sorted(e.file_path for r in hot for e in r.entries) == sorted(f"p{i}" for i in range(100))
-    assert [len(r.entries) for r in lists if r.file_number == "cold"] == [1]
+def test_lists_hold_one_month_each_at_any_size(spark):
+    rows = [("1", "4", "hot", f"p{i}", f"2020-0{1 + i % 3}-01") for i in range(100)]
+    rows += [("1", "4", "cold", "q", "2020-01-01"), ("1", "4", "cold", "r", None)]
+    lists = index_ops.file_number_lists(index(spark, rows)).collect()
+    hot = {r.month: [e.file_path for e in r.entries] for r in lists if r.file_number == "hot"}
+    assert hot == {f"2020-0{m}": sorted(f"p{i}" for i in range(100) if i % 3 == m - 1) for m in (1, 2, 3)}
+    assert {r.month for r in lists if r.file_number == "cold"} == {"2020-01", None}
 
 
 def test_hot_groups_are_spread_and_the_join_stays_whole(spark):
@@ -216,9 +216,67 @@ def test_hot_groups_are_spread_and_the_join_stays_whole(spark):
     assert outer.count() == 3000 and outer.where(F.col("name").isNotNull()).count() == 1001
 
 
-@pytest.mark.parametrize("limit", [10, 0])
-def test_requests_of_many_companies(spark, monkeypatch, limit):
-    monkeypatch.setattr("docketspark.functions.skew.BROADCAST_ROWS", limit)
+def test_hot_null_keys_are_spread_and_kept_when_null_equals_null(spark):
+    left = spark.range(900).select(
+        F.when(F.col("id") % 3 > 0, F.col("id") % 50).alias("k"), F.col("id").alias("v")
+    )
+    right = left.select("k").distinct().withColumn("name", F.coalesce(F.col("k"), F.lit(-1)))
+    joined = join_hot(left, right, ["k"], ["v"], hot_rows=100, null_safe=True)
+    assert joined.columns == ["k", "v", "name"]
+    assert joined.count() == 900 and joined.where("k is null and name = -1").count() == 300
+    assert join_hot(left, right, ["k"], ["v"], hot_rows=100).count() == 600
+    assert join_hot(left, right, ["k"], ["v"], "left", hot_rows=100).count() == 900
+
+
+def test_joins_start_no_job_while_they_are_put_together(spark):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("put-together", "none")
+    left = spark.range(10).select(F.col("id").alias("k"), F.col("id").alias("v"))
+    join_hot(left, left.select("k").distinct(), ["k"], ["v"])
+    assert not tracker.getJobIdsForGroup("put-together")
+    spark.sparkContext.setJobGroup("tests", "tests")
+
+
+def test_newest_of_groups_with_null_keys_beyond_the_limit(spark):
+    rows = spark.range(6000).select(
+        F.when(F.col("id") % 2 == 0, "0000000001").alias("cik"),
+        F.lit("4").alias("form_type"),
+        F.format_string("%018d", "id").alias("accession_number"),
+        F.lit("m.htm").alias("main_file_name"),
+        F.date_add(F.lit("2000-01-01"), (F.col("id") / 3).cast("int")).alias("filing_date"),
+    )
+    for n in (3, 1000, 1001, 2500):
+        got = selection.newest_per_group(rows, ["cik", "form_type"], n)
+        assert {r.cik: r["count"] for r in got.groupBy("cik").count().collect()} == {None: n, "0000000001": n}
+        assert got.agg(F.min("accession_number")).first()[0] == f"{6000 - 2 * n:018d}"
+
+
+def test_ticker_ties_do_not_depend_on_order(spark):
+    rows = [(5, "AB", "0000000001"), (5, "AB", "0000000002"), (None, "CD", "0000000003")]
+    for order in (rows, rows[::-1]):
+        records = spark.createDataFrame(order, "idx bigint, ticker string, cik string")
+        assert {r.ticker: r.cik for r in entities.ticker_map(records).collect()} == {
+            "AB": "0000000002", "CD": "0000000003",
+        }
+
+
+def test_the_plan_is_moved_once_to_choose_addresses(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = spark.createDataFrame(
+            [("a", f"https://h/{i}/p.zip", f"https://h/{i}/p.htm", False) for i in range(20)],
+            "accession_number string, file_url string, fallback_url string, skip boolean",
+        )
+        urls = plan.select(F.col("fallback_url").alias("url"))
+        chosen = fetch.choose_available(plan, urls)
+        text = chosen._jdf.queryExecution().executedPlan().toString()
+        assert text.count("Exchange hashpartitioning") == 2
+        assert all(r.used_fallback for r in chosen.collect()) and chosen.count() == 20
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_requests_of_many_companies(spark):
     requests = spark.createDataFrame(
         [
             ("ab", "S-1", "2020-01-01", None),
@@ -284,6 +342,48 @@ def test_hooks_see_every_filing(spark, tmp_path):
     assert {r.accession_number for r in upper.collect()} == {f"N{i}" for i in range(20)}
 
 
+def test_landed_files_are_stored_indexed_and_handed_on(spark, tmp_path):
+    from docketspark.plans import obtain as job
+    from docketspark.sinks.index_table import read_index
+    from docketspark.sinks.tables import read_documents
+
+    base = "https://h/Archives/1/n1"
+    fetched = spark.createDataFrame(
+        [
+            ("0000000001", "S-1", "000000000120000001", "m.htm", base, f"{base}/m.htm", ["001-1", ""], None),
+            ("0000000001", "S-1", "000000000120000002", "x.zip", base, f"{base}/x.zip", [" "], None),
+            ("0000000001", "S-1", "000000000120000003", None, base, None, ["001-1"], None),
+        ],
+        "cik string, form_type string, accession_number string, save_name string, base_url string,"
+        " fetched_url string, file_num array<string>, filing_date date",
+    )
+    landed = spark.createDataFrame(
+        [(f"{base}/m.htm", bytearray(b'<a href="ex1.htm">e</a>')), (f"{base}/x.zip", bytearray(b"\xff\x00"))],
+        "url string, content binary",
+    )
+    store, table = str(tmp_path / "store"), str(tmp_path / "index")
+    notes = tmp_path / "notes"
+    notes.mkdir()
+    folder = str(notes)
+
+    def note(row):
+        with open(f"{folder}/{row['accession_number']}", "w") as out:
+            out.write(row["save_name"])
+
+    for _ in range(2):
+        job.keep(job.obtain(fetched, landed), store, table, "1", note)
+    stored = {r.file_path.rsplit("/", 1)[1]: bytes(r.content) for r in read_documents(spark, store).collect()}
+    assert stored == {"m.htm": f'<a href="{base}/ex1.htm">e</a>'.encode(), "x.zip": b"\xff\x00"}
+    index = read_index(spark, table)
+    assert sorted((r.file_path.rsplit("/", 1)[1], r.file_number) for r in index.collect()) == [
+        ("m.htm", "001-1"), ("x.zip", None),
+    ]
+    assert len(list(notes.iterdir())) == 2
+    manifest = index.select("file_path").where(F.col("file_path").endswith("m.htm"))
+    left = job.not_yet_kept(fetched, index, manifest)
+    assert sorted(str(r.save_name) for r in left.collect()) == ["None", "x.zip"]
+
+
 def test_document_store_rows_and_members(spark):
     df = filings(spark, [("0000000001", "10-K/A", "000000000120000007", "x.zip", "2020-01-01")])
     stored = documents.stored_documents(df.withColumn("content", F.lit("abc")), "main_file_name", "content")

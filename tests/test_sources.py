@@ -253,3 +253,26 @@ def test_scratch_needs_a_shared_folder_on_a_cluster(spark):
         scratch_dir(Session(), "x")
     Session.conf = Conf(spark_master="yarn", spark_checkpoint_dir="hdfs://shared/")
     assert scratch_dir(Session(), "x").startswith("hdfs://shared/x-")
+
+
+def test_fact_values_keep_all_digits(spark):
+    values = ["0.123456789", "1e-8", "1" * 35, "-0.10", "12345678901234567890.123456789"]
+    doc = '{"cik": 1, "facts": {"x": {"t": {"units": {"u": [%s]}}}}}' % ", ".join(f'{{"val": {v}}}' for v in values)
+    docs = spark.createDataFrame([(doc,)], "v string")
+    rows = fact_files.facts_long(fact_files.parse_company_facts(docs)).collect()
+    assert [r.val for r in rows] == values
+    assert [r.value for r in rows] == [float(v) for v in values]
+    one = fact_files.company_concept(fact_files.parse_concept(docs, "x", "t"), "x", "t").collect()
+    assert [r.val for r in one] == values
+
+
+def test_documents_that_give_nothing_are_rejects(spark):
+    texts = ["{cut", '{"message": "x"}', '{"hits": {"hits": []}}', '{"error": {"root_cause": [{"reason": "no"}]}}', '{"error": {}}']
+    results = search.parse_search_results(spark.createDataFrame([(t,) for t in texts], "v string"))
+    assert sorted(r.reason for r in search.search_rejects(results).collect()) == [
+        "error without a reason", "neither hits nor an error", "neither hits nor an error", "no",
+    ]
+    docs = spark.createDataFrame([("{cut",), ('{"cik": 5}',), ('{"facts": {}}',), ('{"cik": 5, "facts": {}}',)], "v string")
+    assert sorted(r.reason for r in fact_files.facts_rejects(docs).collect()) == [
+        "no company key", "no facts", "not a facts document",
+    ]

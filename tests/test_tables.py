@@ -11,6 +11,7 @@ from docketspark.plans.check import check_index
 from docketspark.sinks import tables
 from docketspark.sinks.index_table import (
     append_index,
+    compact_index,
     read_index,
     rewrite_index,
     write_file_number_index,
@@ -19,7 +20,12 @@ from docketspark.sources.facts import concept_facts
 from docketspark.sources.files import list_stored_files, stored_files_of
 from docketspark.sources.index_files import parse_file_number_index
 from docketspark.sources.submissions import explode_submissions, parse_submissions
-from docketspark.streaming.index_stream import stream_submissions, stream_to_index
+from docketspark.streaming.index_stream import (
+    documents_to_index,
+    stream_documents,
+    stream_submissions,
+    stream_to_index,
+)
 from docketspark.streaming.live_feed import dropped_as_late, without_repeats, write_feed
 
 
@@ -108,9 +114,7 @@ def test_file_number_export_reads_back(spark, tmp_path):
     numbered = rows.where(F.col("file_number").isNotNull())
     path = str(tmp_path / "numbers")
     write_file_number_index(rows, path)
-    lines = spark.read.json(path)
-    entry = F.transform("entries", lambda e: F.array(e["form_type"], e["file_path"], e["filing_date"]))
-    docs = lines.select(F.to_json(F.create_map("file_number", entry)).alias("v"))
+    docs = spark.read.text(path).select(F.col("value").alias("v"))
     assert entries(parse_file_number_index(docs)) == entries(numbered)
 
 
@@ -143,10 +147,62 @@ def test_ticker_map_and_documents_are_stored(spark, tmp_path):
     for _ in range(2):
         tables.write_ticker_map(tickers, str(tmp_path / "tickers"))
     assert spark.read.parquet(str(tmp_path / "tickers")).count() == 1
-    docs = spark.createDataFrame([("p", bytearray(b"x"))], "file_path string, content binary")
+    def docs(*rows):
+        made = [(p, "c", "f", "a", m, n, bytearray(x), len(x)) for p, m, n, x in rows]
+        return spark.createDataFrame(made, tables.DOCUMENTS)
+
+    store = str(tmp_path / "documents")
+    first = docs(("p", None, None, b"x"), ("p", None, None, b"x"), ("z/m", "m", 0, b"1"), ("z/m", "m", 1, b"2"))
     for _ in range(2):
-        tables.write_documents(docs, str(tmp_path / "documents"))
-    assert spark.read.parquet(str(tmp_path / "documents")).count() == 2
+        tables.write_documents(first, store, "1")
+    tables.write_documents(docs(("p", None, None, b"new"), ("q", None, None, b"y")), store, "2")
+    found = tables.read_documents(spark, store)
+    assert found.columns == [f.split()[0] for f in tables.DOCUMENTS.split(", ")]
+    got = sorted((r.file_path, r.part or 0, bytes(r.content)) for r in found.collect())
+    assert got == [("p", 0, b"new"), ("q", 0, b"y"), ("z/m", 0, b"1"), ("z/m", 1, b"2")]
+
+
+def test_an_append_reads_only_the_years_and_companies_of_its_batch(spark, tmp_path):
+    from docketspark.sinks import index_table
+
+    table = str(tmp_path / "index")
+    append_index(index_rows(catalog(spark, [document(k, range(9)) for k in range(20)])), table, "1")
+    assert {p.name for p in (tmp_path / "index" / "batch=1").glob("filed_in=*")} == {
+        "filed_in=20", "filed_in=21", "filed_in=22",
+    }
+    batch = one_per_key(index_rows(catalog(spark, [document(3, [1])])))
+    batch = batch.withColumn("filed_in", index_table._filed_in())
+    read = index_table._stored(spark, table).where(index_table._may_match(batch))
+    plan = read._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(filed_in" in plan and "filed_in" in plan.split("PartitionFilters")[1]
+    assert "0000000003" in plan.split("PushedFilters")[1]
+    assert {(r.cik, r.filed_in) for r in read.collect()} == {("0000000003", "21")}
+
+
+def test_fifty_batches_are_merged_and_may_run_again(spark, tmp_path):
+    table, merged = str(tmp_path / "index"), str(tmp_path / "merged")
+    rows = index_rows(catalog(spark, [document(k, range(10)) for k in range(5)])).persist()
+    for n in range(50):
+        part = rows.where((F.col("cik") == f"{n % 5:010d}") & (F.substring_index("file_path", "/", 3).endswith(f"{n // 5:06d}")))
+        append_index(part, table, f"q-{n:03d}")
+    assert len(list((tmp_path / "index").glob("batch=*"))) == 50
+    compact_index(spark, table, merged)
+    assert len(list((tmp_path / "merged").glob("batch=*"))) == 1
+    append_index(rows.where(F.col("cik") == "0000000001"), merged, "q-001")
+    assert entries(read_index(spark, merged)) == entries(one_per_key(rows))
+
+
+def test_malformed_documents_of_a_stream_are_beside_the_table(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "CIK0000000001.json").write_text(document(1, range(3)))
+    (folder / "CIK0000000002.json").write_text("{not json")
+    query = documents_to_index(
+        stream_documents(spark, str(folder)), str(tmp_path / "index"), str(tmp_path / "rejects"), str(tmp_path / "check")
+    )
+    query.awaitTermination()
+    assert len(entries(read_index(spark, str(tmp_path / "index")))) == 3
+    assert [r.name for r in spark.read.parquet(str(tmp_path / "rejects")).collect()] == ["CIK0000000002.json"]
 
 
 def test_stream_leaves_what_a_batch_leaves(spark, tmp_path):
