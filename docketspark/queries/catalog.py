@@ -34,13 +34,19 @@ from docketspark.sinks.tables import (
 from docketspark.sources import archives, index_files, search, securities, submissions
 from docketspark.sources import entities as entity_files
 from docketspark.sources import facts as fact_files
+from docketspark.sources.files import list_stored_files, locate, stored_files_of
 from docketspark.streaming.index_stream import (
     documents_to_index,
     stream_documents,
     stream_submissions,
     stream_to_index,
 )
-from docketspark.streaming.live_feed import without_repeats, write_feed
+from docketspark.streaming.live_feed import (
+    read_feed,
+    without_repeats,
+    write_feed,
+    write_keyed_feed,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -894,3 +900,37 @@ def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     rejected = spark.read.parquet(f"{root}/rejects").select("cik", F.lit("rejected").alias("kind"))
     held = read_index(spark, f"{root}/index").select("cik", F.lit("indexed").alias("kind"))
     return rejected.unionByName(held).groupBy("cik", "kind").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def stream_feed_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A feed that repeats filings, in any order and over several triggers: none is lost."""
+    root = scratch_dir(spark, "keyed")
+    docs = feeds.submission_documents(spark, sf_dir).select("v")
+    docs.unionAll(docs.where(F.length("v") % 3 == 0)).write.text(f"{root}/documents")
+    filings = stream_submissions(spark, f"{root}/documents", multi_line=False, files_per_trigger=6)
+    feed = filings.select(*_FILING)
+    write_keyed_feed(feed, f"{root}/feed", f"{root}/checkpoint").awaitTermination()
+    return _dated(read_feed(spark, f"{root}/feed", feed.schema).select(*_FILING))
+
+
+@query
+def filing_callback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A user function that writes a file for each filing, and the listing of those files."""
+    root = scratch_dir(spark, "called")
+    key = F.col("page_id")
+    path = identifiers.relative_path(
+        feeds.padded(key % 50, 10), F.lit("8-K"), feeds.padded(key, 18), F.lit("main.txt")
+    )
+    pages = feeds.table(spark, sf_dir, "pages").select(path.alias("file_path"), "url")
+
+    def note(row: dict) -> None:
+        system, place = locate(f"{root}/filings/{row['file_path']}")
+        system.create_dir(place.rsplit("/", 1)[0], recursive=True)
+        with system.open_output_stream(place) as out:
+            out.write(row["url"].encode())
+
+    hooks.for_each_filing(pages, note)
+    listed = list_stored_files(spark, root)
+    by_folder = stored_files_of(pages, root).select("file_path", F.col("length").alias("again"))
+    return listed.join(by_folder, "file_path").select("file_path", "length", "again")

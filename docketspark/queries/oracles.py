@@ -636,5 +636,11 @@ ORACLES = {
                        else count(*) end as n
            from v_filings group by 1, 2""",
     ),
+    "stream_feed_keyed": _with(["v_filings"], f"select {_FILING} from v_filings"),
+    "filing_callback": """
+        select lpad(cast(page_id % 50 as varchar), 10, '0') || '/8-K/'
+                 || lpad(cast(page_id as varchar), 18, '0') || '/main.txt' as file_path,
+               strlen(url) as length, strlen(url) as again
+        from pages""",
     "stream_new_filings": _with(["v_filings"], f"select {_FILING} from v_filings"),
 }

@@ -50,7 +50,7 @@ def documents_to_index(
     """
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        name = _batch_name(batch, batch_id)
+        name = batch_name(batch, batch_id)
         parsed = parse_submissions(batch, name="name")
         malformed = malformed_submissions(parsed, "name")
         malformed.write.mode("overwrite").parquet(f"{rejects.rstrip('/')}/batch={name}")
@@ -64,7 +64,7 @@ def documents_to_index(
     )
 
 
-def _batch_name(batch: DataFrame, batch_id: int) -> str:
+def batch_name(batch: DataFrame, batch_id: int) -> str:
     query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
     if not query:
         raise ValueError("the stream has no query id to name its batches by")
@@ -82,7 +82,7 @@ def stream_to_index(filings: DataFrame, table: str, checkpoint: str) -> Streamin
     """
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        append_index(batch, table, _batch_name(batch, batch_id))
+        append_index(batch, table, batch_name(batch, batch_id))
 
     return (
         index_rows(filings)

@@ -26,7 +26,13 @@ from docketspark.streaming.index_stream import (
     stream_submissions,
     stream_to_index,
 )
-from docketspark.streaming.live_feed import dropped_as_late, without_repeats, write_feed
+from docketspark.streaming.live_feed import (
+    dropped_as_late,
+    read_feed,
+    without_repeats,
+    write_feed,
+    write_keyed_feed,
+)
 
 
 def document(key, numbers, day="2020-01-02"):
@@ -280,6 +286,19 @@ def feed(spark, tmp_path, deliveries, name):
     return spark.read.parquet(out), dropped_as_late(query)
 
 
+def test_keyed_feed_loses_nothing_in_any_order(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    days = ["2020-06-01", "2020-06-02", "2019-01-01", "2020-06-01"]
+    for n, (key, day) in enumerate(zip((1, 2, 3, 1), days)):
+        (folder / f"{n}-CIK{n:010d}.json").write_text(document(key, [1, 2, 2], day))
+    filings = stream_submissions(spark, str(folder), files_per_trigger=1)
+    for _ in range(2):
+        write_keyed_feed(filings, str(tmp_path / "feed"), str(tmp_path / "check")).awaitTermination()
+    found = read_feed(spark, str(tmp_path / "feed"), filings.schema).collect()
+    assert len(found) == len({r.accession_number for r in found}) == 6
+
+
 def test_ordered_feed_gives_each_filing_once(spark, tmp_path):
     deliveries = [document(k, [1, 1, 2], f"2020-0{k}-01") for k in range(1, 6)]
     out, dropped = feed(spark, tmp_path, deliveries, "ordered")
