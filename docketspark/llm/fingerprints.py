@@ -147,8 +147,7 @@ def with_neighbours(docs: DataFrame, parts: int | None = None) -> DataFrame:
     @F.pandas_udf("int")
     def run_of(ids: pd.Series) -> pd.Series:
         """Run 0 holds the highest ids; null ids are in the last run."""
-        known = ids.fillna(-(1 << 63)).astype("int64").to_numpy()
-        return pd.Series(len(limits) - np.searchsorted(limits, known, side="right"))
+        return pd.Series(len(limits) - np.searchsorted(limits, ids.to_numpy(), side="right"))
 
     # Whole numbers with nulls reach pandas as floats, so null is replaced before.
     key = F.coalesce("doc_id", F.lit(-(1 << 63)).cast("bigint"))
@@ -188,6 +187,9 @@ def compare_with_edits(docs: DataFrame, gram: int = GRAM, window: int = WINDOW)
     The next document is that of the next lower ``doc_id``; the first comes after the last.
     Rows: ``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited,
     near_next``. A single document is its own next one.
+
+    Null texts count as empty; null ids come last, repeated ids in order of text, and every
+    row has a result; an empty table gives no rows; other columns are ignored.
     """
     schema = (
         "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string,"
