@@ -309,7 +309,8 @@ def _tokens(column) -> np.ndarray:
 
 
 def _entries(prefixes: pa.Table, groups: pa.Table):
-    """Prefix tokens of a window's class representatives: token, component, row."""
+    """Prefix tokens of a window's class representatives: documents, tokens, the row and the
+    place in the prefix of each."""
     reps, comps = (groups.column(c).to_numpy() for c in ("rep", "comp"))
     order = np.argsort(reps)
     reps, comps = reps[order], comps[order]
@@ -317,10 +318,12 @@ def _entries(prefixes: pa.Table, groups: pa.Table):
     at = np.minimum(np.searchsorted(reps, docs), max(len(reps) - 1, 0))
     kept = np.flatnonzero(reps[at] == docs) if len(reps) else np.zeros(0, np.int64)
     blobs = prefixes.column("tokens").take(pa.array(kept)).to_pylist()
-    rows = np.repeat(np.arange(len(kept)), [len(t) // 6 for t in blobs])
+    sizes = np.array([len(t) // 6 for t in blobs], np.int64)
+    rows = np.repeat(np.arange(len(kept)), sizes)
+    places = np.arange(len(rows)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     found = {"doc_id": docs[kept], "comp": comps[at[kept]] if len(kept) else comps[:0]}
     found["n"] = prefixes.column("n").to_numpy()[kept]
-    return found, _tokens(blobs), rows.astype(np.int64)
+    return found, _tokens(blobs), rows.astype(np.int64), places
 
 
 def candidate_pairs(
@@ -331,11 +334,12 @@ def candidate_pairs(
     First every window sends each of its tokens once, with the least and the greatest
     component that has it; tokens that only one component has, nearly all, end there, so a
     large group of copies costs a row per window and token. The others are reported to the
-    windows that have them, whose documents then meet by token.
+    windows that have them, whose documents then meet by token, as far as the places of the
+    token in both prefixes allow the sets to be similar.
     """
 
     def of_windows(key, left: pa.Table, right: pa.Table) -> pa.Table:
-        found, tokens, rows = _entries(left, right)
+        found, tokens, rows, _ = _entries(left, right)
         comps = found["comp"][rows]
         order = np.lexsort((comps, tokens))
         tokens, comps = tokens[order], comps[order]
@@ -382,14 +386,15 @@ def candidate_pairs(
     def live_entries(key, left: pa.Table, right: pa.Table) -> pa.Table:
         reported = [b for b in right.column("live").to_pylist() if b is not None]
         groups_of = right.filter(pc.is_valid(right.column("rep")))
-        names = ["token", "doc_id", "comp", "n"]
+        names = ["token", "doc_id", "comp", "n", "left"]
         if not reported or not len(left):
-            return pa.table([pa.array([], pa.int64())] * 4, names=names)
+            return pa.table([pa.array([], pa.int64())] * 5, names=names)
         live = np.sort(np.concatenate([np.frombuffer(b, "<u8") for b in reported]))
-        found, tokens, rows = _entries(left, groups_of)
+        found, tokens, rows, places = _entries(left, groups_of)
         hit = live[np.minimum(np.searchsorted(live, tokens), len(live) - 1)] == tokens
         columns = [pa.array(tokens[hit].astype(np.int64))]
-        columns += [pa.array(found[c][rows[hit]]) for c in names[1:]]
+        columns += [pa.array(found[c][rows[hit]]) for c in names[1:4]]
+        columns.append(pa.array(found["n"][rows[hit]] - places[hit]))
         return pa.table(columns, names=names)
 
     window = F.pmod(F.xxhash64("rep"), F.lit(windows)).alias("window")
@@ -404,12 +409,15 @@ def candidate_pairs(
         live.select("window", nothing.cast("bigint").alias("rep"), nothing.cast("bigint").alias("comp"), "live")
     )
     entries = prefixes.groupBy("window").cogroup(told.groupBy("window")).applyInArrow(
-        live_entries, "token bigint, doc_id bigint, comp bigint, n bigint"
+        live_entries, "token bigint, doc_id bigint, comp bigint, n bigint, left bigint"
     )
     entries = stored(entries, "live-entries")
     x, y = entries.alias("x"), entries.alias("y")
     same = (F.col("x.token") == F.col("y.token")) & (F.col("x.comp") < F.col("y.comp"))
-    met = x.join(y, same & F.expr(_compatible("x.n", "y.n", percent)))
+    # Sets of which this is the first common token have at most the tokens from it on in
+    # common. Where that is too few, it is too few for any later common token as well.
+    enough = f"{100 + percent} * least(x.left, y.left) >= {percent} * (x.n + y.n)"
+    met = x.join(y, same & F.expr(_compatible("x.n", "y.n", percent)) & F.expr(enough))
     return met.select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")).distinct()
 
 
