@@ -10,13 +10,18 @@ from __future__ import annotations
 
 import os
 import re
-
-import numpy as np
+import sys
+from array import array
 
 # Entries of one generation of remembered words; two generations are kept.
 REMEMBERED = 200_000
 
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
+# The letters by which byte-level models name bytes: a printable byte is its own sign, the
+# others are numbered from 256 on.
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_OTHERS = [b for b in range(256) if b not in _PRINTABLE]
+_BYTE_LETTERS = {b: 256 + i for i, b in enumerate(_OTHERS)}
 _BLANKS = str.maketrans("\n\t\r", "   ")
 
 
@@ -26,6 +31,14 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def as_bytes(ids: list[int]) -> bytes:
+    """Little-endian unsigned 32-bit."""
+    packed = array("I", ids)
+    if sys.byteorder != "little":
+        packed.byteswap()
+    return packed.tobytes()
+
+
 class Remembered(dict):
     """A mapping that computes missing values and forgets those not used for long."""
 
@@ -49,23 +62,22 @@ class WordEncoder:
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
-        self.bytes_as_letters = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.model = self.tokenizer.model
         self.letters = Remembered(self._letters)
         self.signs = Remembered(self._whole)
         self.chunks = Remembered(self._chunk)
 
     def _whole(self, text: str) -> bytes:
-        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return np.array(ids, "<u4").tobytes()
+        return as_bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def _letters(self, word: str) -> bytes:
         if not word.isascii():
-            word = "".join(w for w, _ in self.bytes_as_letters.pre_tokenize_str(word))
-        return np.array([t.id for t in self.tokenizer.model.tokenize(word)], "<u4").tobytes()
+            word = word.encode().decode("latin-1").translate(_BYTE_LETTERS)
+        return as_bytes([token.id for token in self.model.tokenize(word)])
 
     def _chunk(self, chunk: str) -> bytes:
         plain = _PLAIN.fullmatch(chunk)
