@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import base64
+import zlib
+from collections import defaultdict
 from collections.abc import Iterator
+from functools import cache
+from itertools import count
 
 import numpy as np
 import pandas as pd
@@ -11,11 +15,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docketspark.llm.common import batches, bounded_batches, text_of
+from docketspark.llm.common import batches, bounded_batches, shuffle_parts, text_of
 from docketspark.llm.tokens import tokenizer_path
 
 # Code points of the documents whose words are counted together before the shuffle.
-BLOCK_CHARS = 8_000_000
+BLOCK_CHARS = 16_000_000
+# Marks cuts; a text that has this sign goes through the pattern as a whole.
+_CUT = "\x1f"
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -24,57 +30,95 @@ def load_ranks(path: str) -> dict[bytes, int]:
 
 
 class Words:
-    """Numbers of the pre-tokens of texts, in order of first appearance.
+    """Numbers of the pieces of a block's texts, and of the pre-tokens of its pieces.
 
     A text is cut before every blank that has no blank behind it; the pattern never joins
-    what stands on the two sides of such a cut, so the pre-tokens of each piece are looked
-    for only once. Texts with two blanks in a row go through the pattern as a whole.
+    what stands on the two sides of such a cut, so the pre-tokens of each different piece
+    are looked for only once. Of texts with two blanks in a row each pre-token is a piece.
+    Pieces are numbered in order of first appearance.
     """
 
     def __init__(self, pattern: str):
         import regex
 
         self.find = regex.compile(pattern).findall
-        self.numbers: dict[str, int] = {}
-        self.pieces: dict[str, list[int]] = {}
-
-    def _numbered(self, text: str) -> list[int]:
-        number = self.numbers.setdefault
-        return [number(word, len(self.numbers)) for word in self.find(text)]
-
-    def __call__(self, text: str) -> np.ndarray:
-        if "  " in text or text.endswith(" "):
-            return np.array(self._numbered(text), np.uint32)
-        known, out = self.pieces, []
-        first, *others = text.split(" ")
-        for piece in [first, *[f" {x}" for x in others]] if first else [f" {x}" for x in others]:
-            found = known.get(piece)
-            if found is None:
-                found = known[piece] = self._numbered(piece)
-            out += found
-        return np.array(out, np.uint32)
+        self.pieces: defaultdict[str, int] = defaultdict(count().__next__)
+
+    def __call__(self, text: str) -> list[int]:
+        if not text:
+            return []
+        if "  " in text or text.endswith(" ") or _CUT in text:
+            pieces = self.find(text)
+        else:
+            pieces = text.replace(" ", f"{_CUT} ").split(_CUT)
+            if not pieces[0]:
+                del pieces[0]  # the text starts with a blank
+        return list(map(self.pieces.__getitem__, pieces))
+
+    def table(self, buckets: int = 1) -> tuple[list[tuple[int, bytes]], list[list[int]]]:
+        """The block's different pre-tokens, sorted by bucket, and those of each piece by
+        their number in that order."""
+        numbers: defaultdict[str, int] = defaultdict(count().__next__)
+        number = numbers.__getitem__
+        of_pieces = [list(map(number, self.find(piece))) for piece in self.pieces]
+        words = [word.encode() for word in numbers]
+        places = np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % buckets
+        order = np.argsort(places, kind="stable")
+        new = np.empty(len(order), np.int64)
+        new[order] = np.arange(len(order))
+        new = new.tolist()
+        sorted_words = [(p, words[i]) for p, i in zip(places[order].tolist(), order.tolist(), strict=True)]
+        return sorted_words, [[new[n] for n in piece] for piece in of_pieces]
+
+
+@cache
+def _compressor():
+    import zstandard
 
+    return zstandard.ZstdCompressor(level=3)
 
-def _squeezed(numbers: np.ndarray) -> bytes:
+
+@cache
+def _decompressor():
     import zstandard
 
+    return zstandard.ZstdDecompressor()
+
+
+def _squeezed(numbers: np.ndarray) -> bytes:
     planes = numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T
-    return zstandard.ZstdCompressor(level=3).compress(planes.tobytes())
+    return _compressor().compress(planes.tobytes())
 
 
 def _unsqueezed(data: bytes) -> np.ndarray:
-    import zstandard
-
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    planes = np.frombuffer(_decompressor().decompress(data), np.uint8)
     return planes.reshape(4, -1).T.copy().view("<u4").ravel()
 
 
-def _blocks(docs: DataFrame, pattern: str, block_chars: int, want_words: bool) -> DataFrame:
+def _packed(parts: list[bytes]) -> bytes:
+    sizes = np.array([len(parts), *map(len, parts)], "<u4").tobytes()
+    return _compressor().compress(sizes + b"".join(parts))
+
+
+def _unpacked(data: bytes) -> list[bytes]:
+    data = _decompressor().decompress(data)
+    (n,) = np.frombuffer(data, "<u4", 1).tolist()
+    at = 4 * (n + 1)
+    ends = (at + np.cumsum(np.frombuffer(data, "<u4", n, 4), dtype=np.int64)).tolist()
+    return [data[a:b] for a, b in zip([at, *ends[:-1]], ends, strict=True)] if n else []
+
+
+def _blocks(
+    docs: DataFrame, pattern: str, block_chars: int, buckets: int, want_words: bool
+) -> DataFrame:
     """Documents exploded into pre-tokens, in blocks of documents read one after another.
 
-    With ``want_words``: ``block, number, word``, each word of a block once. Else a row per
-    document: ``block, doc_id, places``, the numbers of its words in order. Both come from
-    the same scan, so a block is the same documents in the same order in either.
+    With ``want_words``: ``bucket, block, first, words``, each word of a block once, those of
+    one bucket (by the word's hash) in a row, numbered from ``first`` on. Else
+    ``block, known, doc_id, places``: a row per document with the numbers of its pieces in
+    order (``known`` says whether it has an id), and a row per block (``known`` null) with
+    the numbers of its pieces' words. Both come from the same scan, so a block is the same
+    documents in the same order in either.
     """
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -82,18 +126,34 @@ def _blocks(docs: DataFrame, pattern: str, block_chars: int, want_words: bool) -
 
         part, made, chars, words = TaskContext.get().partitionId(), 0, 0, Words(pattern)
 
-        def word_rows() -> Iterator[pa.RecordBatch]:
-            known = list(words.numbers)
-            for at in range(0, len(known), 50_000):
-                some = known[at : at + 50_000]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.full(len(some), (part << 32) + made)),
-                        pa.array(np.arange(at, at + len(some), dtype=np.int32)),
-                        pa.array([w.encode() for w in some], pa.binary()),
-                    ],
-                    names=["block", "number", "word"],
-                )
+        def place_rows(known: list, doc_ids: list, places: list) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.full(len(places), (part << 32) + made)),
+                    pa.array(known, pa.bool_()),
+                    pa.array([i or 0 for i in doc_ids], pa.int64()),
+                    pa.array([_squeezed(np.array(p, np.uint32)) for p in places], pa.binary()),
+                ],
+                names=["block", "known", "doc_id", "places"],
+            )
+
+        def closed() -> Iterator[pa.RecordBatch]:
+            found, of_pieces = words.table(buckets)
+            if not want_words:
+                sizes = [len(p) for p in of_pieces]
+                flat = [n for p in of_pieces for n in p]
+                yield place_rows([None], [None], [[len(sizes), *sizes, *flat]])
+                return
+            starts = [i for i in range(len(found)) if not i or found[i][0] != found[i - 1][0]]
+            ends = [*starts[1:], len(found)]
+            rows = [
+                (found[a][0], (part << 32) + made, a, _packed([w for _, w in found[a:b]]))
+                for a, b in zip(starts, ends, strict=True)
+            ]
+            if rows:
+                types = [pa.int32(), pa.int64(), pa.int64(), pa.binary()]
+                arrays = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)]
+                yield pa.RecordBatch.from_arrays(arrays, names=["bucket", "block", "first", "words"])
 
         for batch in batches(frames):
             doc_ids, texts = (c.to_pylist() for c in batch.columns)
@@ -101,28 +161,22 @@ def _blocks(docs: DataFrame, pattern: str, block_chars: int, want_words: bool) -
             while at < len(texts):
                 places, first = [], at
                 while at < len(texts) and chars <= block_chars:
-                    places.append(words(texts[at]))
+                    found = words(texts[at])
+                    places.append(None if want_words else found)
                     chars += len(texts[at]) + 1
                     at += 1
                 if not want_words:
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.full(at - first, (part << 32) + made)),
-                            pa.array(doc_ids[first:at], pa.int64()),
-                            pa.array([_squeezed(p) for p in places], pa.binary()),
-                        ],
-                        names=["block", "doc_id", "places"],
-                    )
+                    own = doc_ids[first:at]
+                    yield place_rows([i is not None for i in own], own, places)
                 if chars > block_chars:
-                    if want_words:
-                        yield from word_rows()
+                    yield from closed()
                     made, chars, words = made + 1, 0, Words(pattern)
-        if want_words and words.numbers:
-            yield from word_rows()
+        if chars:
+            yield from closed()
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of().alias("text"))
-    words = "block bigint, number int, word binary"
-    places = "block bigint, doc_id bigint, places binary"
+    words = "bucket int, block bigint, first bigint, words binary"
+    places = "block bigint, known boolean, doc_id bigint, places binary"
     return bounded_batches(rows).mapInArrow(run, words if want_words else places)
 
 
@@ -135,11 +189,12 @@ def encode(
     """``doc_id, ids`` (little-endian unsigned 32-bit) of every row of ``docs`` (doc_id, text).
 
     Pre-tokens are exploded with their places and pre-aggregated per block of documents:
-    a block sends each of its words once, with a number, and its documents as numbers. The
-    words meet in a shuffle, each distinct one is encoded once by the given ranks, its ids
-    are joined back to the blocks that have it, and each block puts its documents together
-    by place. A frequent word is one row per block; a block and its words fit a task, as
-    does a single document of any length that is a block of its own.
+    a block sends each of its words once, in buckets by the word's hash, and its documents
+    as numbers. Equal words meet in their bucket, where each distinct one is encoded once by
+    the given ranks; its ids go back to the blocks that have it, each of which puts its
+    documents together by place. A frequent word is sent once per block; a block and its
+    words, and a bucket's distinct words, fit a task, as does a single document of any length
+    that is a block of its own.
 
     Null texts count as empty (no ids); null ids and repeated rows stay; an empty table
     gives no rows; other columns are ignored.
@@ -150,37 +205,56 @@ def encode(
     pattern = pattern or public_tokenizers.PATTERN
 
     def encoded(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Ids of words sorted by bucket; of a bucket, each word is encoded once."""
         import tiktoken
 
-        coder = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=load_ranks(path), special_tokens={})
+        ranks = load_ranks(path)
+        kind = "<u2" if max(ranks.values()) < 1 << 16 else "<u4"
+        coder = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+
+        def encode_word(word: bytes) -> bytes:
+            return np.array(coder.encode_ordinary(word.decode()), kind).tobytes()
+
+        bucket, known = None, {}
         for batch in batches(frames):
-            words = batch.column(0).to_pylist()
-            ids = [np.array(coder.encode_ordinary(w.decode()), "<u4").tobytes() for w in words]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], names=["word", "ids"])
-
-    def together(key, documents: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
-        by_number: list = [b""] * (int(words["number"].max()) + 1 if len(words) else 0)
-        for number, ids in zip(words["number"], words["ids"], strict=True):
-            by_number[number] = ids
-        out = [
-            b"".join(map(by_number.__getitem__, _unsqueezed(p).tolist())) for p in documents["places"]
-        ]
-        return pd.DataFrame({"doc_id": documents["doc_id"], "ids": out})
-
-    words = _blocks(docs, pattern, block_chars, True)
-    distinct = words.select("word").distinct().mapInArrow(encoded, "word binary, ids binary")
-    known = words.join(distinct, "word").select("block", "number", "ids")
-    documents = _blocks(docs, pattern, block_chars, False)
-    documents = documents.withColumn("known", F.col("doc_id").isNotNull())
-    documents = documents.withColumn("doc_id", F.coalesce("doc_id", F.lit(0).cast("bigint")))
-
-    def put_together(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        out = together(key, left, right)
-        out["known"] = left["known"].to_numpy()
-        return out
-
-    groups = documents.groupBy("block").cogroup(known.groupBy("block"))
-    found = groups.applyInPandas(put_together, "doc_id bigint, ids binary, known boolean")
+            out = []
+            for at, data in zip(batch.column(0).to_pylist(), batch.column(3).to_pylist(), strict=True):
+                if at != bucket:
+                    bucket, known = at, {}
+                words = _unpacked(data)
+                for word in words:
+                    if word not in known:
+                        known[word] = encode_word(word)
+                out.append(_packed([known[word] for word in words]))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(1), batch.column(2), pa.array(out, pa.binary()), pa.array([kind] * len(out))],
+                names=["block", "first", "ids", "kind"],
+            )
+
+    def together(key, places: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
+        is_table = places["known"].isna()
+        table = _unsqueezed(places.loc[is_table, "places"].iloc[0])
+        documents = places[~is_table]
+        words = words.sort_values("first")
+        by_number = [ids for data in words["ids"] for ids in _unpacked(data)]
+        kind = words["kind"].iloc[0] if len(words) else "<u4"
+        size = int(table[0])
+        ends = np.cumsum(table[1 : 1 + size]).tolist()
+        flat = list(map(by_number.__getitem__, table[1 + size :].tolist()))
+        pieces = [b"".join(flat[a:b]) for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+        joined = (b"".join(map(pieces.__getitem__, _unsqueezed(p).tolist())) for p in documents["places"])
+        out = [np.frombuffer(ids, kind).astype("<u4").tobytes() for ids in joined]
+        return pd.DataFrame(
+            {"doc_id": documents["doc_id"].to_numpy(), "ids": out, "known": documents["known"].astype(bool).to_numpy()}
+        )
+
+    buckets = shuffle_parts(docs)
+    words = _blocks(docs, pattern, block_chars, buckets, True)
+    met = words.repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    known = met.mapInArrow(encoded, "block bigint, first bigint, ids binary, kind string")
+    places = _blocks(docs, pattern, block_chars, buckets, False)
+    groups = places.groupBy("block").cogroup(known.groupBy("block"))
+    found = groups.applyInPandas(together, "doc_id bigint, ids binary, known boolean")
     return found.select(F.when(F.col("known"), F.col("doc_id")).alias("doc_id"), "ids")
 
 

@@ -167,13 +167,15 @@ def test_token_files_of_an_empty_table(spark, tmp_path):
 
 
 @settings(max_examples=300, deadline=None)
-@given(st.text(alphabet=st.one_of(st.characters(codec="utf-8"), st.sampled_from(" \n\t'.,aB1")), max_size=60))
+@given(st.text(alphabet=st.one_of(st.characters(codec="utf-8"), st.sampled_from(" \n\t'.,aB1\x1f")), max_size=60))
 def test_words_are_the_patterns_matches(text):
     words = byte_bpe.Words(public_tokenizers.PATTERN)
     places = words(text)
-    known = list(words.numbers)
-    assert [known[p] for p in places] == regex.findall(public_tokenizers.PATTERN, text)
-    assert byte_bpe._unsqueezed(byte_bpe._squeezed(places)).tolist() == places.tolist()
+    known, of_pieces = words.table(3)
+    assert len(known) == len(set(known)) and [b for b, _ in known] == sorted(b for b, _ in known)
+    assert byte_bpe._unpacked(byte_bpe._packed([w for _, w in known])) == [w for _, w in known]
+    assert [known[n][1].decode() for p in places for n in of_pieces[p]] == regex.findall(public_tokenizers.PATTERN, text)
+    assert byte_bpe._unsqueezed(byte_bpe._squeezed(np.array(places, np.uint32))).tolist() == places
 
 
 @pytest.mark.parametrize("block_chars", [10, 10_000])
