@@ -11,6 +11,11 @@ from docketspark.llm.common import fresh, stored
 MAX_SHARE = 0.02
 # ... and on this many pages at least: on a site of few pages any line has a large share.
 MIN_PAGES = 10
+# A line of more than this many words does not repeat by chance: where it is asked for, its
+# share is this one, counted in different texts, with this many at least.
+LONG_WORDS = 50
+LONG_SHARE = 0.0002
+MIN_TEXTS = 2
 
 
 def _lines(text: Column) -> Column:
@@ -23,6 +28,12 @@ def _key(line: Column) -> Column:
     return F.struct(F.xxhash64(bare).alias("a"), F.xxhash64(F.lit("line"), bare).alias("b"))
 
 
+def _is_long(line: Column) -> Column:
+    bare = F.trim(line)
+    over = F.size(F.split(bare, "\\s+")) > LONG_WORDS
+    return (F.length(bare) > 2 * LONG_WORDS) & over  # the length spares most lines the split
+
+
 def site_line_counts(docs: DataFrame, host: Column, text: str = "text") -> DataFrame:
     """``host, line`` (its key) and the pages of the host that contain it, each page once."""
     bare = F.filter(_lines(F.col(text)), lambda x: F.trim(x) != "")
@@ -51,12 +62,32 @@ def boilerplate(
     return frequent.groupBy("host").agg(F.sort_array(F.collect_list("line")).alias("lines"))
 
 
+def passages(
+    docs: DataFrame, host: Column, text: str, long_share: float, min_texts: int = MIN_TEXTS
+) -> DataFrame:
+    """``host, passages``: the keys of each site's long lines that more than ``long_share`` of
+    its pages share, and ``keeper``, the hash of the one text that keeps the line.
+
+    Exact copies of a page count once: what to do with whole copies is not decided here.
+    """
+    keys = F.array_distinct(F.transform(F.filter(_lines(F.col(text)), _is_long), _key))
+    rows = docs.select(host.alias("host"), F.xxhash64(text).alias("page"), F.explode(keys).alias("line"))
+    counts = rows.where("host is not null").groupBy("host", "line").agg(
+        F.count_distinct("page").alias("n_texts"), F.min("page").alias("keeper")
+    )
+    totals = docs.groupBy(host.alias("host")).agg(F.count(F.lit(1)).alias("total"))
+    shared = counts.where(F.col("n_texts") >= min_texts).join(totals, "host")
+    frequent = shared.where(F.col("n_texts") > F.lit(long_share) * F.col("total"))
+    return frequent.groupBy("host").agg(F.collect_list(F.struct("line", "keeper")).alias("passages"))
+
+
 def drop_boilerplate(
     docs: DataFrame,
     host: Column,
     text: str = "text",
     max_share: float = MAX_SHARE,
     min_pages: int = MIN_PAGES,
+    long_share: float | None = None,
 ) -> DataFrame:
     """``docs`` with ``text`` freed of its site's boilerplate, plus ``n_lines, n_dropped``.
 
@@ -65,15 +96,31 @@ def drop_boilerplate(
     first, so the join knows its size: a small one is broadcast by Spark, else hot sites
     are split by the adaptive skew join.
 
+    With ``long_share``, long lines (``LONG_WORDS``) that are on more than this share of a
+    site's pages go too, from all its texts but one, so no passage is lost; near copies of a
+    page keep only one copy of the long lines they share.
+
     A null text stays null, without lines; rows with a null host stay whole; every row
     counts as a page, repeated ones too; an empty table gives no rows. Columns of ``docs``
     named ``n_lines`` or ``n_dropped`` are replaced.
     """
     names = [n for n in docs.columns if n.lower() not in ("n_lines", "n_dropped")]
     site, own_site, gone, kept = fresh(docs, "site", "site_of_lines", "lines_gone", "lines_kept")
-    listed = stored(boilerplate(docs, host, text, max_share, min_pages), "boilerplate")
-    listed = listed.select(F.col("host").alias(own_site), F.col("lines").alias(gone))
+    found = boilerplate(docs, host, text, max_share, min_pages)
+    if long_share is not None:
+        found = found.join(passages(docs, host, text, long_share), "host", "full")
+    listed = stored(found, "boilerplate")
+    lists = F.col("lines").alias(gone)
+    if long_share is not None:
+        lists = F.struct("lines", "passages").alias(gone)
+    listed = listed.select(F.col("host").alias(own_site), lists)
     joined = docs.withColumn(site, host).join(listed, F.col(site) == F.col(own_site), "left")
+    if long_share is not None:
+        page = F.xxhash64(text)
+        elsewhere = F.filter(F.col(f"{gone}.passages"), lambda x: x["keeper"] != page)
+        here = F.array(F.col(f"{gone}.lines"), F.transform(elsewhere, lambda x: x["line"]))
+        every = F.flatten(F.filter(here, lambda x: x.isNotNull()))
+        joined = joined.withColumn(gone, F.when(F.col(gone).isNotNull(), every))
     lines = _lines(F.col(text))
     left = F.filter(lines, lambda x: (F.trim(x) == "") | ~F.array_contains(F.col(gone), _key(x)))
     left = F.when(F.col(gone).isNull(), lines).otherwise(left)

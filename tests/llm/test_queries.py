@@ -219,3 +219,22 @@ def test_pipeline_stage_by_stage(spark):
             packed_whole(kept[name], ids)
     run = corpus_pipeline.run(spark, SF_DIR)
     assert run.select(F.sum("length")).first()[0] == kept["packing"].length.sum()
+
+
+def test_pipeline_drops_planted_passages(spark):
+    passage = " ".join(f"passage{i}" for i in range(51))
+    short = " ".join(f"short{i}" for i in range(50))
+    copied = " ".join(f"copied{i}" for i in range(60))
+    rows = [(i, f"own {i}\n  {passage} \n{short}" if i % 100 == 0 else f"own {i}", "big") for i in range(400)]
+    rows += [(1000 + i, f"whole\n{copied}", "big") for i in range(5)]
+    rows += [(2000 + i, f"other {i}\n{passage}" if i < 2 else f"other {i}", "small") for i in range(20)]
+    rows += [(3000, f"nowhere\n{passage}", None)]
+    docs = spark.createDataFrame([(i, t, "en", s, len(t)) for i, t, s in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    found = {r.doc_id: r for r in corpus_pipeline.line_dedup_stage(spark, docs.repartition(3), SF_DIR).collect()}
+    assert len(found) == len(rows)
+    planted = [found[i].text for i in range(0, 400, 100)]
+    assert sum(passage in t for t in planted) == 1 and all(short in t for t in planted)
+    for i, text, source in rows:
+        if source != "big" or i % 100 or i >= 1000:
+            assert found[i].text == text
+        assert found[i].n_chars == len(found[i].text)
