@@ -24,7 +24,7 @@ from docketspark.llm.common import (
 # Code points of a gram, and grams of a window: every passage of GRAM + WINDOW - 1 code
 # points that two texts share gives them a common fingerprint, none shorter than GRAM does.
 GRAM = 16
-WINDOW = 64
+WINDOW = 8
 
 
 def _rightmost_minimum(hashes: np.ndarray, window: int) -> np.ndarray:

@@ -84,3 +84,20 @@ def test_likeness_and_equal_texts(spark):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id bigint, text string")
     assert fp.compare_with_edits(docs).collect() == [] and fp.fingerprints(docs).collect() == []
+
+
+@pytest.mark.parametrize("length", [60, 79, 120, 159, 300])
+def test_short_texts_keep_several_fingerprints(length):
+    """Half of each text is shared, and the registered sizes show it at every length."""
+    rng = np.random.default_rng(length)
+    texts = ["".join(rng.choice(list("abcdefghijklmnop "), length)) for _ in range(40)]
+    edits = [fp.edited(t, texts[i - 1]) for i, t in enumerate(texts)]
+
+    def sets(some, **sizes):
+        ends, hashes, _ = fp.winnow(some, **sizes)
+        return [np.unique(hashes[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+
+    got = np.array([fp.likeness(a, b) for a, b in zip(sets(texts), sets(edits), strict=True)])
+    true = np.array([fp.likeness(a, b) for a, b in zip(sets(texts, window=1), sets(edits, window=1), strict=True)])
+    assert min(map(len, sets(texts))) >= 4 and (got > 0).mean() > 0.9
+    assert abs(got.mean() - true.mean()) < 0.05
