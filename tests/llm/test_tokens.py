@@ -199,3 +199,11 @@ def test_digests_of_the_query_columns(spark):
     ids = np.array([1, 2, 300], "<u4").tobytes()
     row = spark.createDataFrame([(bytearray(ids),)], "ids binary").selectExpr("crc32(ids) c", "sha2(ids, 256) s").first()
     assert (row.c, row.s) == (zlib.crc32(ids), hashlib.sha256(ids).hexdigest())
+
+
+def test_special_tokens_depart_from_the_plain_call():
+    """As the README says, with its figures."""
+    text, plain = "a <|endoftext|> b", Tokenizer.from_file(tokenizer_path())
+    assert plain.encode(text, add_special_tokens=False).ids == [320, 49407, 321]
+    ids = np.frombuffer(WORD.encode(text), "<u4").tolist()
+    assert ids == [320, 27, 347, 40786, 4160, 91, 285, 321]
