@@ -479,7 +479,7 @@ def similar_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     total = known.agg(F.sum(F.expr(f"n - ceil(n * {percent} / 100) + 1"))).first()[0] or 0
     windows = int(total) // WINDOW_TOKENS + 1
     prefixes = stored(_prefixes(rows, classes, words, percent, windows), "prefixes")
-    parts = max(16, min(shuffle_parts(docs), 4 * windows))
+    parts = max(16, 4 * windows)  # grows with the tokens, so that those of a part have a bound
     pairs = stored(candidate_pairs(prefixes, groups, windows, parts, percent), "candidates")
     second = verified(rows, pairs, classes, words, percent)
     by_group = groups.select(F.col("rep").alias("node"), "comp")

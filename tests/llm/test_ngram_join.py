@@ -157,3 +157,19 @@ def test_pairs_beyond_the_broadcast_limit_are_joined(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "WINDOW_TOKENS", 200)
     rows = corpus(7)
     assert run(spark, rows) == slow_groups(rows)
+
+
+def test_parts_grow_with_the_windows_alone(spark, monkeypatch):
+    """The session has four shuffle partitions, of which the number of parts is independent."""
+    seen, pairs = [], ngram_join.candidate_pairs
+
+    def watched(prefixes, groups, windows, parts, percent):
+        seen.append((windows, parts))
+        return pairs(prefixes, groups, windows, parts, percent)
+
+    monkeypatch.setattr(ngram_join, "WINDOW_TOKENS", 100)
+    monkeypatch.setattr(ngram_join, "candidate_pairs", watched)
+    rows = corpus(3)
+    assert run(spark, rows) == slow_groups(rows)
+    [(windows, parts)] = seen
+    assert windows > 4 and parts == 4 * windows
