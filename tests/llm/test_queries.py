@@ -234,7 +234,8 @@ def test_pipeline_drops_planted_passages(spark):
     assert len(found) == len(rows)
     planted = [found[i].text for i in range(0, 400, 100)]
     assert sum(passage in t for t in planted) == 1 and all(short in t for t in planted)
-    for i, text, source in rows:
-        if source != "big" or i % 100 or i >= 1000:
+    assert sum(passage in found[i].text for i in (2000, 2001)) == 1
+    for i, text, _ in rows:
+        if i not in (0, 100, 200, 300, 2000, 2001):
             assert found[i].text == text
         assert found[i].n_chars == len(found[i].text)
