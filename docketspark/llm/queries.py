@@ -11,6 +11,7 @@ from docketspark.llm import (
     chat,
     compression,
     fingerprints,
+    hard_negatives,
     ngram_join,
     packing,
     quality_rules,
@@ -93,11 +94,18 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    shifted = F.expr("if(vec_id % 7 = 0, (label + 1) % 10, label)")
+    return hard_negatives.hard_negatives(vectors, F.col("vec_id") % 50 == 0, label=shifted)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_packing, op2_fingerprints, op3_quality_rules, op4_ngram_join, op5_line_dedup,
         op6_chat_formatting, op7_token_files, op8_compression_classifier, op9_byte_bpe, op10_warc,
+        op13_hard_negatives,
     )
 }
 
@@ -138,4 +146,25 @@ SELECT page_id, payload_bytes,
   CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN page_id <> first_id THEN first_id END AS refers_to, true AS sound
 FROM d""",
+    "op13_hard_negatives": """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS x
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+    list_inner_product(a.x, b.x)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+), p AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+)
+SELECT p.anchor_id, positive_id,
+  row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, id)::INTEGER AS rank,
+  id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same
+  AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3""",
 }
