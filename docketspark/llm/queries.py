@@ -12,6 +12,7 @@ from docketspark.llm import (
     compression,
     fingerprints,
     hard_negatives,
+    mixing,
     ngram_join,
     packing,
     quality_rules,
@@ -94,6 +95,17 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = _table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("quality").alias("q"))
+    weight = F.when(F.col("q") == 1, 4.0).when(F.col("q") == 0, 0.25).otherwise(1.0)
+    weights = labels.select("doc_id", weight.alias("weight"))
+    keyed = mixing.keyed_documents(_table(spark, sf_dir, "documents"), weights)
+    planned = mixing.plan_mix(stored(keyed, "mix-keys"))
+    return planned.select(
+        "doc_id", "size", "source_size", "target", "taken", "source", "epochs", "part_words"
+    )
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = _table(spark, sf_dir, "embeddings")
     shifted = F.expr("if(vec_id % 7 = 0, (label + 1) % 10, label)")
@@ -105,7 +117,7 @@ QUERIES = {
     for f in (
         op1_packing, op2_fingerprints, op3_quality_rules, op4_ngram_join, op5_line_dedup,
         op6_chat_formatting, op7_token_files, op8_compression_classifier, op9_byte_bpe, op10_warc,
-        op13_hard_negatives,
+        op11_mixing, op13_hard_negatives,
     )
 }
 
@@ -146,6 +158,47 @@ SELECT page_id, payload_bytes,
   CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN page_id <> first_id THEN first_id END AS refers_to, true AS sound
 FROM d""",
+    "op11_mixing": f"""
+WITH q AS (
+  SELECT doc_id, CASE max(quality) WHEN 1 THEN 4.0 WHEN 0 THEN 0.25 ELSE 1.0 END::DOUBLE AS weight
+  FROM labels GROUP BY doc_id
+), d AS (
+  SELECT d.doc_id, source,
+    len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size,
+    -ln((('0x' || substr(md5('{mixing.SEED}:' || coalesce(d.doc_id::VARCHAR, '')), 1, 13))::BIGINT::DOUBLE + 0.5)
+      / 4503599627370496.0::DOUBLE) / coalesce(weight, 1.0) AS key
+  FROM documents d LEFT JOIN q ON d.doc_id = q.doc_id
+), s AS (
+  SELECT source, sum(size)::BIGINT AS source_size, 3 * sum(size)::HUGEINT AS cap,
+    [5, 2, 1][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS w
+  FROM d GROUP BY source
+), filled AS (  -- sources that stop at their cap are the first ones by cap a weight
+  SELECT *, sum(cap) OVER () // 3 - coalesce(sum(cap) OVER before, 0) AS remaining,
+    sum(w) OVER () - coalesce(sum(w) OVER before, 0) AS free
+  FROM s WINDOW before AS (ORDER BY cap::DOUBLE / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), level AS (
+  SELECT max(remaining) AS remaining, max(free) AS free FROM filled
+  WHERE cap * free >= w * remaining
+), t AS (
+  SELECT source, source_size, CASE WHEN free IS NULL OR cap * free < w * remaining THEN cap::DOUBLE
+    ELSE w * remaining::DOUBLE / free END AS target
+  FROM s LEFT JOIN level ON true
+), b AS (
+  SELECT *, least(round(target)::BIGINT, 3 * source_size) AS budget,
+    CASE WHEN source_size > 0 THEN least(round(target)::BIGINT, 3 * source_size) // source_size ELSE 0 END AS epochs
+  FROM t
+), r AS (
+  SELECT d.*, source_size, target, epochs, budget - epochs * source_size AS rest,
+    sum(size) OVER (PARTITION BY d.source, key) AS own,
+    sum(size) OVER (PARTITION BY d.source ORDER BY key) AS running
+  FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source
+), p AS (
+  SELECT *, CASE WHEN running <= rest THEN size WHEN running - own < rest THEN size * (rest - running + own) // own
+    ELSE 0 END::BIGINT AS part_words FROM r
+)
+SELECT doc_id, size, source_size, target, (epochs * size + part_words)::BIGINT AS taken, source,
+  epochs::BIGINT AS epochs, part_words
+FROM p""",
     "op13_hard_negatives": """
 WITH v AS (
   SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
