@@ -14,6 +14,8 @@ from docketspark.session import scratch_dir
 # Rows that Spark puts into one Arrow batch; with whole documents in them the
 # default of 10,000 could outgrow a Python worker.
 BATCH_ROWS = 256
+# Bytes of text that are hashed at a time; the arrays for it take some 30 bytes a byte.
+BATCH_BYTES = 1 << 20
 
 
 def bounded_batches(df: DataFrame, rows: int = BATCH_ROWS) -> DataFrame:
@@ -148,3 +150,18 @@ def word_windows(docs: np.ndarray, hashes: np.ndarray, k: int) -> tuple[np.ndarr
 def batches(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Without the empty ones."""
     return (b for b in frames if b.num_rows)
+
+
+def sliced(
+    frames: Iterator[pa.RecordBatch], text: str, size: int = BATCH_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """Runs of rows with about ``size`` bytes of ``text`` each, one row at least."""
+    for batch in batches(frames):
+        column = batch.column(text)
+        ends = np.cumsum(np.diff(utf8_column(column)[1])) if batch.num_rows > 1 else np.zeros(1)
+        at = 0
+        while at < batch.num_rows:
+            before = ends[at - 1] if at else 0
+            stop = max(at + 1, int(np.searchsorted(ends, before + size, side="right")))
+            yield batch.slice(at, stop - at)
+            at = stop

@@ -9,6 +9,7 @@ from docketspark.llm import (
     boilerplate,
     byte_bpe,
     chat,
+    collocations,
     compression,
     fingerprints,
     hard_negatives,
@@ -106,6 +107,10 @@ def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = _table(spark, sf_dir, "embeddings")
     shifted = F.expr("if(vec_id % 7 = 0, (label + 1) % 10, label)")
@@ -117,7 +122,7 @@ QUERIES = {
     for f in (
         op1_packing, op2_fingerprints, op3_quality_rules, op4_ngram_join, op5_line_dedup,
         op6_chat_formatting, op7_token_files, op8_compression_classifier, op9_byte_bpe, op10_warc,
-        op11_mixing, op13_hard_negatives,
+        op11_mixing, op12_collocations, op13_hard_negatives,
     )
 }
 
@@ -199,6 +204,40 @@ WITH q AS (
 SELECT doc_id, size, source_size, target, (epochs * size + part_words)::BIGINT AS taken, source,
   epochs::BIGINT AS epochs, part_words
 FROM p""",
+    "op12_collocations": f"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\\x0A-\\x0D]')), '[^\\x20\\x09]+') AS w
+  FROM documents
+), g AS (
+  SELECT lang, unnest(list_transform(range(1, len(w) + 1), lambda i: w[i:i])) AS ph FROM p
+  UNION ALL SELECT lang, unnest(list_transform(range(1, len(w)), lambda i: w[i:i+1])) FROM p
+  UNION ALL SELECT lang, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i:i+2])) FROM p
+), f AS (  -- phrases as text: words have no blanks
+  SELECT lang, array_to_string(ph, ' ') AS ph, len(ph) AS words, count(*) AS f FROM g GROUP BY ALL
+), c AS (
+  SELECT lang, ph, f AS a, string_split(ph, ' ') AS w FROM f WHERE f >= {collocations.MIN_COUNT} AND words > 1
+), cut AS (
+  SELECT lang, ph, a, k, array_to_string(w[1:k], ' ') AS head, array_to_string(w[k+1:], ' ') AS tail
+  FROM (SELECT *, unnest(range(1, len(w))) AS k FROM c)
+), s AS (
+  SELECT cut.lang, cut.ph, a, k, l.f AS l, r.f AS r, (1000000::HUGEINT * a * a) // (l.f::HUGEINT * r.f) AS score
+  FROM cut JOIN f l ON l.lang = cut.lang AND l.ph = head JOIN f r ON r.lang = cut.lang AND r.ph = tail
+  QUALIFY row_number() OVER (PARTITION BY cut.lang, cut.ph ORDER BY score, k) = 1
+), longer AS (
+  SELECT lang, part, max(a) AS most FROM (
+    SELECT lang, array_to_string(w[1:2], ' ') AS part, a FROM c WHERE len(w) = 3
+    UNION ALL SELECT lang, array_to_string(w[2:3], ' '), a FROM c WHERE len(w) = 3
+  ) GROUP BY lang, part
+), n AS (
+  SELECT lang, sum(f)::BIGINT AS n FROM f WHERE words = 1 GROUP BY lang
+)
+SELECT s.lang, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, ph) AS rank,
+  ph AS phrase, a, l, r, n, score::BIGINT AS score
+FROM s JOIN n ON n.lang = s.lang LEFT JOIN longer ON longer.lang = s.lang AND longer.part = s.ph
+WHERE most IS NULL OR 100 * most < 50 * a
+QUALIFY rank <= 2000""",
     "op13_hard_negatives": """
 WITH v AS (
   SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
