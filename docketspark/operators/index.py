@@ -121,7 +121,11 @@ def _marked(index: DataFrame, manifest: DataFrame) -> DataFrame:
     aggregation, where an entry repeated many times is compared many times. Entries
     without a path have keys that match no file and do not meet in one task.
     """
-    entries = index.groupBy(*INDEX_COLUMNS).agg(F.count(F.lit(1)).alias("copies"))
+    return with_stored(index.groupBy(*INDEX_COLUMNS).agg(F.count(F.lit(1)).alias("copies")), manifest)
+
+
+def with_stored(entries: DataFrame, manifest: DataFrame) -> DataFrame:
+    """Entries with whether their file is ``stored``."""
     spread = F.pmod(F.xxhash64(*INDEX_COLUMNS), F.lit(_NO_PATH_PARTS)).cast("string")
     key = F.coalesce("file_path", F.concat(F.lit("\t"), spread))
     files = manifest.where(F.col("file_path").isNotNull()).select(F.col("file_path").alias("_key"))

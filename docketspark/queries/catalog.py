@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from docketspark.functions import forms, identifiers, urls
 from docketspark.operators import documents, entities, fetch, hooks, selection
 from docketspark.operators import index as index_ops
-from docketspark.plans.check import check_index
+from docketspark.plans.check import check_changes, check_in_place, check_index
 from docketspark.plans.obtain import keep, not_yet_kept, obtain, of_new_filings
 from docketspark.plans.retrieve import request_rejects as retrieval_rejects
 from docketspark.plans.retrieve import requested_filings, retrieve, retrieved_index
@@ -22,8 +22,10 @@ from docketspark.sinks.index_table import (
     append_index,
     compact_index,
     read_index,
+    stored_entries,
     write_file_number_index,
 )
+from docketspark.sinks.manifest_table import read_snapshot, snapshot_difference, write_snapshot
 from docketspark.sinks.tables import (
     read_documents,
     write_documents,
@@ -465,6 +467,56 @@ def index_check_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _dated(read_index(spark, where))
 
 
+_INDEX = ["cik", "form_type", "file_number", "file_path", "filing_date"]
+
+
+def _index_in_batches(spark: SparkSession, sf_dir: str, table: str) -> None:
+    rows = feeds.index_by_year(spark, sf_dir)
+    early = F.col("filing_date") < F.lit("1996-07-01").cast("date")
+    append_index(rows.where(early), table, "000001")
+    append_index(rows.where(~early), table, "000002")
+
+
+@query
+def index_check_in_place(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of one year are missing: that year's folders are written anew, no other file."""
+    table = f"{scratch_dir(spark, 'in-place')}/index"
+    _index_in_batches(spark, sf_dir, table)
+    files = stored_entries(spark, table).select(F.col("_metadata.file_name").alias("file")).distinct()
+    files.write.parquet(before := scratch_dir(spark, "files"))
+    lost = F.col("file_path").rlike("/[0-9]{10}95[0-9]{6}/") & (feeds.order_in_path() % 3 == 0)
+    check_in_place(spark, table, feeds.index_by_year(spark, sf_dir).where(~lost).select("file_path"))
+    now = stored_entries(spark, table).select(*_INDEX, F.col("_metadata.file_name").alias("file"))
+    old = spark.read.parquet(before).withColumn("old", F.lit(True))
+    marked = now.join(old, "file", "left").withColumn("rewritten", F.col("old").isNull())
+    return _dated(marked.drop("file", "old"))
+
+
+@query
+def manifest_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What changed between two listings that were kept."""
+    table = scratch_dir(spark, "manifest")
+    for name, listing in zip(("one", "two"), feeds.snapshots(spark, sf_dir)):
+        write_snapshot(listing, table, name)
+    found = snapshot_difference(*(read_snapshot(spark, table, name) for name in ("one", "two")))
+    return _dated(found, "old_modified", "new_modified")
+
+
+@query
+def index_check_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The check looks at removed files only where the last snapshot was checked."""
+    table = f"{scratch_dir(spark, 'changes')}/index"
+    old, new = feeds.snapshots(spark, sf_dir)
+    _index_in_batches(spark, sf_dir, table)
+    listed = scratch_dir(spark, "manifest")
+    write_snapshot(feeds.index_by_year(spark, sf_dir).join(old, "file_path", "left").select(
+        "file_path", "length", "modified"), listed, "one")
+    write_snapshot(new, listed, "two")
+    last, now = (read_snapshot(spark, listed, name) for name in ("one", "two"))
+    check_changes(spark, table, snapshot_difference(last, now), now, ["000001"])
+    return _dated(read_index(spark, table))
+
+
 @query
 def index_new_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = feeds.index(spark, sf_dir)

@@ -151,6 +151,34 @@ def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index(spark, sf_dir).where(number % 11 != 0).select("file_path")
 
 
+def index_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The index with accession numbers that hold the year of filing, as real ones do."""
+    number = F.concat(
+        "cik", F.date_format("filing_date", "yy"), F.substring("accession_number", -6, 6)
+    )
+    return index_rows(catalog(spark, sf_dir).withColumn("accession_number", number))
+
+
+def order_in_path() -> Column:
+    """The last six digits of a path's accession number."""
+    folder = F.substring_index(F.substring_index("file_path", "/", -2), "/", 1)
+    return F.substring(folder, -6, 6).cast("int")
+
+
+def snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Two listings of the stored files: some were added, some removed, some changed."""
+    number = order_in_path()
+    files = index_by_year(spark, sf_dir).select(
+        "file_path", (1000 + number % 700).cast("bigint").alias("length"),
+        F.col("filing_date").cast("timestamp").alias("modified"), number.alias("n"),
+    )
+    longer = F.when(F.col("n") % 13 == 0, F.col("length") + 1).otherwise(F.col("length"))
+    later = F.when(F.col("n") % 19 == 0, F.col("modified") + F.expr("interval 1 day"))
+    changed = {"length": longer, "modified": F.coalesce(later, "modified")}
+    old = files.where("n % 17 <> 0").drop("n")
+    return old, files.where("n % 11 <> 0").withColumns(changed).drop("n")
+
+
 def ticker_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON maps of numbered ticker records ``v``; tickers repeat."""
     record = F.struct(

@@ -36,6 +36,14 @@ _VIEWS = {
     "v_present": """
         select file_path from v_index
         where cast(right(accession_number, 4) as int) % 11 <> 0""",
+    # Accession numbers that hold the year of filing; n is what is left of the order number.
+    "v_index_years": """
+        select cik, replace(file_type, '/', '.') as form_type, file_number,
+               cik || '/' || replace(file_type, '/', '.') || '/' || cik
+                 || substr(filing_date, 3, 2) || right(accession_number, 6) || '/'
+                 || main_file_name as file_path,
+               filing_date, cast(right(accession_number, 6) as int) as n
+        from v_filings""",
     "v_tickers": """
         select 'T' || cast(s_suppkey % 60 as varchar) as ticker,
                lpad(cast(max(s_suppkey) as varchar), 10, '0') as cik
@@ -83,6 +91,7 @@ _VIEWS = {
 }
 
 _NEEDS = {
+    "v_index_years": ["v_filings"],
     "v_index": ["v_filings"],
     "v_index_dup": ["v_index"],
     "v_present": ["v_index"],
@@ -383,6 +392,30 @@ ORACLES = {
         f"""select {_ALL_INDEX} from v_index
             where file_path in (select file_path from v_present)""",
     ),
+    "index_check_in_place": _with(
+        ["v_index_years"],
+        f"""select {_ALL_INDEX}, substr(filing_date, 1, 4) = '1995' as rewritten from v_index_years
+            where not (substr(filing_date, 1, 4) = '1995' and n % 3 = 0)""",
+    ),
+    "manifest_difference": _with(
+        ["v_index_years"],
+        """select file_path,
+             case when n % 17 = 0 then 'added' when n % 11 = 0 then 'removed' else 'changed' end
+               as change,
+             case when n % 17 <> 0 then 1000 + n % 700 end as old_length,
+             case when n % 11 <> 0 then 1000 + n % 700 + cast(n % 13 = 0 as bigint) end
+               as new_length,
+             case when n % 17 <> 0 then filing_date || ' 00:00:00' end as old_modified,
+             case when n % 11 <> 0 then
+               cast(cast(filing_date as date) + cast(n % 19 = 0 as int) as varchar) || ' 00:00:00'
+             end as new_modified
+           from v_index_years
+           where not (n % 17 = 0 and n % 11 = 0)
+             and (n % 17 = 0 or n % 11 = 0 or n % 13 = 0 or n % 19 = 0)""",
+    ),
+    "index_check_changes": _with(
+        ["v_index_years"], f"select {_ALL_INDEX} from v_index_years where n % 11 <> 0"
+    ),
     "index_new_only": _with(
         ["v_index"], f"select {_ALL_INDEX} from v_index where filing_date >= '1999-01-01'"
     ),

@@ -116,6 +116,55 @@ def rewrite_index(kept: DataFrame, table: str) -> None:
     )
 
 
+def stored_entries(spark: SparkSession, table: str) -> DataFrame:
+    """Index rows with the folder they are in: ``batch, filed_in``."""
+    stored = _stored(spark, table)
+    return stored if stored is not None else spark.createDataFrame([], _STORED)
+
+
+def replace_folders(kept: DataFrame, folders: DataFrame, table: str) -> int:
+    """Give some folders (``batch, filed_in``) of a table the rows ``kept``, which name their
+    folder too; no file of any other folder is touched. Returns the number of folders.
+
+    ``kept`` must come from elsewhere, such as a scratch table: a folder is not read while
+    it is replaced. Spark replaces the folders that get rows; those that lose all are left
+    with an empty file. Running it again after a failure gives the same table, as long as
+    ``kept`` is still there. Readers of the table wait until it is done.
+    """
+    columns = [*INDEX_COLUMNS, "batch", "filed_in"]
+    # As many rows as the table has folders, which the driver lists on every read.
+    wanted = {tuple(row) for row in folders.select("batch", "filed_in").distinct().collect()}
+    filled = {tuple(row) for row in kept.select("batch", "filed_in").distinct().collect()}
+    if not filled <= wanted:
+        raise ValueError(f"rows for folders that are not replaced: {sorted(filled - wanted)[:3]}")
+    (
+        kept.select(*columns)
+        .hint("rebalance", "batch", "filed_in")
+        .sortWithinPartitions("batch", "filed_in", "cik", "filing_date")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("batch", "filed_in")
+        .parquet(table)
+    )
+    empty = kept.sparkSession.createDataFrame([], INDEX).coalesce(1)
+    for batch, filed_in in sorted(wanted - filled):
+        folder = f"{table.rstrip('/')}/batch={batch}/filed_in={filed_in}"
+        empty.write.mode("overwrite").parquet(folder)
+    return len(wanted)
+
+
+def entries_of_files(spark: SparkSession, table: str, paths: DataFrame) -> DataFrame:
+    """Stored rows (with their folder) of the given files (``file_path``).
+
+    Only the years that the paths name are read: a folder's year comes from the path.
+    """
+    entries = stored_entries(spark, table)
+    wanted = paths.where(F.col("file_path").isNotNull()).select("file_path").distinct()
+    years = [row[0] for row in wanted.select(_filed_in()).distinct().collect()]  # at most 101
+    there = entries.where(F.col("filed_in").isin(years))
+    return there.join(wanted, "file_path", "left_semi").select(*entries.columns)
+
+
 def write_file_number_index(index: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Export JSON lines ``{file number: [[form, path, date], …]}``, as imports read them.
 
