@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docketspark.functions import forms, identifiers, urls
-from docketspark.operators import documents, entities, fetch, hooks, selection
+from docketspark.operators import documents, entities, fetch, hooks, selection, text_search
 from docketspark.operators import index as index_ops
 from docketspark.plans.check import check_changes, check_in_place, check_index
 from docketspark.plans.obtain import keep, not_yet_kept, obtain, of_new_filings
@@ -33,6 +34,7 @@ from docketspark.sinks.tables import (
     write_security_csv,
     write_ticker_map,
 )
+from docketspark.sinks.text_index import read_text_index, write_text_index
 from docketspark.sources import archives, index_files, search, securities, submissions
 from docketspark.sources import entities as entity_files
 from docketspark.sources import facts as fact_files
@@ -215,6 +217,38 @@ def text_search_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "lang", "source", "n_chars")
 
 
+# Words and phrases, frequent and rare ones, some with signs inside.
+INDEX_QUERIES = ['the', '"in the"', 'over "of the" a', 'und "in der"', 'terms-of-use', 'the THE "the"', "zzzz the"]
+
+
+@query
+def text_index_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Several searches of one index of all documents, built in two batches."""
+    docs = feeds.table(spark, sf_dir, "documents")
+    table = f"{scratch_dir(spark, 'words')}/index"
+    for batch, part in (("a", F.col("doc_id") % 2 == 0), ("b", F.col("doc_id") % 2 == 1)):
+        write_text_index(spread(docs.where(part)), table, batch)
+    index = read_text_index(spark, table)
+    found = [
+        text_search.search(index, text).select("doc_id", "n_matches", F.lit(text).alias("query"))
+        for text in INDEX_QUERIES
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
+@query
+def text_index_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the index holds of every word: documents, occurrences, first and last place."""
+    table = f"{scratch_dir(spark, 'words')}/index"
+    write_text_index(spread(feeds.table(spark, sf_dir, "documents")), table, "a")
+    return read_text_index(spark, table).groupBy("term").agg(
+        F.count(F.lit(1)).alias("n_docs"),
+        F.sum(F.size("places")).alias("n"),
+        F.min(F.get("places", F.lit(0))).alias("first_place"),
+        F.max(F.element_at("places", -1)).alias("last_place"),
+    )
+
+
 @query
 def unknown_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     known = spark.createDataFrame([("10-K",), ("10-Q",)], "form_type string")

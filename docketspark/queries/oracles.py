@@ -211,6 +211,38 @@ ORACLES = {
         select doc_id, lang, source, n_chars from documents
         where contains(lower(text), 'the') and contains(lower(text), 'in the')
           and contains(lower(text), 'er')""",
+    # A phrase's matches: the text's words joined by tabs, cut at the phrase between tabs;
+    # every tab is doubled, so neighbouring matches do not share one.
+    "text_index_search": """
+        with words as (
+          select doc_id, '\t' || array_to_string(regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+'), '\t\t')
+            || '\t' as w
+          from documents
+        ), asked as (
+          select unnest([
+            {'query': 'the', 'ps': [['the']]},
+            {'query': '"in the"', 'ps': [['in', 'the']]},
+            {'query': 'over "of the" a', 'ps': [['over'], ['of', 'the'], ['a']]},
+            {'query': 'und "in der"', 'ps': [['und'], ['in', 'der']]},
+            {'query': 'terms-of-use', 'ps': [['terms', 'of', 'use']]},
+            {'query': 'the THE "the"', 'ps': [['the']]},
+            {'query': 'zzzz the', 'ps': [['zzzz'], ['the']]}
+          ]) as a
+        ), hits as (
+          select doc_id, a.query as query, list_transform(a.ps, lambda p:
+            len(string_split(w, '\t' || array_to_string(p, '\t\t') || '\t')) - 1) as n
+          from words, asked
+        )
+        select doc_id, cast(list_sum(n) as bigint) as n_matches, query from hits where list_min(n) > 0""",
+    "text_index_words": """
+        with words as (
+          select doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') as w from documents
+        ), places as (
+          select doc_id, unnest(w) as term, generate_subscripts(w, 1) - 1 as place from words
+        )
+        select term, count(distinct doc_id) as n_docs, count(*) as n,
+               cast(min(place) as int) as first_place, cast(max(place) as int) as last_place
+        from places group by term""",
     "unknown_forms": _with(
         ["v_filings"],
         """select root_form as form_type, count(*) as n_filings from v_filings
