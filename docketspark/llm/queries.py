@@ -131,19 +131,29 @@ ORACLES = {
 WITH lines AS (
   SELECT doc_id, source, text, string_split(text, chr(10)) AS l FROM documents
 ), bare AS (
-  SELECT source, unnest(list_distinct(list_filter(list_transform(l, lambda x: trim(x, ' ')), lambda x: x <> ''))) AS line
-  FROM lines WHERE source IS NOT NULL
+  SELECT doc_id, source, unnest(list_distinct(list_filter(
+    list_transform(l, lambda x: trim(x, ' ')), lambda x: x <> ''))) AS line
+  FROM lines
 ), totals AS (
   SELECT source, count(*) AS total FROM documents WHERE source IS NOT NULL GROUP BY source
 ), gone AS (
   SELECT source, list(line) AS lines FROM (
-    SELECT source, line, count(*) AS n FROM bare GROUP BY source, line
+    SELECT source, line, count(*) AS n FROM bare WHERE source IS NOT NULL GROUP BY source, line
   ) JOIN totals USING (source)
-  WHERE n >= {boilerplate.MIN_PAGES} AND n > {boilerplate.MAX_SHARE}::DOUBLE * total GROUP BY source
+  WHERE n - {boilerplate.CHANCE_PAGES} > {boilerplate.MAX_SHARE}::DOUBLE * total GROUP BY source
+), passages AS (
+  SELECT line, min(doc_id) AS keeper FROM bare
+  WHERE length(line) > 2 * {boilerplate.LONG_WORDS}
+    AND len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) > {boilerplate.LONG_WORDS}
+  GROUP BY line HAVING count(*) >= {boilerplate.PASSAGE_DOCS}
+), lost AS (
+  SELECT doc_id, list(line) AS lines FROM bare JOIN passages USING (line)
+  WHERE doc_id IS DISTINCT FROM keeper GROUP BY doc_id
 ), kept AS (
-  SELECT doc_id, lines.source, text, l,
-    list_filter(l, lambda x: trim(x, ' ') = '' OR NOT coalesce(list_contains(gone.lines, trim(x, ' ')), false)) AS k
-  FROM lines LEFT JOIN gone ON lines.source = gone.source
+  SELECT lines.doc_id, lines.source, text, l, list_filter(l, lambda x: trim(x, ' ') = ''
+    OR NOT (coalesce(list_contains(gone.lines, trim(x, ' ')), false)
+      OR coalesce(list_contains(lost.lines, trim(x, ' ')), false))) AS k
+  FROM lines LEFT JOIN gone ON lines.source = gone.source LEFT JOIN lost ON lines.doc_id = lost.doc_id
 )
 SELECT doc_id, source, CASE WHEN text IS NULL THEN NULL ELSE array_to_string(k, chr(10)) END AS text,
   coalesce(len(l), 0)::BIGINT AS n_lines, coalesce(len(l) - len(k), 0)::BIGINT AS n_dropped

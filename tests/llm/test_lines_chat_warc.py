@@ -1,5 +1,6 @@
 import base64
 import hashlib
+import re
 
 import pytest
 from hypothesis import given, settings
@@ -9,25 +10,44 @@ from pyspark.sql import functions as F
 from docketspark.llm import boilerplate, chat, warc
 
 
-def slow_lines(rows, share, least):
-    pages, totals = {}, {}
-    for host, text in rows:
+def slow_lines(rows, share=boilerplate.MAX_SHARE, passage_docs=boilerplate.PASSAGE_DOCS):
+    """Rows (id, host, text) without their sites' lines and without others' passages."""
+    pages, totals, on, least = {}, {}, {}, {}
+    for i, host, text in rows:
+        lines = {x.strip(" ") for x in (text or "").split("\n")} - {""}
         if host is not None:
             totals[host] = totals.get(host, 0) + 1
-            for line in {x.strip(" ") for x in (text or "").split("\n")} - {""}:
+            for line in lines:
                 pages[host, line] = pages.get((host, line), 0) + 1
-    gone = {k for k, n in pages.items() if n >= least and n > share * totals[k[0]]}
+        for line in lines:
+            if len(re.findall(r"[^\x20\x09-\x0D]+", line)) > boilerplate.LONG_WORDS:
+                on[line] = on.get(line, 0) + 1
+                if i is not None:
+                    least[line] = min(i, least.get(line, i))
+    gone = {k for k, n in pages.items() if n - boilerplate.CHANCE_PAGES > share * totals[k[0]]}
+    passages = {line for line, n in on.items() if n >= passage_docs}
     out = []
-    for host, text in rows:
-        if text is None:
-            out.append((host, None, 0, 0))
-            continue
-        lines = text.split("\n")
-        kept = [x for x in lines if (host, x.strip(" ")) not in gone]
-        out.append((host, "\n".join(kept), len(lines), len(lines) - len(kept)))
+    for i, host, text in rows:
+        lines = text.split("\n") if text is not None else []
+
+        def goes(x, i=i, host=host):
+            x = x.strip(" ")
+            return (host, x) in gone or (x in passages and x in least and i != least[x])
+
+        kept = [x for x in lines if not goes(x)]
+        out.append((i, host, None if text is None else "\n".join(kept), len(lines), len(lines) - len(kept)))
     return sorted(out, key=str)
 
 
+def freed(spark, rows, **options):
+    docs = spark.createDataFrame(rows, "doc_id bigint, host string, text string").repartition(3)
+    found = boilerplate.drop_boilerplate(docs, F.col("host"), **options).collect()
+    return sorted(((r.doc_id, r.host, r.text, r.n_lines, r.n_dropped) for r in found), key=str)
+
+
+PASSAGE = " ".join(f"passage{i}" for i in range(51))
+
+
 def line_rows():
     rows = []
     for i in range(60):
@@ -35,22 +55,61 @@ def line_rows():
         rows.append((host, f"menu\n  footer \nbody {i}\n\nrare\n" if i % 10 == 0 else f"menu\nbody {i}\nfooter\nfooter"))
     rows += [("h0", None), ("h0", ""), ("h0", "menu"), (None, "menu\nbody"), ("h2", "menu\nonly page"), ("h1", "menu\n" + "x" * 100_000)]
     rows += [("h1", "copy\nof a page")] * 12
-    return rows
+    rows += [(f"p{i % 13}", f"own {i}\n {PASSAGE}  \nend") for i in range(12)] + [(None, f"\n{PASSAGE}\n{PASSAGE}")] * 2
+    return [(i if i % 9 else None, *row) for i, row in enumerate(rows)]
 
 
 def test_boilerplate_by_host(spark):
     rows = line_rows()
-    clashing = "host string, text string, line string, n_lines string, lines_gone string, site string"
-    docs = spark.createDataFrame([(*r, "a", "b", "c", "d") for r in rows], clashing)
-    found = boilerplate.drop_boilerplate(docs, F.col("host"), max_share=0.2, min_pages=10)
-    assert found.columns == ["host", "text", "line", "lines_gone", "site", "n_lines", "n_dropped"]
-    got = sorted(((r.host, r.text, r.n_lines, r.n_dropped) for r in found.collect()), key=str)
-    assert got == slow_lines(rows, 0.2, 10)
+    clashing = "doc_id bigint, host string, text string, line string, n_lines string, lines_gone string, site string, page string"
+    docs = spark.createDataFrame([(*r, "a", "b", "c", "d", "e") for r in rows], clashing)
+    found = boilerplate.drop_boilerplate(docs, F.col("host"), max_share=0.2)
+    assert found.columns == ["doc_id", "host", "text", "line", "lines_gone", "site", "page", "n_lines", "n_dropped"]
+    got = sorted(((r.doc_id, r.host, r.text, r.n_lines, r.n_dropped) for r in found.collect()), key=str)
+    assert got == slow_lines(rows, 0.2)
+    assert any(r[4] for r in got)
     assert boilerplate.drop_boilerplate(docs.where("false"), F.col("host")).collect() == []
 
 
+@pytest.mark.parametrize("pages", [5, 50, 500, 50_000])
+def test_one_rule_at_every_size(spark, pages):
+    """A line goes on two pages more than 2 % of the site, whatever its size."""
+    limit = pages // 50 + boilerplate.CHANCE_PAGES
+    lines = {"two": 2, "at the limit": limit, "above": limit + 1, "half": max(limit + 1, pages // 2), "all": pages}
+    rows = [
+        (i, "site", "\n".join([f"own {i}", *(name for name, n in lines.items() if i < n)])) for i in range(pages)
+    ]
+    docs = spark.createDataFrame(rows, "doc_id bigint, host string, text string")
+    found = boilerplate.drop_boilerplate(docs, F.col("host"))
+    left = {r.line for r in found.selectExpr("explode(split(text, '\n')) as line").distinct().collect()}
+    assert {name for name in lines if name in left} == {"two", "at the limit"}
+    assert found.count() == pages and len(left) == pages + 2
+
+
+def test_passages_across_sites_are_kept_once(spark):
+    """On many sites, each far below the ratio; exact copies count as documents too."""
+    rows = [(i, f"h{i // 25}", f"text {i}\n{PASSAGE}" if i % 25 == 7 else f"text {i}") for i in range(1000)]
+    rows += [(2000 + i, f"h{i}", f"whole copy\n{PASSAGE} copied") for i in range(10)]
+    rows += [(3000 + i, f"h{i}", f"few copies\n{PASSAGE} few") for i in range(9)]
+    rows += [(4000 + i, f"h{i}", "a short line " * 10) for i in range(12)]
+    got = freed(spark, rows)
+    assert got == slow_lines(rows)
+    texts = {r[0]: r[2] for r in got}
+    assert [i for i, t in texts.items() if t.endswith(PASSAGE)] == [7]
+    assert [i for i, t in texts.items() if "copied" in t] == [2000]
+    assert sum("few" in t for t in texts.values()) == 9
+    assert all(texts[i] == t for i, _, t in rows if PASSAGE not in t)
+
+
+def test_passages_of_rows_without_ids(spark):
+    rows = [(None, f"h{i}", f"text {i}\n{PASSAGE}") for i in range(11)]
+    assert freed(spark, rows) == slow_lines(rows)
+    rows += [(5, "x", PASSAGE), (5, "y", f"{PASSAGE}\nmore")]
+    assert freed(spark, rows) == slow_lines(rows)
+
+
 def test_line_dedup_stays_in_the_jvm(spark):
-    docs = spark.createDataFrame(line_rows(), "host string, text string")
+    docs = spark.createDataFrame(line_rows(), "doc_id bigint, host string, text string")
     found = boilerplate.drop_boilerplate(docs, F.col("host"))
     plan = found._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
