@@ -26,11 +26,9 @@ def quality_classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that many documents of their source share; ``n_chars``
-    counts what is left. Long passages have a much lower share, and one text keeps them."""
-    freed = boilerplate.drop_boilerplate(
-        docs, F.col("source"), long_share=boilerplate.LONG_SHARE
-    )
+    """Documents without the lines that many documents of their source share, and without
+    long passages that an earlier document has; ``n_chars`` counts what is left."""
+    freed = boilerplate.drop_boilerplate(docs, F.col("source"))
     counted = freed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return counted.select(*docs.columns)
 
