@@ -165,3 +165,10 @@ def sliced(
             stop = max(at + 1, int(np.searchsorted(ends, before + size, side="right")))
             yield batch.slice(at, stop - at)
             at = stop
+
+
+def pieces(frames: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """Batches of at most ``rows`` rows."""
+    for batch in batches(frames):
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)

@@ -7,6 +7,7 @@ import public_tokenizers
 import pytest
 import regex
 import tiktoken
+from pyspark.sql import functions as F
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
@@ -166,18 +167,63 @@ def test_token_files_of_an_empty_table(spark, tmp_path):
     assert token_files.tokens_at(spark, folder, positions).collect() == []
 
 
-@settings(max_examples=300, deadline=None)
-@given(st.text(alphabet=st.one_of(st.characters(codec="utf-8"), st.sampled_from(" \n\t'.,aB1\x1f")), max_size=60))
-def test_words_are_the_patterns_matches(text):
-    words = byte_bpe.Words(public_tokenizers.PATTERN)
+SPACES = " \n\t\r\x0b\x1c\x85\xa0 　"
+
+
+@settings(max_examples=1500, deadline=None)
+@given(
+    st.text(alphabet=st.one_of(st.characters(codec="utf-8"), st.sampled_from(f"{SPACES}'.,aB1é\x1f")), max_size=60),
+    st.booleans(),
+)
+def test_words_are_the_patterns_matches(text, cuts):
+    words = byte_bpe.Words(public_tokenizers.PATTERN, cuts)
     places = words(text)
-    known, of_pieces = words.table(3)
-    assert len(known) == len(set(known)) and [b for b, _ in known] == sorted(b for b, _ in known)
-    assert byte_bpe._unpacked(byte_bpe._packed([w for _, w in known])) == [w for _, w in known]
-    assert [known[n][1].decode() for p in places for n in of_pieces[p]] == regex.findall(public_tokenizers.PATTERN, text)
+    hashes, known, of_pieces = words.table()
+    assert len(known) == len(set(known)) and hashes.tolist() == sorted(map(zlib.crc32, known))
+    assert byte_bpe._unpacked(byte_bpe._packed(known)) == known
+    assert [known[n].decode() for p in places for n in of_pieces[p]] == regex.findall(public_tokenizers.PATTERN, text)
     assert byte_bpe._unsqueezed(byte_bpe._squeezed(np.array(places, np.uint32))).tolist() == places
 
 
+@pytest.mark.parametrize("text", ["a\n \nfoo", "a\t \tb", "x\xa0 y", " a", "a ", "a  b", "　 　z", ""])
+def test_white_space_before_a_blank_is_not_cut(text):
+    words = byte_bpe.Words(public_tokenizers.PATTERN)
+    places = words(text)
+    _, known, of_pieces = words.table()
+    assert [known[n].decode() for p in places for n in of_pieces[p]] == regex.findall(public_tokenizers.PATTERN, text)
+
+
+@pytest.mark.parametrize("pattern", [public_tokenizers.PATTERN, r"[a-z]+ [a-z]+|\s+|."])
+def test_byte_bpe_with_another_vocabulary(spark, tmp_path, pattern):
+    """Tokens of white space, and a pattern that joins words over a blank."""
+    ranks = {bytes([b]): b for b in range(256)} | {b"\n ": 256, b" \n": 257, b"\t ": 258, b"a ": 259, b"a b": 260}
+    path = tmp_path / "own.tiktoken"
+    path.write_bytes(b"".join(base64.b64encode(t) + b" %d\n" % r for t, r in ranks.items()))
+    coder = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    texts = ["a\n \nfoo", "a\t \tb", "a b a b", "a  b", "é a\xa0 b", " \n \n a b "]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    rows = byte_bpe.decode(byte_bpe.encode(docs, str(path), pattern), str(path)).collect()
+    assert {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in rows} == dict(enumerate(map(coder.encode_ordinary, texts)))
+    assert {r.doc_id: bytes(r.data).decode() for r in rows} == dict(enumerate(texts))
+
+
+def test_byte_bpe_of_documents_from_a_shuffle(spark):
+    """Blocks are read as they were written, whatever order rows come in."""
+    texts = spark.range(400).selectExpr("id as doc_id", "concat('word', id % 37, ' of the doc ', id) as text")
+    docs = texts.repartition(7, "text").join(texts.selectExpr("doc_id as other").repartition(5), F.expr("doc_id = other"))
+    rows = byte_bpe.decode(byte_bpe.encode(docs, block_chars=300)).collect()
+    expected = {r.doc_id: r.text.encode() for r in texts.collect()}
+    assert {r.doc_id: bytes(r.data) for r in rows} == expected and len(rows) == 400
+
+
+def test_buckets_grow_with_the_words(spark, monkeypatch):
+    monkeypatch.setattr(byte_bpe, "BUCKET_WORDS", 5)
+    docs = spark.createDataFrame(DOCS, SCHEMA)
+    encoded = byte_bpe.encode(docs, block_chars=50)
+    assert encoded.rdd.getNumPartitions() > 4
+    assert sorted(bytes(r.data) for r in byte_bpe.decode(encoded).collect()) == sorted((t or "").encode() for _, t, _ in DOCS)
+
+
 @pytest.mark.parametrize("block_chars", [10, 10_000])
 def test_byte_bpe_encodes_and_decodes(spark, block_chars):
     path = tokenizer_path("byte_bpe_multi_50k.tiktoken")
