@@ -12,11 +12,10 @@ from docketspark.functions.urls import filing_base_url, join_url
 from docketspark.operators.index import index_rows, not_indexed
 from docketspark.operators.selection import newer_filings
 from docketspark.sources.archives import (
-    archive_contents,
     archive_members,
     member_rejects,
     member_text,
-    whole_members,
+    whole_contents,
 )
 from docketspark.sources.submissions import (
     explode_submissions,
@@ -36,7 +35,7 @@ def new_filings(
 
 def _documents(archives: DataFrame) -> tuple[DataFrame, DataFrame]:
     members = archive_members(archives).where(F.col("member").endswith(".json"))
-    return members, archive_contents(whole_members(members), rejects=True)
+    return members, whole_contents(members, rejects=True)
 
 
 def archive_catalog(archives: DataFrame) -> DataFrame:
@@ -49,8 +48,8 @@ def archive_catalog(archives: DataFrame) -> DataFrame:
 
 
 def archive_rejects(archives: DataFrame) -> DataFrame:
-    """``archive, member, reason`` of members without rows in the catalog: too long for a
-    row, unreadable, or no well-formed submission document."""
+    """``archive, member, reason`` of members without rows in the catalog: too long for
+    any value, unreadable, or no well-formed submission document."""
     members, contents = _documents(archives)
     parsed = parse_submissions(member_text(contents), name="member", keep=["archive"])
     malformed = malformed_submissions(parsed, "archive", "name")

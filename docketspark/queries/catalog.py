@@ -35,6 +35,7 @@ from docketspark.sinks.tables import (
     write_ticker_map,
 )
 from docketspark.sinks.text_index import read_text_index, write_text_index
+from docketspark.sources import archive_source as archive_format
 from docketspark.sources import archives, index_files, search, securities, submissions
 from docketspark.sources import entities as entity_files
 from docketspark.sources import facts as fact_files
@@ -741,6 +742,37 @@ def zip_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _per_archive(members: DataFrame) -> DataFrame:
+    return members.groupBy(_archive_name().alias("archive")).agg(
+        F.count(F.lit(1)).alias("n_members"),
+        F.sum(F.length("content")).alias("length"),
+    )
+
+
+@query
+def archive_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same archives by the data source, in small byte ranges."""
+    folder = scratch_dir(spark, "pages")
+    feeds.zipped_pages(spark, sf_dir, folder)
+    archive_format.register(spark)
+    found = spark.read.format(archive_format.FORMAT).option("rangeBytes", 16 << 10).load(folder)
+    return _per_archive(found)
+
+
+@query
+def archive_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives arrive in three parts; the stream stops in between and goes on from its log."""
+    folder, root = scratch_dir(spark, "pages"), scratch_dir(spark, "members")
+    archive_format.register(spark)
+    for part in range(3):
+        feeds.zipped_pages(spark, sf_dir, folder, part)
+        arriving = spark.readStream.format(archive_format.FORMAT).option("log", f"{root}/log").load(folder)
+        run = arriving.writeStream.format("parquet").option("path", f"{root}/rows")
+        run = run.option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
+        run.awaitTermination()
+    return _per_archive(spark.read.parquet(f"{root}/rows"))
+
+
 @query
 def archive_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Archives as they are, without reading them."""

@@ -319,9 +319,11 @@ def file_number_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grouped.select(F.to_json("numbers").alias("v"))
 
 
-def zipped_pages(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
+def zipped_pages(
+    spark: SparkSession, sf_dir: str, folder: str, of_three: int | None = None
+) -> DataFrame:
     """One archive per range of pages, below ``folder``: of each page a folder entry, its
-    HTML and its address. Column ``archive``."""
+    HTML and its address. Column ``archive``. ``of_three``: one of three parts of them."""
 
     def pack(key, pages):
         system, root = locate(folder)
@@ -340,7 +342,10 @@ def zipped_pages(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
 
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     grouped = pages.withColumn("n", F.expr(f"page_id div {ARCHIVE_PAGES}")).groupBy("n")
-    written = f"{folder}/names"
+    if of_three is not None:
+        grouped = pages.withColumn("n", F.expr(f"page_id div {ARCHIVE_PAGES}"))
+        grouped = grouped.where(F.col("n") % 3 == of_three).groupBy("n")
+    written = f"{folder}/names-{of_three}"
     grouped.applyInArrow(pack, "archive string").write.parquet(written)
     return spark.read.parquet(written)
 

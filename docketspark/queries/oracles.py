@@ -530,6 +530,14 @@ ORACLES = {
                2 * count(*) as n_members,
                cast(sum(strlen(html) + strlen(url)) as bigint) as length
         from pages group by 1""",
+    "archive_source": """
+        select cast(page_id // 20 as varchar) || '.zip' as archive, 2 * count(*) as n_members,
+               cast(sum(strlen(html) + strlen(url)) as bigint) as length
+        from pages group by 1""",
+    "archive_stream": """
+        select cast(page_id // 20 as varchar) || '.zip' as archive, 2 * count(*) as n_members,
+               cast(sum(strlen(html) + strlen(url)) as bigint) as length
+        from pages group by 1""",
     "archive_listing": """
         select distinct cast(page_id // 20 as varchar) || '.zip' as archive, true as filled
         from pages""",

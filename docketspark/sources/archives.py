@@ -30,6 +30,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 RANGE_BYTES = 8 << 20
 # Longer members come as several rows, numbered by ``part``.
 PART_BYTES = 256 << 20
+# The longest member that is taken whole, as one value: Spark holds none of 2 GB.
+WHOLE_BYTES = 1_900 << 20
 _LOCAL_HEADER = 30
 
 MEMBER_SCHEMA = (
@@ -264,9 +266,16 @@ def archive_contents(
     return ranges.mapInArrow(_read_members(part_bytes, rejects), CONTENT_SCHEMA)
 
 
-def whole_members(members: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
-    """Members that come as one row; the others are rejects of jobs that need them whole."""
-    return members.where(F.col("length") <= part_bytes)
+def whole_members(members: DataFrame, whole_bytes: int | None = None) -> DataFrame:
+    """Members that can come as one row, read with ``whole_bytes`` for ``part_bytes``; only
+    those that no value of Spark holds are rejects of jobs that need them whole."""
+    return members.where(F.col("length") <= (whole_bytes or WHOLE_BYTES))
+
+
+def whole_contents(members: DataFrame, **options) -> DataFrame:
+    """The data of the members that can be whole, a row each. A row is as long as its
+    member: memory is needed only for members that are there."""
+    return archive_contents(whole_members(members), part_bytes=WHOLE_BYTES, **options)
 
 
 def member_text(contents: DataFrame) -> DataFrame:
@@ -279,7 +288,7 @@ def member_text(contents: DataFrame) -> DataFrame:
 def member_rejects(members: DataFrame, contents: DataFrame) -> DataFrame:
     """``archive, member, reason`` of members that ``member_text`` does not give: too long
     for one row, unreadable, or not UTF-8."""
-    long = members.where(F.col("length") > PART_BYTES)
+    long = members.where(F.col("length") > WHOLE_BYTES)
     long = long.select("archive", "member", F.lit("too long for one row").alias("reason"))
     sound = F.try_validate_utf8(F.col("content").cast("string")).isNotNull()
     reason = F.coalesce("error", F.when(~sound, "not UTF-8")).alias("reason")

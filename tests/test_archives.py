@@ -85,9 +85,9 @@ def test_unsupported_method_is_an_error_not_a_gap(spark, tmp_path):
 
 
 def test_members_too_long_for_a_row_are_rejects(spark, folder, monkeypatch):
-    monkeypatch.setattr(archives, "PART_BYTES", 1_000_000)
+    monkeypatch.setattr(archives, "WHOLE_BYTES", 1_000_000)
     members = archives.archive_members(archives.list_archives(spark, str(folder)))
-    contents = archives.archive_contents(archives.whole_members(members, 1_000_000), rejects=True)
+    contents = archives.whole_contents(members, rejects=True)
     assert {r.member for r in archives.member_text(contents).collect()} == {
         "file1.txt", "dir/empty.txt",
     }
