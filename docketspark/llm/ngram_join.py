@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 
 from docketspark.llm.common import (
     batches,
-    bounded_batches,
     fresh,
     lower_ascii,
     mix64,
+    pieces,
     shuffle_parts,
     stored,
     text_of,
@@ -37,7 +37,9 @@ ANCHORS = 4
 SKETCH_BITS = 22
 SLICES = 64
 # Prefix tokens that one task holds together.
-WINDOW_TOKENS = 2_000_000
+WINDOW_TOKENS = 1_000_000
+# Documents, or pairs of prefixes, that are worked on at a time.
+_SHINGLED = 256
 # Identifiers that are broadcast when texts are looked up; more are joined by a shuffle.
 BROADCAST_IDS = 2_000_000
 
@@ -109,7 +111,7 @@ def _summaries(docs: DataFrame, words: int) -> tuple[DataFrame, DataFrame]:
                 counts += np.bincount(np.concatenate(waiting), minlength=len(counts)).astype(np.uint32)
             held, waiting = 0, []
 
-        for batch in batches(frames):
+        for batch in pieces(frames):
             sets = shingle_sets(batch.column(1), words)
             rows = np.zeros((len(sets), 3 + ANCHORS), np.uint64)
             for i, found in enumerate(sets):
@@ -139,7 +141,7 @@ def _summaries(docs: DataFrame, words: int) -> tuple[DataFrame, DataFrame]:
 
     schema = "doc_id bigint, n bigint, d1 bigint, d2 bigint, "
     schema += ", ".join(f"{a} bigint" for a in anchors) + ", slice int, counts binary"
-    made = stored(bounded_batches(docs).mapInArrow(run, schema), "shingle-summaries")
+    made = stored(docs.mapInArrow(run, schema), "shingle-summaries")
     return (
         made.where("slice is null").drop("slice", "counts"),
         made.where("slice is not null").select("slice", "counts"),
@@ -157,7 +159,7 @@ def _classes(counts: DataFrame) -> np.ndarray:
 
         size = (1 << SKETCH_BITS) // SLICES
         sums: dict[int, np.ndarray] = {}
-        for batch in batches(frames):
+        for batch in pieces(frames):
             for at, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 part = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), "<u4")
                 if at not in sums:
@@ -176,7 +178,7 @@ def _classes(counts: DataFrame) -> np.ndarray:
 
     def add_u8(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
-        for batch in batches(frames):
+        for batch in pieces(frames):
             for at, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 part = np.frombuffer(blob, "<u8")
                 sums[at] = sums[at] + part if at in sums else part.copy()
@@ -236,7 +238,7 @@ def verified(docs: DataFrame, pairs: DataFrame, classes, words: int, percent: in
                 known[doc] = (found, [in_order(found, o, table)[:size] for o in range(ORDERS)])
             return known[doc]
 
-        for batch in batches(frames):
+        for batch in pieces(frames):
             ids_a, ids_b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             sets_a = shingle_sets(batch.column(2), words)
             # Rows are sorted by b, so most of them repeat the text of the one before.
@@ -257,7 +259,7 @@ def verified(docs: DataFrame, pairs: DataFrame, classes, words: int, percent: in
     left = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
     right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
     joined = left.join(right, "b").select("a", "b", "text_a", "text_b")
-    return bounded_batches(joined).mapInArrow(run, "a bigint, b bigint").distinct()
+    return joined.mapInArrow(run, "a bigint, b bigint").distinct()
 
 
 def _leader_pairs(sets: DataFrame, percent: int) -> DataFrame:
@@ -283,7 +285,7 @@ def _prefixes(docs: DataFrame, classes, words: int, percent: int, windows: int)
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = classes.value
-        for batch in batches(frames):
+        for batch in pieces(frames):
             sets = shingle_sets(batch.column(2), words)
             tokens = [
                 (in_order(s, 0, table)[: prefix_length(len(s), percent)] & _LOW48)
@@ -297,7 +299,7 @@ def _prefixes(docs: DataFrame, classes, words: int, percent: int, windows: int)
             )
 
     window = F.pmod(F.xxhash64("doc_id"), F.lit(windows)).alias("window")
-    rows = bounded_batches(docs.where("doc_id is not null").select(window, "doc_id", "text"))
+    rows = docs.where("doc_id is not null").select(window, "doc_id", "text")
     return rows.mapInArrow(run, "window bigint, doc_id bigint, n bigint, tokens binary").where("n > 0")
 
 
@@ -326,16 +328,21 @@ def _entries(prefixes: pa.Table, groups: pa.Table):
     return found, _tokens(blobs), rows.astype(np.int64), places
 
 
-def candidate_pairs(
-    prefixes: DataFrame, groups: DataFrame, windows: int, parts: int, percent: int
-) -> DataFrame:
-    """Pairs of documents of different components that share a prefix token.
+# Rows that Python passes on at a time.
+_CHUNK = 1 << 16
+
+
+def _chunked(table: pa.Table) -> pa.Table:
+    return pa.Table.from_batches(table.to_batches(max_chunksize=_CHUNK), table.schema)
 
-    First every window sends each of its tokens once, with the least and the greatest
-    component that has it; tokens that only one component has, nearly all, end there, so a
-    large group of copies costs a row per window and token. The others are reported to the
-    windows that have them, whose documents then meet by token, as far as the places of the
-    token in both prefixes allow the sets to be similar.
+
+def shared_tokens(prefixes: DataFrame, placed: DataFrame) -> DataFrame:
+    """``window, token`` of the prefix tokens that documents of several components have.
+
+    Every window gives each of its tokens once, with the least and the greatest component
+    that has it, so a large group of copies costs a row per window and token. Tokens meet
+    by an exchange whose rows grow with the tokens alone; a token's rows, one a window, are
+    sorted by Spark, which spills them.
     """
 
     def of_windows(key, left: pa.Table, right: pa.Table) -> pa.Table:
@@ -347,66 +354,48 @@ def candidate_pairs(
         opens[1:] = tokens[1:] != tokens[:-1]
         starts = np.flatnonzero(opens)
         ends = np.append(starts[1:], len(tokens)) - 1 if len(starts) else starts
-        tokens, low, high = tokens[starts], comps[starts], comps[ends]
-        to = (tokens % np.uint64(parts)).astype(np.int64)
-        out = {"part": [], "window": [], "tokens": [], "low": [], "high": []}
-        order = np.argsort(to, kind="stable")
-        cuts = np.searchsorted(to[order], np.arange(parts + 1))
-        for part in range(parts):
-            some = order[cuts[part] : cuts[part + 1]]
-            if len(some):
-                out["part"].append(part)
-                out["window"].append(key[0].as_py())
-                out["tokens"].append(tokens[some].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes())
-                out["low"].append(_planes(low[some]))
-                out["high"].append(_planes(high[some] - low[some]))
-        types = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
-        return pa.table([pa.array(c, t) for c, t in zip(out.values(), types, strict=True)], names=list(out))
-
-    def of_parts(frame: pa.Table) -> pa.Table:
-        blobs, where = frame.column("tokens").to_pylist(), frame.column("window").to_pylist()
-        tokens = _tokens(blobs)
-        low = np.concatenate([_unplanes(b) for b in frame.column("low").to_pylist()])
-        high = low + np.concatenate([_unplanes(b) for b in frame.column("high").to_pylist()])
-        owner = np.repeat(np.arange(len(blobs)), [len(b) // 6 for b in blobs])
-        order = np.argsort(tokens, kind="stable")
-        ordered = tokens[order]
-        starts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-        least, most = np.minimum.reduceat(low[order], starts), np.maximum.reduceat(high[order], starts)
-        sizes = np.diff(np.append(starts, len(ordered)))
-        live = order[np.repeat(least != most, sizes)]
-        live = live[np.argsort(owner[live], kind="stable")]
-        cuts = np.searchsorted(owner[live], np.arange(len(blobs) + 1))
-        rows = [(w, tokens[live[a:b]].tobytes()) for w, a, b in zip(where, cuts[:-1], cuts[1:], strict=True) if b > a]
-        return pa.table(
-            [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())],
-            names=["window", "live"],
-        )
+        window = np.full(len(starts), key[0].as_py() if len(starts) else 0, np.int32)
+        columns = [window, tokens[starts].astype(np.int64), comps[starts], comps[ends]]
+        return _chunked(pa.table([pa.array(c) for c in columns], names=["window", "token", "low", "high"]))
+
+    sent = prefixes.groupBy("window").cogroup(placed.groupBy("window")).applyInArrow(
+        of_windows, "window int, token bigint, low bigint, high bigint"
+    )
+    of_token = Window.partitionBy("token")
+    met = sent.select(
+        "window", "token", F.min("low").over(of_token).alias("low"), F.max("high").over(of_token).alias("high")
+    )
+    return met.where("low < high").select(F.col("window").cast("bigint").alias("window"), "token")
+
+
+def candidate_pairs(prefixes: DataFrame, groups: DataFrame, windows: int, percent: int) -> DataFrame:
+    """Pairs of documents of different components that share a prefix token.
+
+    Tokens that only one component has, nearly all, end with ``shared_tokens``. The others
+    are reported to the windows that have them, whose documents then meet by token, as far as
+    the places of the token in both prefixes allow the sets to be similar.
+    """
 
     def live_entries(key, left: pa.Table, right: pa.Table) -> pa.Table:
-        reported = [b for b in right.column("live").to_pylist() if b is not None]
+        live = np.sort(right.column("token").drop_null().to_numpy())
         groups_of = right.filter(pc.is_valid(right.column("rep")))
         names = ["token", "doc_id", "comp", "n", "left"]
-        if not reported or not len(left):
+        if not len(live) or not len(left):
             return pa.table([pa.array([], pa.int64())] * 5, names=names)
-        live = np.sort(np.concatenate([np.frombuffer(b, "<u8") for b in reported]))
         found, tokens, rows, places = _entries(left, groups_of)
+        tokens = tokens.astype(np.int64)
         hit = live[np.minimum(np.searchsorted(live, tokens), len(live) - 1)] == tokens
-        columns = [pa.array(tokens[hit].astype(np.int64))]
+        columns = [pa.array(tokens[hit])]
         columns += [pa.array(found[c][rows[hit]]) for c in names[1:4]]
         columns.append(pa.array(found["n"][rows[hit]] - places[hit]))
-        return pa.table(columns, names=names)
+        return _chunked(pa.table(columns, names=names))
 
     window = F.pmod(F.xxhash64("rep"), F.lit(windows)).alias("window")
     placed = groups.select(window, "rep", "comp")
-    sent = prefixes.groupBy("window").cogroup(placed.groupBy("window")).applyInArrow(
-        of_windows, "part bigint, window bigint, tokens binary, low binary, high binary"
-    )
-    live = sent.groupBy("part").applyInArrow(of_parts, "window bigint, live binary")
-    live = stored(live, "live-tokens")
-    nothing = F.lit(None)
-    told = placed.withColumn("live", nothing.cast("binary")).unionByName(
-        live.select("window", nothing.cast("bigint").alias("rep"), nothing.cast("bigint").alias("comp"), "live")
+    live = stored(shared_tokens(prefixes, placed), "live-tokens")
+    nothing = F.lit(None).cast("bigint")
+    told = placed.withColumn("token", nothing).unionByName(
+        live.select("window", nothing.alias("rep"), nothing.alias("comp"), "token")
     )
     entries = prefixes.groupBy("window").cogroup(told.groupBy("window")).applyInArrow(
         live_entries, "token bigint, doc_id bigint, comp bigint, n bigint, left bigint"
@@ -421,18 +410,44 @@ def candidate_pairs(
     return met.select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")).distinct()
 
 
-def _planes(numbers: np.ndarray) -> bytes:
-    import zstandard
-
-    planes = numbers.astype("<i8").view(np.uint8).reshape(-1, 8).T
-    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+def sharing_all_prefixes(docs: DataFrame, pairs: DataFrame, classes, words: int, percent: int) -> DataFrame:
+    """The ``pairs`` (a, b) that share a prefix token under each of the other orders too.
 
+    Only prefixes are moved for it, 4 bytes a token: no text meets another one before all
+    orders agree. Tokens that are equal in 32 bits by chance let a pair pass. Documents that
+    repeat an id have several prefixes, and any two of them may agree.
+    """
 
-def _unplanes(data: bytes) -> np.ndarray:
-    import zstandard
-
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
-    return planes.reshape(8, -1).T.copy().view("<i8").ravel()
+    def prefixes(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = classes.value
+        for batch in pieces(frames, _SHINGLED):
+            sets = shingle_sets(batch.column(1), words)
+            columns = [batch.column(0)]
+            for order in range(1, ORDERS):
+                found = [in_order(s, order, table)[: prefix_length(len(s), percent)] for s in sets]
+                columns.append(pa.array([f.astype(np.uint32).tobytes() for f in found], pa.binary()))
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", *names])
+
+    def intersect(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(frames, _SHINGLED):
+            stays = np.ones(batch.num_rows, bool)
+            for name in names:
+                both = zip(batch.column(f"{name}_a").to_pylist(), batch.column(f"{name}_b").to_pylist(), strict=True)
+                for i, (a, b) in enumerate(both):
+                    if stays[i]:
+                        x = np.sort(np.frombuffer(a + b, np.uint32))
+                        stays[i] = len(x) > 1 and bool((x[1:] == x[:-1]).any())
+            yield batch.select([0, 1]).filter(pa.array(stays))
+
+    names = [f"order{order}" for order in range(1, ORDERS)]
+    ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "pair-ids")
+    schema = "doc_id bigint, " + ", ".join(f"{name} binary" for name in names)
+    known = stored(_texts_of(docs, ids).select("doc_id", "text").mapInArrow(prefixes, schema), "other-prefixes")
+    sides = [
+        known.select(F.col("doc_id").alias(side), *[F.col(n).alias(f"{n}_{side}") for n in names]) for side in "ab"
+    ]
+    joined = pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", *[f"{n}_{s}" for n in names for s in "ab"])
+    return joined.mapInArrow(intersect, "a bigint, b bigint").distinct()
 
 
 def similar_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -450,8 +465,8 @@ def similar_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     2. Each representative is compared with a few leaders, which ties groups of copies
        together without listing their pairs.
     3. Representatives in different components that share a prefix token under the first
-       order are found by shuffles of prefix tokens; those that also share one under all
-       other orders are compared. Every pair of similar sets in different components is
+       order are found by shuffles of prefix tokens; prefixes under the other orders then meet
+       by pair, and the texts of those that share a token under all are compared. Every pair of similar sets in different components is
        among them, so with the components of step 2 no link is lost.
 
     Rows with a null ``doc_id`` get their size, and the component of documents with an equal
@@ -479,8 +494,8 @@ def similar_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     total = known.agg(F.sum(F.expr(f"n - ceil(n * {percent} / 100) + 1"))).first()[0] or 0
     windows = int(total) // WINDOW_TOKENS + 1
     prefixes = stored(_prefixes(rows, classes, words, percent, windows), "prefixes")
-    parts = max(16, 4 * windows)  # grows with the tokens, so that those of a part have a bound
-    pairs = stored(candidate_pairs(prefixes, groups, windows, parts, percent), "candidates")
+    pairs = stored(candidate_pairs(prefixes, groups, windows, percent), "candidates")
+    pairs = stored(sharing_all_prefixes(rows, pairs, classes, words, percent), "agreed")
     second = verified(rows, pairs, classes, words, percent)
     by_group = groups.select(F.col("rep").alias("node"), "comp")
     contracted = (

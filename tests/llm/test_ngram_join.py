@@ -159,17 +159,36 @@ def test_pairs_beyond_the_broadcast_limit_are_joined(spark, monkeypatch):
     assert run(spark, rows) == slow_groups(rows)
 
 
-def test_parts_grow_with_the_windows_alone(spark, monkeypatch):
-    """The session has four shuffle partitions, of which the number of parts is independent."""
-    seen, pairs = [], ngram_join.candidate_pairs
-
-    def watched(prefixes, groups, windows, parts, percent):
-        seen.append((windows, parts))
-        return pairs(prefixes, groups, windows, parts, percent)
-
-    monkeypatch.setattr(ngram_join, "WINDOW_TOKENS", 100)
-    monkeypatch.setattr(ngram_join, "candidate_pairs", watched)
-    rows = corpus(3)
+def test_rows_exchanged_grow_in_proportion(spark, monkeypatch):
+    """Eight times as many windows: a token still travels once for each window that has it."""
+    rows, seen, shared = corpus(3), [], ngram_join.shared_tokens
+
+    def watched(prefixes, placed):
+        n_tokens = prefixes.selectExpr("sum(length(tokens) / 6)").first()[0]
+        seen.append((prefixes.select("window").distinct().count(), n_tokens))
+        return shared(prefixes, placed)
+
+    monkeypatch.setattr(ngram_join, "shared_tokens", watched)
+    for tokens in (800, 100):
+        monkeypatch.setattr(ngram_join, "WINDOW_TOKENS", tokens)
+        assert run(spark, rows) == slow_groups(rows)
+    (few, n), (many, again) = seen
+    assert n == again and many >= 4 * few
+
+
+def test_no_text_meets_another_before_all_orders_agree(spark, monkeypatch):
+    """Pairs that share a token under the first order only are gone before texts are joined."""
+    rows, met, agreed = corpus(11), [], []
+    original, verified = ngram_join.sharing_all_prefixes, ngram_join.verified
+
+    def watched(docs, pairs, classes, words, percent):
+        found = original(docs, pairs, classes, words, percent)
+        met.append(pairs.count())
+        agreed.append(found.count())
+        similar = verified(docs, pairs, classes, words, percent)
+        assert similar.exceptAll(verified(docs, found, classes, words, percent)).isEmpty()
+        return found
+
+    monkeypatch.setattr(ngram_join, "sharing_all_prefixes", watched)
     assert run(spark, rows) == slow_groups(rows)
-    [(windows, parts)] = seen
-    assert windows > 4 and parts == 4 * windows
+    assert agreed[0] <= met[0]
