@@ -11,20 +11,24 @@ from __future__ import annotations
 
 import struct
 from collections.abc import Iterator
+from urllib.parse import unquote
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from docketspark.llm.common import batches, bounded_batches, shuffle_parts, text_of
+from docketspark.llm.common import pieces, shuffle_parts, text_of
 from docketspark.llm.tokens import encoder, tokenizer_path
 from docketspark.session import scratch_dir
+from docketspark.sources.files import open_input
 
 MAGIC = b"DACIDS01"
 BLOCK = 512
 # Ids of one segment file; a longer document has a file of its own.
 SEGMENT_IDS = 1 << 22
+# Segments that Python works on at a time.
+SEGMENT_ROWS = 4
 # Ids of the blocks by which positions find their segment.
 _STEP = 1 << 20
 
@@ -106,6 +110,21 @@ class Segment:
             found[cut] = words.sum(axis=1, dtype=np.int64) + _POPCOUNT[last]
         return found + ranks[block].astype(np.int64)
 
+    def checked(self) -> np.ndarray:
+        """All ids in order, held against the directories: each of them has to count its
+        bitmap, and every document's first and last id, looked up by them, has to be the one
+        that stands there. Any difference is an error."""
+        for _, bitmap, ranks in self.levels:
+            counts = _POPCOUNT[bitmap].reshape(-1, BLOCK // 8).sum(axis=1, dtype=np.uint64)
+            if ranks[0] or not np.array_equal(np.cumsum(counts), ranks[1:]):
+                raise ValueError("token file with a damaged rank directory")
+        ids, starts = self.all(), self.starts.astype(np.int64)
+        filled = starts[:-1] < starts[1:]
+        ends = np.concatenate([starts[:-1][filled], starts[1:][filled] - 1])
+        if not np.array_equal(self.at(ends), ids[ends]):
+            raise ValueError("token file whose directories do not lead to its ids")
+        return ids
+
     def all(self) -> np.ndarray:
         """All ids in order: a level's marked places are those of the next level."""
         if not self.n_ids:
@@ -121,6 +140,45 @@ class Segment:
         return higher
 
 
+class SegmentFile:
+    """Single ids of a segment file where it lies: of each level a chunk, one block of the
+    bitmap and one entry of the directory are read, whatever the file's size."""
+
+    def __init__(self, file: pa.NativeFile):
+        self.file = file
+        if self._read(8, 0) != MAGIC:
+            raise ValueError("not a token file")
+        self.bits, n_levels, n_docs, self.n_ids = struct.unpack("<IIQQ", self._read(24, 8))
+        self.width = 1 if self.bits <= 8 else 2
+        at, self.levels = 32 + 9 * n_docs + 8 * (n_docs + 1), []
+        for _ in range(n_levels):
+            n, n_bitmap, n_ranks = struct.unpack("<QQQ", self._read(24, at))
+            chunks, bitmap = at + 24, at + 24 + self.width * n
+            self.levels.append((chunks, bitmap, bitmap + n_bitmap))
+            at = bitmap + n_bitmap + 8 * n_ranks
+
+    def _read(self, n: int, at: int) -> bytes:
+        data = self.file.read_at(n, at)
+        if len(data) != n:
+            raise ValueError("token file of wrong length")
+        return data
+
+    def at(self, place: int) -> int:
+        if not 0 <= place < self.n_ids:
+            raise IndexError("no such token")
+        found = 0
+        for level, (chunks, bitmap, ranks) in enumerate(self.levels):
+            chunk = self._read(self.width, chunks + self.width * place)
+            found |= int.from_bytes(chunk, "little") << (level * self.bits)
+            block, inside = divmod(place, BLOCK)
+            marks = int.from_bytes(self._read(BLOCK // 8, bitmap + block * (BLOCK // 8)), "little")
+            if not marks >> inside & 1:
+                break
+            before = (marks & ((1 << inside) - 1)).bit_count()
+            place = int.from_bytes(self._read(8, ranks + 8 * block), "little") + before
+        return found
+
+
 def segment_bytes(doc_ids: list[int | None], ids: list[bytes], bits: int = 8) -> bytes:
     """A segment file of documents given as little-endian unsigned 32-bit ids."""
     starts = np.zeros(len(ids) + 1, np.uint64)
@@ -193,7 +251,7 @@ def write_tokens(
             arrays = [pa.array([v], t) for v, t in zip(row.values(), types, strict=True)]
             return pa.RecordBatch.from_arrays(arrays, names=list(row))
 
-        for batch in batches(frames):
+        for batch in pieces(frames):
             for doc_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 new = encode(text) + end
                 if ids and held + len(new) // 4 > segment_ids:
@@ -208,7 +266,7 @@ def write_tokens(
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of().alias("text"))
     parts = shuffle_parts(docs)
     ordered = rows.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
-    bounded_batches(ordered).mapInArrow(run, schema).write.parquet(f"{folder}/written")
+    ordered.mapInArrow(run, schema).write.parquet(f"{folder}/written")
     made = spark.read.schema(schema).parquet(f"{folder}/written")
     sums = made.groupBy("part").agg(F.sum("n_ids").alias("_ids"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -227,25 +285,27 @@ def segments(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/segments").select("name", "n_docs", "n_ids", "first")
 
 
-def _contents(spark: SparkSession, folder: str) -> DataFrame | None:
+def _files(spark: SparkSession, folder: str) -> DataFrame | None:
+    """``name, path`` and, where it is asked for, ``content`` of the files."""
     from pyarrow import fs
 
     system, root = fs.FileSystem.from_uri(folder)
     if system.get_file_info(f"{root}/ids").type == fs.FileType.NotFound:
         return None  # no document was written
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.dac").load(f"{folder}/ids")
-    return files.select(F.element_at(F.split("path", "/"), -1).alias("name"), "content")
+    return files.select(F.element_at(F.split("path", "/"), -1).alias("name"), "path", "content")
 
 
 def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
     """Documents of the files: ``doc_id, start`` (ids of all before it), ``n_tokens, ids``
-    (little-endian unsigned 32-bit)."""
+    (little-endian unsigned 32-bit). A file whose directories do not lead to its ids is
+    refused."""
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches(frames):
+        for batch in pieces(frames, SEGMENT_ROWS):
             for first, content in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 segment = Segment(content)
-                ids = segment.all().astype("<u4").tobytes()
+                ids = segment.checked().astype("<u4").tobytes()
                 ends = segment.starts.astype(np.int64)
                 cuts = [ids[4 * a : 4 * b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays(
@@ -259,24 +319,24 @@ def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
                 )
 
     schema = "doc_id bigint, start bigint, n_tokens bigint, ids binary"
-    contents = _contents(spark, folder)
-    if contents is None:
+    files = _files(spark, folder)
+    if files is None:
         return spark.createDataFrame([], schema)
     placed = segments(spark, folder).select("name", "first")
-    joined = contents.join(placed, "name").select("first", "content")
-    return bounded_batches(joined, 4).mapInArrow(run, schema)
+    joined = files.join(placed, "name").select("first", "content")
+    return joined.mapInArrow(run, schema)
 
 
 def tokens_at(spark: SparkSession, folder: str, positions: DataFrame) -> DataFrame:
     """``position, id`` of each distinct ``position`` (counted over all documents).
 
     Positions meet the segments that overlap their block of 2**20 ids, are collected per
-    segment as far as one segment reaches, and only the asked places are read. Positions
+    segment as far as one segment reaches, and of its file only their bytes are read. Positions
     beyond the last id, and nulls, give no row.
     """
     schema = "position bigint, id bigint"
-    contents = _contents(spark, folder)
-    if contents is None:
+    files = _files(spark, folder)
+    if files is None:
         return spark.createDataFrame([], schema)
     blocks = F.sequence(F.expr(f"first div {_STEP}"), F.expr(f"(first + n_ids - 1) div {_STEP}"))
     known = segments(spark, folder).where("n_ids > 0").withColumn("_block", F.explode(blocks))
@@ -288,13 +348,14 @@ def tokens_at(spark: SparkSession, folder: str, positions: DataFrame) -> DataFra
     )
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches(frames):
-            for first, places, content in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                places = np.array(places, np.int64)
-                ids = Segment(content).at(places - first).astype(np.int64)
+        for batch in pieces(frames):
+            for first, places, path in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                with open_input(unquote(path)) as file:
+                    segment = SegmentFile(file)
+                    ids = [segment.at(place - first) for place in places]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(places), pa.array(ids)], names=["position", "id"]
+                    [pa.array(places, pa.int64()), pa.array(ids, pa.int64())], names=["position", "id"]
                 )
 
-    joined = wanted.join(contents, "name").select("first", "positions", "content")
-    return bounded_batches(joined, 4).mapInArrow(run, schema)
+    joined = wanted.join(files.select("name", "path"), "name").select("first", "positions", "path")
+    return joined.mapInArrow(run, schema)

@@ -3,7 +3,8 @@
 The tokenizer drops white space and never looks across it, so a text's ids are those of
 its blank-separated chunks in order. A task remembers the ids of chunks it has met. A
 chunk of letters with signs behind it is encoded part by part by the tokenizer's own
-model, any other chunk by the whole tokenizer.
+model, any other chunk by the whole tokenizer. A text that holds the string of an added
+token goes through the tokenizer as a whole, which finds it as such.
 """
 
 from __future__ import annotations
@@ -58,14 +59,18 @@ class Remembered(dict):
 
 
 class WordEncoder:
-    """Ids of texts as little-endian unsigned 32-bit bytes."""
+    """Ids of texts, those of ``encode(text, add_special_tokens=False)``, as little-endian
+    unsigned 32-bit bytes."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.added = [token.content for token in added]
+        # One that is looked for after normalisation may be written otherwise in a text.
+        self.normalizer = self.tokenizer.normalizer if any(t.normalized for t in added) else None
         self.model = self.tokenizer.model
         self.letters = Remembered(self._letters)
         self.signs = Remembered(self._whole)
@@ -87,7 +92,14 @@ class WordEncoder:
         ids = self.letters[word.lower()]
         return ids + self.signs[signs] if signs else ids
 
+    def _holds_added(self, text: str) -> bool:
+        if self.normalizer is not None and any(t in self.normalizer.normalize_str(text) for t in self.added):
+            return True
+        return any(t in text for t in self.added)
+
     def encode(self, text: str) -> bytes:
+        if self._holds_added(text):
+            return self._whole(text)
         chunks = text.translate(_BLANKS) if "\t" in text or "\r" in text else text.replace("\n", " ")
         return b"".join(map(self.chunks.__getitem__, chunks.split(" ")))
 

@@ -17,7 +17,6 @@ from docketspark.llm.tokens import Remembered, WordEncoder, tokenizer_path
 
 WORD = WordEncoder(tokenizer_path())
 WHOLE = Tokenizer.from_file(tokenizer_path())
-WHOLE.encode_special_tokens = True
 TEXTS = [
     "Plain words, and MORE words.",
     "it's I'll we'd don't 'tis '",
@@ -247,9 +246,62 @@ def test_digests_of_the_query_columns(spark):
     assert (row.c, row.s) == (zlib.crc32(ids), hashlib.sha256(ids).hexdigest())
 
 
-def test_special_tokens_depart_from_the_plain_call():
-    """As the README says, with its figures."""
-    text, plain = "a <|endoftext|> b", Tokenizer.from_file(tokenizer_path())
-    assert plain.encode(text, add_special_tokens=False).ids == [320, 49407, 321]
-    ids = np.frombuffer(WORD.encode(text), "<u4").tolist()
-    assert ids == [320, 27, 347, 40786, 4160, 91, 285, 321]
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "a", " ", "\n", "É", "<|", "endoftext", "|>", "x1"]), max_size=8))
+def test_added_tokens_are_those_of_the_plain_call(parts):
+    text = "".join(parts)
+    assert np.frombuffer(WORD.encode(text), "<u4").tolist() == whole_ids(text)
+
+
+def test_an_added_token_in_a_text():
+    assert np.frombuffer(WORD.encode("a <|endoftext|> b"), "<u4").tolist() == [320, 49407, 321]
+
+
+def segment_of(seed, n=3000):
+    rng = np.random.default_rng(seed)
+    ids = [rng.choice([5, 300, 70_000, 20_000_000], rng.integers(0, 40)).astype("<u4") for _ in range(n // 20)]
+    return token_files.segment_bytes(list(range(len(ids))), [x.tobytes() for x in ids]), np.concatenate(ids)
+
+
+def test_a_damaged_directory_is_refused(spark, tmp_path):
+    content, ids = segment_of(1)
+    segment = token_files.Segment(content)
+    assert (segment.checked() == ids).all()
+    for level, (_, _, ranks) in enumerate(segment.levels):
+        at = content.index(ranks.tobytes(), 32) if len(ranks) > 1 else None
+        for entry in range(len(ranks)):
+            broken = bytearray(content)
+            broken[at + 8 * entry] ^= 1
+            with pytest.raises(ValueError, match="director"):
+                token_files.Segment(bytes(broken)).checked()
+    folder = token_files.write_tokens(spark.createDataFrame(DOCS, SCHEMA), str(tmp_path / "ids"))
+    [path, *_] = sorted((tmp_path / "ids").rglob("*.dac"))
+    whole = path.read_bytes()
+    ranks = token_files.Segment(whole).levels[0][2].tobytes()
+    path.write_bytes(whole.replace(ranks, bytes(len(ranks))))
+    for crc in path.parent.glob(".*.crc"):
+        crc.unlink()
+    with pytest.raises(Exception, match="damaged rank directory"):
+        token_files.read_tokens(spark, folder).collect()
+
+
+def test_single_ids_are_read_by_offset():
+    content, ids = segment_of(2)
+
+    read = []
+
+    class File:
+        def read_at(self, n, at):
+            read.append(n)
+            return content[at : at + n]
+
+    segment = token_files.SegmentFile(File())
+    opened = sum(read)
+    places = [0, 1, 511, 512, 513, len(ids) // 2, len(ids) - 1]
+    assert [segment.at(p) for p in places] == ids[places].tolist()
+    assert sum(read) - opened <= len(places) * 4 * (1 + 64 + 8) < len(content)
+    for place in (-1, len(ids)):
+        with pytest.raises(IndexError):
+            segment.at(place)
+    with pytest.raises(ValueError, match="not a token file"):
+        token_files.SegmentFile(type("F", (), {"read_at": lambda self, n, at: b"x" * n})())
