@@ -11,19 +11,13 @@ from pyspark.sql import functions as F
 
 from docketspark.session import scratch_dir
 
-# Rows that Spark puts into one Arrow batch; with whole documents in them the
-# default of 10,000 could outgrow a Python worker.
+# Documents that Python works on at a time. Spark bounds its Arrow batches by bytes; the
+# arrays made of a batch of 10,000 documents could outgrow a Python worker all the same.
 BATCH_ROWS = 256
 # Bytes of text that are hashed at a time; the arrays for it take some 30 bytes a byte.
 BATCH_BYTES = 1 << 20
 
 
-def bounded_batches(df: DataFrame, rows: int = BATCH_ROWS) -> DataFrame:
-    """Let the session send at most ``rows`` rows to Python at a time."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-    return df
-
-
 def stored(df: DataFrame, label: str, *partition: str) -> DataFrame:
     """Write to the shared scratch folder and read back: cuts the lineage, survives lost
     executors, and gives later joins inputs whose sizes Spark knows."""
@@ -167,7 +161,9 @@ def sliced(
             at = stop
 
 
-def pieces(frames: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+def pieces(
+    frames: Iterator[pa.RecordBatch], rows: int = BATCH_ROWS
+) -> Iterator[pa.RecordBatch]:
     """Batches of at most ``rows`` rows."""
     for batch in batches(frames):
         for at in range(0, batch.num_rows, rows):

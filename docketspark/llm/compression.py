@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docketspark.llm.common import batches, bounded_batches, text_of
+from docketspark.llm.common import pieces, text_of
 from docketspark.llm.quality_rules import sample_of_labels
 
 # Labelled documents of each label that are looked at, at most; the even ones (in order of
@@ -126,7 +126,7 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
     labelled = wanted.join(F.broadcast(sample), "doc_id").select("doc_id", "label", "text")
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches(frames):
+        for batch in pieces(frames):
             cut = [pieces(t.encode()) for t in batch.column(2).to_pylist()]
             few = [
                 [p[i * len(p) // SAMPLE_PIECES] for i in range(SAMPLE_PIECES)]
@@ -137,7 +137,7 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), found], names=["doc_id", "label", "pieces"])
 
     schema = "doc_id bigint, label int, pieces array<binary>"
-    found = bounded_batches(labelled).mapInArrow(run, schema).collect()
+    found = labelled.mapInArrow(run, schema).collect()
     found = sorted(((r.label, zlib.crc32(str(r.doc_id).encode()), r.doc_id, [bytes(p) for p in r.pieces]) for r in found))
     y = np.array([r[0] for r in found], float)
     if not len(y) or y.min() == y.max():
@@ -158,7 +158,7 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
 def _scoring(model: Model, text: int, whole: bool, threshold: float):
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         good, bad = model.compressors()
-        for batch in batches(frames):
+        for batch in pieces(frames):
             texts = [(t or "").encode() for t in batch.column(text).to_pylist()]
             score = model.score(np.array([measure(pieces(t), good, bad) for t in texts]))
             if whole:
@@ -182,10 +182,10 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFr
     """
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of().alias("text"))
     schema = "doc_id bigint, held_out boolean, score double, predicted int"
-    return bounded_batches(rows).mapInArrow(_scoring(model, 1, False, threshold), schema)
+    return rows.mapInArrow(_scoring(model, 1, False, threshold), schema)
 
 
 def keep_good(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that are predicted good, with all their columns, in one pass."""
     run = _scoring(model, docs.columns.index("text"), True, threshold)
-    return bounded_batches(docs).mapInArrow(run, docs.schema)
+    return docs.mapInArrow(run, docs.schema)

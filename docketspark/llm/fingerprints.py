@@ -12,8 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docketspark.llm.common import (
-    batches,
-    bounded_batches,
+    pieces,
     mix64,
     range_hashes,
     shuffle_parts,
@@ -112,7 +111,7 @@ def fingerprints(docs: DataFrame, gram: int = GRAM, window: int = WINDOW) -> Dat
     """
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches(frames):
+        for batch in pieces(frames):
             ends, hashes, positions = winnow(batch.column(1).to_pylist(), gram, window)
             cuts = pa.array(ends, pa.int32())
             yield pa.RecordBatch.from_arrays(
@@ -126,7 +125,7 @@ def fingerprints(docs: DataFrame, gram: int = GRAM, window: int = WINDOW) -> Dat
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of().alias("text"))
     schema = "doc_id bigint, hashes array<bigint>, positions array<bigint>"
-    return bounded_batches(rows).mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema)
 
 
 def with_neighbours(docs: DataFrame, parts: int | None = None) -> DataFrame:
@@ -221,7 +220,7 @@ def compare_with_edits(docs: DataFrame, gram: int = GRAM, window: int = WINDOW)
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, doc_ids, texts = None, [], []
-        for batch in batches(frames):
+        for batch in pieces(frames):
             for at, own, doc_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if at != part:
                     part, doc_ids, texts, closed = at, [], [], False
@@ -234,4 +233,4 @@ def compare_with_edits(docs: DataFrame, gram: int = GRAM, window: int = WINDOW)
                     yield compared(doc_ids, texts)
                     doc_ids, texts = doc_ids[-1:], texts[-1:]
 
-    return bounded_batches(with_neighbours(docs)).mapInArrow(run, schema)
+    return with_neighbours(docs).mapInArrow(run, schema)

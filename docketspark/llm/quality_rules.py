@@ -11,8 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docketspark.llm.common import (
-    batches,
-    bounded_batches,
+    pieces,
     mix64,
     range_hashes,
     text_of,
@@ -278,13 +277,13 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Trees:
     names = list(FEATURES)
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches(frames):
+        for batch in pieces(frames):
             _, features = statistics(batch.column(1))
             columns = [batch.column(0), *[pa.array(c) for c in features.T]]
             yield pa.RecordBatch.from_arrays(columns, names=["label", *names])
 
     schema = "label int, " + ", ".join(f"{n} double" for n in names)
-    table = bounded_batches(labelled).mapInArrow(run, schema).toPandas()
+    table = labelled.mapInArrow(run, schema).toPandas()
     table = table.sort_values(["label", *names])  # the same trees whatever the order of tasks
     return fit_trees(table[names].to_numpy(float).reshape(-1, len(names)), table["label"].to_numpy(float), list(FEATURES.values()))
 
@@ -307,19 +306,19 @@ def judge(
     schema = "doc_id bigint, " + ", ".join(f"{c} bigint" for c in COUNTS)
     schema += ", base_failed boolean, score double, kept boolean"
     run = _judging(trees, min_words, max_repeated_percent, keep_from, whole=False)
-    return bounded_batches(rows).mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema)
 
 
 def keep_good(docs: DataFrame, trees: Trees, **rules) -> DataFrame:
     """The rows of ``docs`` that are kept, with all their columns, in one pass."""
     rules = {"min_words": MIN_WORDS, "max_repeated_percent": MAX_REPEATED_PERCENT, "keep_from": KEEP_FROM} | rules
     run = _judging(trees, *rules.values(), whole=True, text=docs.columns.index("text"))
-    return bounded_batches(docs).mapInArrow(run, docs.schema)
+    return docs.mapInArrow(run, docs.schema)
 
 
 def _judging(trees: Trees, min_words, max_repeated_percent, keep_from, whole: bool, text: int = 1):
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches(frames):
+        for batch in pieces(frames):
             counts, features = statistics(batch.column(text))
             words, repeated = counts["n_words"], counts["n_repeat_words"]
             failed = (words < min_words) | (100 * repeated > max_repeated_percent * words)

@@ -43,7 +43,6 @@ def result(spark):
 
 def whole_ids(texts, end):
     coder = Tokenizer.from_file(tokenizer_path())
-    coder.encode_special_tokens = True
     found = coder.encode_batch(list(texts.values()), add_special_tokens=False)
     return {i: np.array([*e.ids, end], "<u4") for i, e in zip(texts, found, strict=True)}
 
@@ -233,3 +232,11 @@ def test_pipeline_drops_planted_passages(spark):
     for i, text, _ in rows:
         assert found[i].text == (text if i % 40 or not i else f"own {i}\n{short}")
         assert found[i].n_chars == len(found[i].text)
+
+
+def test_queries_leave_the_session_as_it_is(spark):
+    before = {k: v for k, v in spark.conf.getAll.items() if k.startswith("spark.sql")}
+    for name, run in queries().items():
+        if name.startswith("op"):
+            run(spark, SF_DIR).limit(1).collect()
+            assert {k: v for k, v in spark.conf.getAll.items() if k.startswith("spark.sql")} == before, name
