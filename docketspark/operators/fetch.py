@@ -63,36 +63,24 @@ def choose_available(
 ) -> DataFrame:
     """Take the preferred address if it exists, else the fallback; null if neither does.
 
-    ``available`` holds a column ``url``. Both addresses of a filing lie in its folder, so
-    the plan and the addresses are moved once, by folder, and a filing meets the addresses
-    of its folder only. That partitioning also serves to merge repeated rows of the plan.
-    A caller who skips other types gets no fallback.
+    ``available`` holds a column ``url``; repeats and nulls do no harm. Each address is looked
+    up by a plain join on it, so nothing is gathered and a listing may be as long, and as
+    flat, as it is. Rows of the plan that are repeated count once. A caller who skips other
+    types gets no fallback.
     """
     columns = plan.columns
-
-    def folder(url: Column) -> Column:
-        return F.xxhash64(F.regexp_replace(url, "[^/]*$", ""))
-
+    wanted = to_fetch(plan).distinct()
+    spare = F.lit(None).cast("string") if skip_not_preferred else F.col("fallback_url")
     # Stands in for an address that need not be looked up; null keys would all
     # meet in one task.
-    nowhere = F.pmod(F.xxhash64("accession_number"), F.lit(_NO_URL_PARTS))
-    address = F.coalesce("file_url", "fallback_url")
-    key = F.when(address.isNull(), nowhere).otherwise(folder(address))
-    wanted = to_fetch(plan).withColumn("_folder", key)
-    wanted = wanted.repartition("_folder").distinct()
-    listed = available.where(F.col("url").isNotNull())
-    exists = listed.groupBy(folder(F.col("url")).alias("_folder")).agg(
-        F.collect_set("url").alias("_urls")
-    )
-    found = wanted.join(exists, "_folder", "left")
+    nowhere = F.concat(F.lit("\t"), F.pmod(F.xxhash64("accession_number"), F.lit(_NO_URL_PARTS)))
+    listed = available.where(F.col("url").isNotNull()).select("url").distinct()
 
-    def if_listed(address: Column) -> Column:
-        return F.when(F.array_contains("_urls", address), address)
+    def looked_up(rows: DataFrame, address: Column, name: str) -> DataFrame:
+        found = listed.select(F.col("url").alias(name))
+        return rows.join(found, F.coalesce(address, nowhere) == F.col(name), "left")
 
-    first = if_listed(F.col("file_url"))
-    spare = F.lit(None).cast("string") if skip_not_preferred else if_listed(F.col("fallback_url"))
-    checked = found.withColumn("_first", first)
-    checked = checked.withColumn("_spare", F.when(F.col("_first").isNull(), spare))
+    checked = looked_up(looked_up(wanted, F.col("file_url"), "_first"), spare, "_spare")
     return checked.select(
         *columns,
         F.coalesce("_first", "_spare").alias("fetched_url"),

@@ -195,7 +195,11 @@ ORACLES = {
     ),
     "search_rejects": "select 'no access: ' || c_name as reason from customer where c_acctbal < 0",
     "search_broken": """
-        select 'neither hits nor an error' as reason, count(*) as n from orders""",
+        select kind, 'neither hits nor an error' as reason, sum(n)::bigint as n
+        from (select count(distinct o_orderkey // 100) as n from orders
+              union all select count(*) from customer where c_acctbal < 0),
+             (select unnest(['cut', 'renamed']) as kind)
+        group by kind""",
     "search_no_amendments": _with(
         ["v_filings"], f"select {_HIT} from v_filings where file_type = 'S-1'"
     ),
@@ -560,10 +564,10 @@ ORACLES = {
                                  lpad(cast(page_id // 20 as varchar), 18, '0')
                                    as accession_number from pages)))""",
     "links_left_alone": """
-        select page_id, '<a href="' || case page_id % 4
-                 when 0 then 'mailto:a@b.example/' || cast(page_id as varchar)
-                 when 1 then '#part' when 2 then 'https://other.example/x?y#z'
-                 else 'https://f.example/d/ex1.htm' end || '">x</a>' as html
+        select page_id, replace(html, '<a href="/', '<a href="' || case page_id % 4
+                 when 0 then 'mailto:a@b.example/' when 1 then '#'
+                 when 2 then regexp_extract(url, '^[a-z]+:') || '//other.example/'
+                 else regexp_extract(url, '^[a-z]+://[^/]*') || '/' end) as html
         from pages""",
     "document_store_twice": """
         select lpad(cast(page_id % 50 as varchar), 10, '0') || '/8-K/'
