@@ -36,7 +36,7 @@ from docketspark.sinks.tables import (
 )
 from docketspark.sinks.text_index import read_text_index, write_text_index
 from docketspark.sources import archive_source as archive_format
-from docketspark.sources import archives, index_files, search, securities, submissions
+from docketspark.sources import archives, blocks, index_files, search, securities, submissions
 from docketspark.sources import entities as entity_files
 from docketspark.sources import facts as fact_files
 from docketspark.sources.files import list_stored_files, locate, stored_files_of
@@ -152,6 +152,21 @@ def catalog_written(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _dated(spark.read.parquet(f"{root}/catalog").select(*_FILING))
 
 
+@query
+def submissions_with_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Companies put together from main documents and older blocks, of which some are missing
+    and some not named."""
+    main, older = feeds.sharded_submissions(spark, sf_dir)
+    found = blocks.all_filings(blocks.parse_main(main), blocks.parse_blocks(older, "name"))
+    return _dated(found.select(*_FILING, F.get("file_num", 0).alias("file_number"), "older"))
+
+
+@query
+def submission_blocks_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    main, older = feeds.sharded_submissions(spark, sf_dir)
+    return blocks.block_report(blocks.parse_main(main), blocks.parse_blocks(older, "name"))
+
+
 @query
 def newest_n_overall(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _dated(selection.newest(feeds.catalog(spark, sf_dir), 100).select(*_FILING))

@@ -20,6 +20,8 @@ from docketspark.sources.files import locate
 # Orders per submission document and per search-result page, suppliers per ticker file.
 SUBMISSION_RANGE = 65_536
 PAGE_RANGE = 100
+# Orders per block of a company's filings.
+BLOCK_RANGE = 256
 TICKER_RANGE = 1000
 # Pages per archive.
 ARCHIVE_PAGES = 20
@@ -98,6 +100,31 @@ def submission_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grouped.select("cik", "page", F.to_json(doc).alias("v"))
 
 
+def sharded_submissions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Main documents ``v`` and block documents ``name, v`` of companies whose older filings
+    are in blocks, by ranges of orders. Of the blocks some are missing and some not named."""
+    names = {
+        "form": "file_type", "accessionNumber": "accession_number", "filingDate": "filing_date",
+        "primaryDocument": "primary_document", "fileNumber": "file_number",
+    }
+    filing = F.struct(*[F.col(column).alias(name) for name, column in names.items()])
+    rows = filings(spark, sf_dir).withColumn("page", F.expr(f"order_no div {BLOCK_RANGE}"))
+    pages = rows.groupBy("cik", "page").agg(F.sort_array(F.collect_list(filing)).alias("f"))
+    pages = pages.select("cik", "page", F.struct(*[F.col(f"f.{n}").alias(n) for n in names]).alias("block"))
+    last = pages.groupBy("cik").agg(F.max("page").alias("last"))
+    placed = pages.join(last, "cik").withColumn(
+        "name", F.concat(F.lit("CIK"), "cik", F.lit("-submissions-"), padded(F.col("page"), 6), F.lit(".json"))
+    )
+    older = placed.where("page < last")
+    named = older.where("page % 7 <> 3").groupBy("cik").agg(
+        F.collect_list(F.struct("name", F.size("block.form").alias("filingCount"))).alias("files")
+    )
+    main = placed.where("page = last").join(named, "cik", "left")
+    doc = F.struct("cik", F.struct(F.col("block").alias("recent"), "files").alias("filings"))
+    blocks = older.where("page % 5 <> 4").select("name", F.to_json("block").alias("v"))
+    return main.select(F.to_json(doc).alias("v")), blocks
+
+
 def search_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON result envelopes ``v``: pages of hits, and one error per indebted customer."""
     base = filings(spark, sf_dir)

@@ -22,6 +22,11 @@ _VIEWS = {
                  || lpad(cast(o_custkey as varchar), 10, '0') || '/'
                  || lpad(cast(o_orderkey as varchar), 18, '0') as base_url
         from orders""",
+    # Filings by block of a company; the last block is the recent one.
+    "v_blocks": """
+        select *, order_no // 256 as page,
+               max(order_no // 256) over (partition by cik) as last
+        from v_filings""",
     "v_index": """
         select cik, replace(file_type, '/', '.') as form_type, file_number,
                cik || '/' || replace(file_type, '/', '.') || '/' || accession_number || '/'
@@ -92,6 +97,7 @@ _VIEWS = {
 
 _NEEDS = {
     "v_index_years": ["v_filings"],
+    "v_blocks": ["v_filings"],
     "v_index": ["v_filings"],
     "v_index_dup": ["v_index"],
     "v_present": ["v_index"],
@@ -247,6 +253,18 @@ ORACLES = {
         select term, count(distinct doc_id) as n_docs, count(*) as n,
                cast(min(place) as int) as first_place, cast(max(place) as int) as last_place
         from places group by term""",
+    "submissions_with_blocks": _with(
+        ["v_blocks"],
+        f"""select {_FILING}, file_number, page < last as older from v_blocks
+            where page = last or (page % 5 <> 4 and page % 7 <> 3)""",
+    ),
+    "submission_blocks_report": _with(
+        ["v_blocks"],
+        """select distinct case when page % 5 = 4 then cik end as cik,
+             'CIK' || cik || '-submissions-' || lpad(cast(page as varchar), 6, '0') || '.json' as block,
+             case when page % 5 = 4 then 'named and missing' else 'present and not named' end as reason
+           from v_blocks where page < last and (page % 5 = 4) <> (page % 7 = 3)""",
+    ),
     "unknown_forms": _with(
         ["v_filings"],
         """select root_form as form_type, count(*) as n_filings from v_filings
