@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docketspark.functions.columns import ColumnLike, as_column
@@ -123,3 +123,45 @@ def unknown_forms(filings: DataFrame, known: DataFrame, form: str = "form_type")
     )
     names = known.select("form_type").distinct().withColumn("_known", F.lit(True))
     return counts.join(names, "form_type", "left").where(F.col("_known").isNull()).drop("_known")
+
+
+def _shortened(names: Column, times: int) -> Column:
+    """The names and all that is left of them when up to ``times`` signs are taken away."""
+    out = names
+    for _ in range(times):
+        less = F.transform(
+            names,
+            lambda name: F.transform(
+                F.filter(F.sequence(F.lit(1), F.length(name) + 1), lambda i: i <= F.length(name)),
+                lambda i: F.concat(F.substring(name, F.lit(1), i - 1), F.substring(name, i + 1, F.length(name))),
+            ),
+        )
+        names = F.array_distinct(F.flatten(less))
+        out = F.concat(out, names)
+    return F.array_distinct(out)
+
+
+def nearest_known(
+    unknown: DataFrame, known: DataFrame, max_distance: int = 2, form: str = "form_type"
+) -> DataFrame:
+    """``unknown`` (distinct forms) with the known form it was most likely meant to be:
+    ``nearest`` and ``distance`` (edits), null where none is within ``max_distance`` edits.
+    Of equally near ones the first by name.
+
+    Names within so many edits share what is left of them when as many signs are taken away
+    from each, so only names that meet there are compared, never all with all. A name of n
+    signs has about n ** max_distance / 2 such remains. Names are compared in upper case; a
+    null form has no nearest one, and null names are no names.
+    """
+    names = known.where(F.col(form).isNotNull()).select(F.col(form).alias("_name")).distinct()
+    upper = _shortened(F.array(F.upper("_name")), max_distance)
+    left = names.select("_name", F.explode(upper).alias("_rest"))
+    asked = unknown.where(F.col(form).isNotNull()).select(F.col(form).alias("_asked")).distinct()
+    rest = _shortened(F.array(F.upper("_asked")), max_distance)
+    right = asked.select("_asked", F.explode(rest).alias("_rest"))
+    pairs = right.join(left, "_rest").select("_asked", "_name").distinct()
+    distance = F.levenshtein(F.upper("_asked"), F.upper("_name"))
+    near = pairs.withColumn("_distance", distance).where(F.col("_distance") <= max_distance)
+    best = near.groupBy("_asked").agg(F.min(F.struct("_distance", "_name")).alias("_best"))
+    found = unknown.join(best, F.col(form) == F.col("_asked"), "left")
+    return found.withColumns({"nearest": F.col("_best._name"), "distance": F.col("_best._distance")}).drop("_asked", "_best")

@@ -281,6 +281,25 @@ def unknown_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return selection.unknown_forms(feeds.catalog(spark, sf_dir), known)
 
 
+@query
+def unknown_forms_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names with slips of the pen, and what they were most likely meant to be: the known
+    names are the brands and types of parts."""
+    part = feeds.table(spark, sf_dir, "part")
+    known = part.select(F.explode(F.array("p_brand", "p_type")).alias("form_type")).distinct()
+    key, name = F.col("p_partkey"), F.when(F.col("p_partkey") % 2 == 0, F.col("p_brand")).otherwise(F.col("p_type"))
+    at = (key % 5 + 2).cast("int")
+    written = (
+        F.when(key % 4 == 0, F.concat(F.left("n", at), F.substring("n", at + 2, F.length("n"))))
+        .when(key % 4 == 1, F.concat(F.left("n", at), F.lit("x"), F.substring("n", at + 1, F.length("n"))))
+        .when(key % 4 == 2, F.lower("n"))
+        .otherwise(F.concat(F.lit("zz-"), "n"))
+    )
+    forms = part.select(key, name.alias("n")).select(written.alias("form_type"))
+    unknown = selection.unknown_forms(forms, known)
+    return selection.nearest_known(unknown, known)
+
+
 @query
 def preferred_type_default(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = feeds.catalog(spark, sf_dir)

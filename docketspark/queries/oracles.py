@@ -270,6 +270,27 @@ ORACLES = {
         """select root_form as form_type, count(*) as n_filings from v_filings
            where root_form not in ('10-K', '10-Q') group by 1""",
     ),
+    "unknown_forms_nearest": """
+        with known as (
+          select distinct unnest([p_brand, p_type]) as name from part
+        ), named as (
+          select p_partkey as k, case p_partkey % 2 when 0 then p_brand else p_type end as n,
+                 cast(p_partkey % 5 + 2 as int) as cut
+          from part
+        ), written as (
+          select case k % 4 when 0 then substr(n, 1, cut) || substr(n, cut + 2)
+                   when 1 then substr(n, 1, cut) || 'x' || substr(n, cut + 1)
+                   when 2 then lower(n) else 'zz-' || n end as form_type
+          from named
+        ), unknown as (
+          select form_type, count(*) as n_filings from written
+          where form_type not in (select name from known) group by 1
+        ), pairs as (
+          select form_type, name, levenshtein(upper(form_type), upper(name)) as d from unknown, known
+        )
+        select u.form_type, n_filings, arg_min(name, row(d, name)) filter (d <= 2) as nearest,
+               cast(min(d) filter (d <= 2) as int) as distance
+        from unknown u join pairs p on p.form_type = u.form_type group by all""",
     "preferred_type_default": _with(
         ["v_filings"],
         """select accession_number, root_form,

@@ -398,3 +398,28 @@ def test_document_store_rows_and_members(spark):
     assert member.file_path == "0000000001/10-K.A/000000000120000007/d/m.xml"
     assert member.content_length == 2 and member.cik == "0000000001"
     assert (member.form_type, member.accession_number) == ("10-K.A", "000000000120000007")
+
+
+def plain_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row = row, [i]
+        for j, y in enumerate(b, 1):
+            row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (x != y)))
+    return row[-1]
+
+
+@pytest.mark.parametrize("most", [1, 2])
+def test_nearest_known_forms_are_those_of_all_pairs(spark, most):
+    known = ["10-K", "10-Q", "8-K", "S-1", "SC 13G", "SC 13D", "DEF 14A", "NT 10-K", "4", "424B3", "424B5", "", None]
+    asked = ["10K", "10-KK", "8 K", "s-1", "SC13G", "SC 13", "DEF14A", "NT10-K", "44", "5", "424B", "X", "", None, "É-1", "10-k"]
+    names = spark.createDataFrame([(n,) for n in known], "form_type string")
+    forms = spark.createDataFrame([(n, 1) for n in asked], "form_type string, n_filings int")
+    found = {r.form_type: (r.nearest, r.distance) for r in selection.nearest_known(forms, names, most).collect()}
+    expected = {}
+    for name in asked:
+        pairs = [(plain_distance(name.upper(), k.upper()), k) for k in known if k is not None] if name is not None else []
+        near = min((p for p in pairs if p[0] <= most), default=(None, None))
+        expected[name] = (near[1], near[0])
+    assert found == expected
+    assert selection.nearest_known(forms.where("false"), names).collect() == []
