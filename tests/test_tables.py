@@ -309,3 +309,47 @@ def test_unordered_feed_counts_what_it_drops(spark, tmp_path):
     deliveries = [document(k, [1, 2], day) for k, day in enumerate(["2020-06-01", "2020-06-02", "2019-01-01"], 1)]
     out, dropped = feed(spark, tmp_path, deliveries, "unordered")
     assert out.count() + dropped == 6 and dropped > 0
+
+
+def test_content_is_not_moved_when_the_store_is_read(spark, tmp_path):
+    """Superseded places are broadcast; beyond their limit rows are joined by place."""
+    store = str(tmp_path / "store")
+    rows = [(f"p{i}", "1", "8-K", "a", "m", 0, b"old" * 10, 30) for i in range(50)]
+    first = spark.createDataFrame(rows, tables.DOCUMENTS)
+    tables.write_documents(first, store, "1")
+    tables.write_documents(first.where("file_path < 'p2'").withColumn("content", F.lit(b"new")), store, "2")
+    found = tables.read_documents(spark, store)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "BroadcastExchange" in plan
+    want = {(f"p{i}", b"new" if f"p{i}" < "p2" else b"old" * 10) for i in range(50)}
+    assert {(r.file_path, bytes(r.content)) for r in found.collect()} == want
+
+
+def test_places_beyond_the_limit_are_joined(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "SUPERSEDED", 0)
+    store = str(tmp_path / "store")
+    one = spark.createDataFrame([("p", "1", "8-K", "a", "m", None, b"x", 1), (None, "1", "8-K", "a", "m", 0, b"n", 1)], tables.DOCUMENTS)
+    for batch in ("1", "2"):
+        tables.write_documents(one, store, batch)
+    assert sorted(str(r.file_path) for r in tables.read_documents(spark, store).collect()) == ["None", "p"]
+
+
+def test_addresses_of_a_flat_listing(spark):
+    """All addresses in one folder, repeated ones and nulls: each filing still finds its own."""
+    from docketspark.operators.fetch import choose_available
+
+    plan = spark.createDataFrame(
+        [(f"a{i}", f"http://x/d/{i}.htm", f"http://x/d/{i}.txt", False) for i in range(200)]
+        + [("none", None, None, False), ("none", None, None, False), ("skipped", "http://x/d/1.htm", None, True)],
+        "accession_number string, file_url string, fallback_url string, skip boolean",
+    )
+    urls = [f"http://x/d/{i}.htm" for i in range(0, 200, 2)] + [f"http://x/d/{i}.txt" for i in range(0, 200, 3)]
+    available = spark.createDataFrame([(u,) for u in [*urls, *urls, None]], "url string")
+    found = {r.accession_number: (r.fetched_url, r.used_fallback) for r in choose_available(plan, available).collect()}
+    assert found["none"] == (None, None) and "skipped" not in found and len(found) == 201
+    for i in range(200):
+        first, spare = f"http://x/d/{i}.htm", f"http://x/d/{i}.txt"
+        want = (first, False) if i % 2 == 0 else (spare, True) if i % 3 == 0 else (None, None)
+        assert found[f"a{i}"] == want
+    only = {r.accession_number: r.fetched_url for r in choose_available(plan, available, True).collect()}
+    assert only["a3"] is None and only["a2"] == "http://x/d/2.htm"
