@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docketspark.llm.common import batches, pieces, shuffle_parts, sliced, text_of
+from docketspark.llm.common import batches, small_batches, shuffle_parts, sliced, text_of
 from docketspark.llm.tokens import tokenizer_path
 from docketspark.session import scratch_dir
 
@@ -313,7 +313,7 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
         table: list = [None] * (max(ranks.values()) + 1)
         for data, rank in ranks.items():
             table[rank] = data
-        for batch in pieces(frames, DECODED_ROWS):
+        for batch in small_batches(frames, DECODED_ROWS):
             out = [
                 None if ids is None else b"".join(map(table.__getitem__, np.frombuffer(ids, "<u4").tolist()))
                 for ids in batch.column(1).to_pylist()

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docketspark.llm.common import pieces, shuffle_parts, text_of
+from docketspark.llm.common import small_batches, shuffle_parts, text_of
 
 # Strings that mark turns here or in other templates. Fixed values.
 CONTROL = ["<|", "|>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "<s>", "</s>"]
@@ -102,7 +102,7 @@ def prefix_examples(turns: DataFrame, target: str = TARGET_ROLE) -> DataFrame:
             more = [(*waiting, False)] if waiting else []
             return [*more, (conv, example, n_turns, prefix, None, None, True)]
 
-        for batch in pieces(frames):
+        for batch in small_batches(frames):
             for conv_id, is_target, head, body in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if n_turns and conv_id != conv:
                     rows += closed()
@@ -151,7 +151,7 @@ def read_back(examples: DataFrame) -> DataFrame:
     import hashlib
 
     def spans(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(frames):
+        for batch in small_batches(frames):
             out = []
             columns = batch.select(["conv_id", "example", "text", "loss_start", "loss_end", "last"])
             for conv, example, text, start, end, last in zip(*(c.to_pylist() for c in columns.columns), strict=True):
@@ -177,7 +177,7 @@ def read_back(examples: DataFrame) -> DataFrame:
             arrays = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)]
             return pa.RecordBatch.from_arrays(arrays, names=names)
 
-        for batch in pieces(frames):
+        for batch in small_batches(frames):
             for conv_id, _, loss, n_turns, turns, formatted in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if not any_row or conv_id != conv:
                     conv, digest, chars, any_row = conv_id, hashlib.sha256(), 0, True

@@ -161,7 +161,7 @@ def sliced(
             at = stop
 
 
-def pieces(
+def small_batches(
     frames: Iterator[pa.RecordBatch], rows: int = BATCH_ROWS
 ) -> Iterator[pa.RecordBatch]:
     """Batches of at most ``rows`` rows."""

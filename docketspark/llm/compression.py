@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docketspark.llm.common import pieces, text_of
+from docketspark.llm.common import small_batches, text_of
 from docketspark.llm.quality_rules import sample_of_labels
 
 # Labelled documents of each label that are looked at, at most; the even ones (in order of
@@ -126,7 +126,7 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
     labelled = wanted.join(F.broadcast(sample), "doc_id").select("doc_id", "label", "text")
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(frames):
+        for batch in small_batches(frames):
             cut = [pieces(t.encode()) for t in batch.column(2).to_pylist()]
             few = [
                 [p[i * len(p) // SAMPLE_PIECES] for i in range(SAMPLE_PIECES)]
@@ -158,7 +158,7 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
 def _scoring(model: Model, text: int, whole: bool, threshold: float):
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         good, bad = model.compressors()
-        for batch in pieces(frames):
+        for batch in small_batches(frames):
             texts = [(t or "").encode() for t in batch.column(text).to_pylist()]
             score = model.score(np.array([measure(pieces(t), good, bad) for t in texts]))
             if whole:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docketspark.llm.common import (
-    pieces,
+    small_batches,
     mix64,
     range_hashes,
     shuffle_parts,
@@ -111,7 +111,7 @@ def fingerprints(docs: DataFrame, gram: int = GRAM, window: int = WINDOW) -> Dat
     """
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(frames):
+        for batch in small_batches(frames):
             ends, hashes, positions = winnow(batch.column(1).to_pylist(), gram, window)
             cuts = pa.array(ends, pa.int32())
             yield pa.RecordBatch.from_arrays(
@@ -220,7 +220,7 @@ def compare_with_edits(docs: DataFrame, gram: int = GRAM, window: int = WINDOW)
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, doc_ids, texts = None, [], []
-        for batch in pieces(frames):
+        for batch in small_batches(frames):
             for at, own, doc_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if at != part:
                     part, doc_ids, texts, closed = at, [], [], False

@@ -15,7 +15,7 @@ from docketspark.llm.common import (
     fresh,
     lower_ascii,
     mix64,
-    pieces,
+    small_batches,
     shuffle_parts,
     stored,
     text_of,
@@ -111,7 +111,7 @@ def _summaries(docs: DataFrame, words: int) -> tuple[DataFrame, DataFrame]:
                 counts += np.bincount(np.concatenate(waiting), minlength=len(counts)).astype(np.uint32)
             held, waiting = 0, []
 
-        for batch in pieces(frames):
+        for batch in small_batches(frames):
             sets = shingle_sets(batch.column(1), words)
             rows = np.zeros((len(sets), 3 + ANCHORS), np.uint64)
             for i, found in enumerate(sets):
@@ -159,7 +159,7 @@ def _classes(counts: DataFrame) -> np.ndarray:
 
         size = (1 << SKETCH_BITS) // SLICES
         sums: dict[int, np.ndarray] = {}
-        for batch in pieces(frames):
+        for batch in small_batches(frames):
             for at, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 part = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), "<u4")
                 if at not in sums:
@@ -178,7 +178,7 @@ def _classes(counts: DataFrame) -> np.ndarray:
 
     def add_u8(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
-        for batch in pieces(frames):
+        for batch in small_batches(frames):
             for at, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 part = np.frombuffer(blob, "<u8")
                 sums[at] = sums[at] + part if at in sums else part.copy()
@@ -238,7 +238,7 @@ def verified(docs: DataFrame, pairs: DataFrame, classes, words: int, percent: in
                 known[doc] = (found, [in_order(found, o, table)[:size] for o in range(ORDERS)])
             return known[doc]
 
-        for batch in pieces(frames):
+        for batch in small_batches(frames):
             ids_a, ids_b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             sets_a = shingle_sets(batch.column(2), words)
             # Rows are sorted by b, so most of them repeat the text of the one before.
@@ -285,7 +285,7 @@ def _prefixes(docs: DataFrame, classes, words: int, percent: int, windows: int)
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = classes.value
-        for batch in pieces(frames):
+        for batch in small_batches(frames):
             sets = shingle_sets(batch.column(2), words)
             tokens = [
                 (in_order(s, 0, table)[: prefix_length(len(s), percent)] & _LOW48)
@@ -420,7 +420,7 @@ def sharing_all_prefixes(docs: DataFrame, pairs: DataFrame, classes, words: int,
 
     def prefixes(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = classes.value
-        for batch in pieces(frames, _SHINGLED):
+        for batch in small_batches(frames, _SHINGLED):
             sets = shingle_sets(batch.column(1), words)
             columns = [batch.column(0)]
             for order in range(1, ORDERS):
@@ -429,7 +429,7 @@ def sharing_all_prefixes(docs: DataFrame, pairs: DataFrame, classes, words: int,
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", *names])
 
     def intersect(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(frames, _SHINGLED):
+        for batch in small_batches(frames, _SHINGLED):
             stays = np.ones(batch.num_rows, bool)
             for name in names:
                 both = zip(batch.column(f"{name}_a").to_pylist(), batch.column(f"{name}_b").to_pylist(), strict=True)

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docketspark.llm.common import pieces, text_of
+from docketspark.llm.common import small_batches, text_of
 from docketspark.llm.tokens import encoder, tokenizer_path
 
 CAPACITY = 2048
@@ -143,7 +143,7 @@ def pack(
             arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
             return pa.RecordBatch.from_arrays(arrays, names=_names())
 
-        for batch in pieces(frames):
+        for batch in small_batches(frames):
             for doc_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 ids = encode(text) + end
                 window.append((doc_id, ids))

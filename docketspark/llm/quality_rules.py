@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docketspark.llm.common import (
-    pieces,
+    small_batches,
     mix64,
     range_hashes,
     text_of,
@@ -277,7 +277,7 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Trees:
     names = list(FEATURES)
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(frames):
+        for batch in small_batches(frames):
             _, features = statistics(batch.column(1))
             columns = [batch.column(0), *[pa.array(c) for c in features.T]]
             yield pa.RecordBatch.from_arrays(columns, names=["label", *names])
@@ -318,7 +318,7 @@ def keep_good(docs: DataFrame, trees: Trees, **rules) -> DataFrame:
 
 def _judging(trees: Trees, min_words, max_repeated_percent, keep_from, whole: bool, text: int = 1):
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(frames):
+        for batch in small_batches(frames):
             counts, features = statistics(batch.column(text))
             words, repeated = counts["n_words"], counts["n_repeat_words"]
             failed = (words < min_words) | (100 * repeated > max_repeated_percent * words)

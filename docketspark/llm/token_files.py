@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from docketspark.llm.common import pieces, shuffle_parts, text_of
+from docketspark.llm.common import small_batches, shuffle_parts, text_of
 from docketspark.llm.tokens import encoder, tokenizer_path
 from docketspark.session import scratch_dir
 from docketspark.sources.files import open_input
@@ -251,7 +251,7 @@ def write_tokens(
             arrays = [pa.array([v], t) for v, t in zip(row.values(), types, strict=True)]
             return pa.RecordBatch.from_arrays(arrays, names=list(row))
 
-        for batch in pieces(frames):
+        for batch in small_batches(frames):
             for doc_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 new = encode(text) + end
                 if ids and held + len(new) // 4 > segment_ids:
@@ -302,7 +302,7 @@ def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
     refused."""
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(frames, SEGMENT_ROWS):
+        for batch in small_batches(frames, SEGMENT_ROWS):
             for first, content in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 segment = Segment(content)
                 ids = segment.checked().astype("<u4").tobytes()
@@ -348,7 +348,7 @@ def tokens_at(spark: SparkSession, folder: str, positions: DataFrame) -> DataFra
     )
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(frames):
+        for batch in small_batches(frames):
             for first, places, path in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 with open_input(unquote(path)) as file:
                     segment = SegmentFile(file)
