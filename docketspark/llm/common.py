@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -164,7 +165,12 @@ def sliced(
 def small_batches(
     frames: Iterator[pa.RecordBatch], rows: int = BATCH_ROWS
 ) -> Iterator[pa.RecordBatch]:
-    """Batches of at most ``rows`` rows."""
+    """Batches of at most ``rows`` rows. At the end a worker, which later tasks use again,
+    gives memory that is free back to the system."""
     for batch in batches(frames):
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim is not None:
+        trim(0)
