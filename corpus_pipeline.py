@@ -12,10 +12,19 @@ from pyspark.sql import functions as F
 from docketspark.llm import boilerplate, compression, ngram_join, packing, quality_rules
 from docketspark.llm.common import stored
 
+# Rows of an Arrow batch in the pipeline's session: five stages share executors, and batches
+# of 10,000 whole documents would stand beside each other in them.
+BATCH_ROWS = "256"
+
+
+def _session(spark: SparkSession) -> SparkSession:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    return spark
+
 
 def quality_rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules and the trees keep."""
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    labels = _session(spark).read.parquet(f"{sf_dir}/labels.parquet")
     return quality_rules.keep_good(docs, quality_rules.learn(docs, labels))
 
 
@@ -58,7 +67,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of the last stage over the table ``documents``."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = _session(spark).read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
     return STAGES[-1][1](spark, docs, sf_dir)
