@@ -3,6 +3,7 @@ from __future__ import annotations
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from docketspark.operators import entities
 from docketspark.sources import entities as entity_files
@@ -276,3 +277,10 @@ def test_documents_that_give_nothing_are_rejects(spark):
     assert sorted(r.reason for r in fact_files.facts_rejects(docs).collect()) == [
         "no company key", "no facts", "not a facts document",
     ]
+
+
+def test_rejected_documents_are_parsed_once(spark):
+    docs = spark.createDataFrame([('{"cik": 5}',), (None,)], "v string").repartition(2)
+    found = fact_files.facts_rejects(docs.select(F.concat("v", F.lit(" ")).alias("v")))
+    assert sorted(r.reason for r in found.collect()) == ["no facts", "not a facts document"]
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1
