@@ -45,6 +45,23 @@ BROADCAST_IDS = 2_000_000
 
 _SEEDS = mix64(np.arange(1, 1 + ORDERS + ANCHORS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _LOW48 = np.uint64((1 << 48) - 1)
+# Bits of a set's parities, 64 in a column.
+PARITY_BITS = 512
+_PARITIES = [f"s{i}" for i in range(PARITY_BITS // 64)]
+_PARITY_TYPES = "".join(f", {s} bigint" for s in _PARITIES)
+# Tokens before a token that go with it.
+_BEFORE = ["p1", "p2", "p3"]
+
+
+def parities(found: np.ndarray) -> np.ndarray:
+    """A set's shingles dealt to ``PARITY_BITS`` cells, and whether each cell's number is odd.
+
+    A shingle that only one of two sets has turns one bit, so two sets differ in at least as
+    many shingles as their parities differ in bits.
+    """
+    cells = mix64(found ^ np.uint64(0xD6E8FEB86659FD93)) % np.uint64(PARITY_BITS)
+    odd = np.bincount(cells.astype(np.int64), minlength=PARITY_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view("<i8")
 
 
 def shingle_sets(column: pa.Array, words: int = WORDS) -> list[np.ndarray]:
@@ -281,7 +298,7 @@ def _leader_pairs(sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _prefixes(docs: DataFrame, classes, words: int, percent: int, windows: int) -> DataFrame:
-    """``window, doc_id, n, tokens``: each document's prefix under the first order."""
+    """``window, doc_id, n, tokens``, parities: each document's prefix under the first order."""
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = classes.value
@@ -293,14 +310,15 @@ def _prefixes(docs: DataFrame, classes, words: int, percent: int, windows: int)
                 for s in sets
             ]
             sizes = pa.array([len(s) for s in sets], pa.int64())
+            bits = np.array([parities(s) for s in sets], np.int64).reshape(-1, len(_PARITIES))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), sizes, pa.array(tokens, pa.binary())],
-                names=["window", "doc_id", "n", "tokens"],
+                [batch.column(0), batch.column(1), sizes, pa.array(tokens, pa.binary()), *map(pa.array, bits.T.copy())],
+                names=["window", "doc_id", "n", "tokens", *_PARITIES],
             )
 
     window = F.pmod(F.xxhash64("doc_id"), F.lit(windows)).alias("window")
     rows = docs.where("doc_id is not null").select(window, "doc_id", "text")
-    return rows.mapInArrow(run, "window bigint, doc_id bigint, n bigint, tokens binary").where("n > 0")
+    return rows.mapInArrow(run, "window bigint, doc_id bigint, n bigint, tokens binary" + _PARITY_TYPES).where("n > 0")
 
 
 def _tokens(column) -> np.ndarray:
@@ -324,7 +342,7 @@ def _entries(prefixes: pa.Table, groups: pa.Table):
     rows = np.repeat(np.arange(len(kept)), sizes)
     places = np.arange(len(rows)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     found = {"doc_id": docs[kept], "comp": comps[at[kept]] if len(kept) else comps[:0]}
-    found["n"] = prefixes.column("n").to_numpy()[kept]
+    found |= {c: prefixes.column(c).to_numpy()[kept] for c in prefixes.column_names if c in ("n", *_PARITIES)}
     return found, _tokens(blobs), rows.astype(np.int64), places
 
 
@@ -358,6 +376,7 @@ def shared_tokens(prefixes: DataFrame, placed: DataFrame) -> DataFrame:
         columns = [window, tokens[starts].astype(np.int64), comps[starts], comps[ends]]
         return _chunked(pa.table([pa.array(c) for c in columns], names=["window", "token", "low", "high"]))
 
+    prefixes = prefixes.drop(*_PARITIES)
     sent = prefixes.groupBy("window").cogroup(placed.groupBy("window")).applyInArrow(
         of_windows, "window int, token bigint, low bigint, high bigint"
     )
@@ -369,25 +388,37 @@ def shared_tokens(prefixes: DataFrame, placed: DataFrame) -> DataFrame:
 
 
 def candidate_pairs(prefixes: DataFrame, groups: DataFrame, windows: int, percent: int) -> DataFrame:
-    """Pairs of documents of different components that share a prefix token.
+    """Pairs of documents of different components that share a prefix token."""
+    return meetings(prefixes, groups, windows, percent).distinct()
+
+
+def meetings(prefixes: DataFrame, groups: DataFrame, windows: int, percent: int) -> DataFrame:
+    """``candidate_pairs``, of which some come several times.
 
     Tokens that only one component has, nearly all, end with ``shared_tokens``. The others
     are reported to the windows that have them, whose documents then meet by token, as far as
-    the places of the token in both prefixes allow the sets to be similar.
+    the places of the token in both prefixes, and the parities of both sets, allow the sets
+    to be similar. Two documents do not meet at a token where one of the tokens just before it
+    is common to them as well: they meet there, or still earlier.
     """
 
     def live_entries(key, left: pa.Table, right: pa.Table) -> pa.Table:
         live = np.sort(right.column("token").drop_null().to_numpy())
         groups_of = right.filter(pc.is_valid(right.column("rep")))
-        names = ["token", "doc_id", "comp", "n", "left"]
+        names = ["token", "doc_id", "comp", "n", *_PARITIES, "left", *_BEFORE]
         if not len(live) or not len(left):
-            return pa.table([pa.array([], pa.int64())] * 5, names=names)
+            return pa.table([pa.array([], pa.int64())] * len(names), names=names)
         found, tokens, rows, places = _entries(left, groups_of)
         tokens = tokens.astype(np.int64)
         hit = live[np.minimum(np.searchsorted(live, tokens), len(live) - 1)] == tokens
         columns = [pa.array(tokens[hit])]
-        columns += [pa.array(found[c][rows[hit]]) for c in names[1:4]]
+        columns += [pa.array(found[c][rows[hit]]) for c in ("doc_id", "comp", "n", *_PARITIES)]
         columns.append(pa.array(found["n"][rows[hit]] - places[hit]))
+        tokens, rows = tokens[hit], rows[hit]
+        for back in range(1, len(_BEFORE) + 1):
+            before = np.full(len(tokens), -1, np.int64)
+            before[back:] = np.where(rows[back:] == rows[:-back], tokens[:-back], -1)
+            columns.append(pa.array(before))
         return _chunked(pa.table(columns, names=names))
 
     window = F.pmod(F.xxhash64("rep"), F.lit(windows)).alias("window")
@@ -398,7 +429,7 @@ def candidate_pairs(prefixes: DataFrame, groups: DataFrame, windows: int, percen
         live.select("window", nothing.alias("rep"), nothing.alias("comp"), "token")
     )
     entries = prefixes.groupBy("window").cogroup(told.groupBy("window")).applyInArrow(
-        live_entries, "token bigint, doc_id bigint, comp bigint, n bigint, left bigint"
+        live_entries, f"token bigint, doc_id bigint, comp bigint, n bigint{_PARITY_TYPES}, left bigint, p1 bigint, p2 bigint, p3 bigint"
     )
     entries = stored(entries, "live-entries")
     x, y = entries.alias("x"), entries.alias("y")
@@ -406,8 +437,13 @@ def candidate_pairs(prefixes: DataFrame, groups: DataFrame, windows: int, percen
     # Sets of which this is the first common token have at most the tokens from it on in
     # common. Where that is too few, it is too few for any later common token as well.
     enough = f"{100 + percent} * least(x.left, y.left) >= {percent} * (x.n + y.n)"
-    met = x.join(y, same & F.expr(_compatible("x.n", "y.n", percent)) & F.expr(enough))
-    return met.select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")).distinct()
+    # Similar sets differ in so few shingles, and in no more parities.
+    turned = " + ".join(f"bit_count(x.{s} ^ y.{s})" for s in _PARITIES)
+    near = f"{100 + percent} * ({turned}) <= {100 - percent} * (x.n + y.n)"
+    # A token before this one that both have lies earlier in both prefixes, where more is left.
+    first = " and ".join(f"(x.{p} < 0 or x.{p} not in ({', '.join(f'y.{q}' for q in _BEFORE)}))" for p in _BEFORE)
+    met = x.join(y, same & F.expr(_compatible("x.n", "y.n", percent)) & F.expr(enough) & F.expr(near) & F.expr(first))
+    return met.select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"))
 
 
 def sharing_all_prefixes(docs: DataFrame, pairs: DataFrame, classes, words: int, percent: int) -> DataFrame:

@@ -192,3 +192,25 @@ def test_no_text_meets_another_before_all_orders_agree(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "sharing_all_prefixes", watched)
     assert run(spark, rows) == slow_groups(rows)
     assert agreed[0] <= met[0]
+
+
+def test_parities_bound_the_difference_of_sets():
+    rng = np.random.default_rng(5)
+    for n, changed in ((40, 0), (40, 3), (900, 100), (3000, 2500)):
+        a = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64))
+        b = np.unique(np.concatenate([a[changed:], rng.integers(0, 1 << 63, changed).astype(np.uint64)]))
+        x, y = ngram_join.parities(a), ngram_join.parities(b)
+        turned = int(np.unpackbits((x ^ y).view(np.uint8)).sum())
+        assert turned <= len(np.setxor1d(a, b))
+        assert (turned == 0) == (changed == 0)
+
+
+def test_documents_meet_once_however_many_tokens_they_share(spark):
+    """Two documents of 400 shingles of which nearly all prefix tokens are common."""
+    tokens = np.arange(1, 101, dtype="<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+    names = "window bigint, doc_id bigint, n bigint, tokens binary" + ngram_join._PARITY_TYPES
+    bits = [int(b) for b in ngram_join.parities(np.arange(400, dtype=np.uint64))]
+    prefixes = spark.createDataFrame([(0, d, 400, bytearray(tokens), *bits) for d in (1, 2)], names)
+    groups = spark.createDataFrame([(1, 1), (2, 2)], "rep bigint, comp bigint")
+    met = ngram_join.meetings(prefixes, groups, 1, 75)
+    assert [tuple(r) for r in met.collect()] == [(1, 2)]
