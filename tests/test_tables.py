@@ -353,3 +353,18 @@ def test_addresses_of_a_flat_listing(spark):
         assert found[f"a{i}"] == want
     only = {r.accession_number: r.fetched_url for r in choose_available(plan, available, True).collect()}
     assert only["a3"] is None and only["a2"] == "http://x/d/2.htm"
+
+
+def test_facts_are_parsed_once_when_written(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def watched(frames):
+        for frame in frames:
+            seen.add(frame.num_rows)
+            yield frame
+
+    schema = "taxonomy string, tag string, cik string, `end` string, val string"
+    rows = [("dei", f"t{n % 3}", f"{n:010d}", "2020-01-01", "1") for n in range(30)]
+    tables.write_facts(spark.createDataFrame(rows, schema).mapInArrow(watched, schema), str(tmp_path / "facts"))
+    assert seen.value == 30
+    assert concept_facts(spark.read.parquet(str(tmp_path / "facts")), "dei", "t1").count() == 10
