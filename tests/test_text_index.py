@@ -89,3 +89,27 @@ def test_queries_are_phrases_of_words(query):
     phrases = parsed(query)
     assert all(p and all(WORDS.fullmatch(w) for w in p) for p in phrases)
     assert len({tuple(p) for p in phrases}) == len(phrases)
+
+
+def test_texts_are_taken_apart_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def watched(frames):
+        for frame in frames:
+            seen.add(frame.num_rows)
+            yield frame
+
+    rows = spark.createDataFrame([(n, f"a b{n} a") for n in range(40)], SCHEMA)
+    table = str(tmp_path / "words")
+    write_text_index(rows.mapInArrow(watched, SCHEMA), table, "1")
+    assert seen.value == 40
+    assert read_text_index(spark, table).count() == 80
+
+
+def test_documents_that_repeat_an_id_share_their_postings(spark, tmp_path):
+    rows = [(1, "a b"), (1, "b a a"), (2, "a"), (None, "a"), (3, None)]
+    for name, found in (("once", rows[1:]), ("twice", rows)):
+        write_text_index(spark.createDataFrame(found, SCHEMA), str(tmp_path / name), "1")
+    read = {n: {(r.term, r.doc_id): r.places for r in read_text_index(spark, str(tmp_path / n)).collect()} for n in ("once", "twice")}
+    assert read["once"] == {("a", 1): [1, 2], ("b", 1): [0], ("a", 2): [0]}
+    assert read["twice"] == {("a", 1): [0, 1, 2], ("b", 1): [0, 1], ("a", 2): [0]}
