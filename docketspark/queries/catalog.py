@@ -549,8 +549,14 @@ def index_check_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
 _INDEX = ["cik", "form_type", "file_number", "file_path", "filing_date"]
 
 
-def _index_in_batches(spark: SparkSession, sf_dir: str, table: str) -> None:
+def _index_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``feeds.index_by_year``, written: a test of a path would build it anew at each mention."""
     rows = feeds.index_by_year(spark, sf_dir)
+    rows.write.parquet(path := scratch_dir(spark, "by-year"))
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+def _index_in_batches(rows: DataFrame, table: str) -> None:
     early = F.col("filing_date") < F.lit("1996-07-01").cast("date")
     append_index(rows.where(early), table, "000001")
     append_index(rows.where(~early), table, "000002")
@@ -560,11 +566,12 @@ def _index_in_batches(spark: SparkSession, sf_dir: str, table: str) -> None:
 def index_check_in_place(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files of one year are missing: that year's folders are written anew, no other file."""
     table = f"{scratch_dir(spark, 'in-place')}/index"
-    _index_in_batches(spark, sf_dir, table)
+    rows = _index_by_year(spark, sf_dir)
+    _index_in_batches(rows, table)
     files = stored_entries(spark, table).select(F.col("_metadata.file_name").alias("file")).distinct()
     files.write.parquet(before := scratch_dir(spark, "files"))
     lost = F.col("file_path").rlike("/[0-9]{10}95[0-9]{6}/") & (feeds.order_in_path() % 3 == 0)
-    check_in_place(spark, table, feeds.index_by_year(spark, sf_dir).where(~lost).select("file_path"))
+    check_in_place(spark, table, rows.where(~lost).select("file_path"))
     now = stored_entries(spark, table).select(*_INDEX, F.col("_metadata.file_name").alias("file"))
     old = spark.read.parquet(before).withColumn("old", F.lit(True))
     marked = now.join(old, "file", "left").withColumn("rewritten", F.col("old").isNull())
@@ -586,9 +593,10 @@ def index_check_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The check looks at removed files only where the last snapshot was checked."""
     table = f"{scratch_dir(spark, 'changes')}/index"
     old, new = feeds.snapshots(spark, sf_dir)
-    _index_in_batches(spark, sf_dir, table)
+    rows = _index_by_year(spark, sf_dir)
+    _index_in_batches(rows, table)
     listed = scratch_dir(spark, "manifest")
-    write_snapshot(feeds.index_by_year(spark, sf_dir).join(old, "file_path", "left").select(
+    write_snapshot(rows.join(old, "file_path", "left").select(
         "file_path", "length", "modified"), listed, "one")
     write_snapshot(new, listed, "two")
     last, now = (read_snapshot(spark, listed, name) for name in ("one", "two"))

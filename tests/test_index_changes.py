@@ -149,3 +149,23 @@ def test_entries_without_a_path_go_with_the_full_check(spark, tmp_path):
     append_index(rows, name, "1")
     assert check_in_place(spark, name, spark.createDataFrame([(path(1, 93, 1),)], "file_path string")) == (1, 1)
     assert paths_of(spark, name) == [path(1, 93, 1)]
+
+
+def test_paths_of_the_derived_index_are_built_once(spark, tmp_path, monkeypatch):
+    """What the check of a stored index is given is read from paths that were written."""
+    from docketspark.queries import catalog
+
+    given, check = [], catalog.check_in_place
+
+    def watched(spark, table, manifest):
+        given.append(manifest._jdf.queryExecution().optimizedPlan().toString())
+        return check(spark, table, manifest)
+
+    monkeypatch.setattr(catalog, "check_in_place", watched)
+    orders = spark.range(30).selectExpr(
+        "id as o_orderkey", "id % 5 as o_custkey", "'O' as o_orderstatus", "'2-HIGH' as o_orderpriority",
+        "timestamp_ntz'1995-03-01 00:00:00' + make_dt_interval(int(id) * 40) as o_orderdate",
+    )
+    orders.write.parquet(str(tmp_path / "orders.parquet"))
+    assert 0 < catalog.index_check_in_place(spark, str(tmp_path)).count() < 30
+    assert "o_orderkey" not in given[0]
