@@ -15,10 +15,13 @@ from docketspark.llm.common import stored
 # Rows of an Arrow batch in the pipeline's session: five stages share executors, and batches
 # of 10,000 whole documents would stand beside each other in them.
 BATCH_ROWS = "256"
+# Rows of whole documents that a Parquet reader holds at a time, for the same reason.
+READER_ROWS = "512"
 
 
 def _session(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", READER_ROWS)
     return spark
 
 

@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docketspark.llm.common import (
-    batches,
     fresh,
+    give_back,
     lower_ascii,
     mix64,
     small_batches,
@@ -36,8 +36,10 @@ ANCHORS = 4
 # to every task, in this many bytes at any size of the corpus.
 SKETCH_BITS = 22
 SLICES = 64
-# Prefix tokens that one task holds together.
-WINDOW_TOKENS = 1_000_000
+# Prefix tokens that one task holds together; its arrays for them take some 130 bytes a token.
+WINDOW_TOKENS = 250_000
+# Bytes of texts that are cut into shingles together; the arrays for it take some 80 bytes a byte.
+SHINGLED_BYTES = 1 << 18
 # Documents, or pairs of prefixes, that are worked on at a time.
 _SHINGLED = 256
 # Identifiers that are broadcast when texts are looked up; more are joined by a shuffle.
@@ -65,7 +67,21 @@ def parities(found: np.ndarray) -> np.ndarray:
 
 
 def shingle_sets(column: pa.Array, words: int = WORDS) -> list[np.ndarray]:
-    """Sorted distinct shingles of each text, as 64-bit hashes."""
+    """Sorted distinct shingles of each text, as 64-bit hashes.
+
+    Texts are taken in runs of about ``SHINGLED_BYTES``, one text at least, so that what a
+    worker holds does not grow with the texts of a batch.
+    """
+    ends, at, sets = utf8_column(column)[1][1:], 0, []
+    while at < len(column):
+        before = ends[at - 1] if at else 0
+        stop = max(at + 1, int(np.searchsorted(ends, before + SHINGLED_BYTES, side="right")))
+        sets += _shingle_sets(column.slice(at, stop - at), words)
+        at = stop
+    return sets
+
+
+def _shingle_sets(column: pa.Array, words: int) -> list[np.ndarray]:
     data, offsets = utf8_column(column)
     data = lower_ascii(data)
     docs, starts, ends = word_ranges(data, offsets)
@@ -120,14 +136,7 @@ def _summaries(docs: DataFrame, words: int) -> tuple[DataFrame, DataFrame]:
     names = ["doc_id", "n", "d1", "d2", *anchors, "slice", "counts"]
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, held, waiting = np.zeros(1 << SKETCH_BITS, np.uint32), 0, []
-
-        def count() -> None:
-            nonlocal held, waiting, counts
-            if waiting:
-                counts += np.bincount(np.concatenate(waiting), minlength=len(counts)).astype(np.uint32)
-            held, waiting = 0, []
-
+        counts = np.zeros(1 << SKETCH_BITS, np.uint32)
         for batch in small_batches(frames):
             sets = shingle_sets(batch.column(1), words)
             rows = np.zeros((len(sets), 3 + ANCHORS), np.uint64)
@@ -138,15 +147,11 @@ def _summaries(docs: DataFrame, words: int) -> tuple[DataFrame, DataFrame]:
                     rows[i, 2] = mix64(found ^ np.uint64(0x5851F42D4C957F2D)).sum()
                     for j in range(ANCHORS):
                         rows[i, 3 + j] = mix64(found ^ _SEEDS[ORDERS + j]).min()
-                    waiting.append(_cells(found))
-                    held += len(found)
-            if held > 2_000_000:
-                count()
+                    np.add.at(counts, _cells(found), np.uint32(1))
             signed = rows.view(np.int64)
             columns = [batch.column(0), *[pa.array(signed[:, j]) for j in range(3 + ANCHORS)]]
             none = [pa.nulls(len(sets), pa.int32()), pa.nulls(len(sets), pa.binary())]
             yield pa.RecordBatch.from_arrays([*columns, *none], names=names)
-        count()
         if counts.any():
             squeeze = zstandard.ZstdCompressor(level=1).compress
             blobs = [squeeze(part.astype("<u4").tobytes()) for part in np.split(counts, SLICES)]
@@ -364,6 +369,7 @@ def shared_tokens(prefixes: DataFrame, placed: DataFrame) -> DataFrame:
     """
 
     def of_windows(key, left: pa.Table, right: pa.Table) -> pa.Table:
+        give_back()  # what the window before this one took
         found, tokens, rows, _ = _entries(left, right)
         comps = found["comp"][rows]
         order = np.lexsort((comps, tokens))
@@ -403,6 +409,7 @@ def meetings(prefixes: DataFrame, groups: DataFrame, windows: int, percent: int)
     """
 
     def live_entries(key, left: pa.Table, right: pa.Table) -> pa.Table:
+        give_back()
         live = np.sort(right.column("token").drop_null().to_numpy())
         groups_of = right.filter(pc.is_valid(right.column("rep")))
         names = ["token", "doc_id", "comp", "n", *_PARITIES, "left", *_BEFORE]

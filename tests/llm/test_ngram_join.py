@@ -1,5 +1,6 @@
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -214,3 +215,33 @@ def test_documents_meet_once_however_many_tokens_they_share(spark):
     groups = spark.createDataFrame([(1, 1), (2, 2)], "rep bigint, comp bigint")
     met = ngram_join.meetings(prefixes, groups, 1, 75)
     assert [tuple(r) for r in met.collect()] == [(1, 2)]
+
+
+def traced_peak(work) -> int:
+    tracemalloc.start()
+    try:
+        work()
+        return tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_memory_for_shingles_does_not_grow_with_the_texts_of_a_batch(monkeypatch):
+    rng = np.random.default_rng(5)
+    texts = [" ".join(map(str, rng.integers(0, 10**9, 6000))) for _ in range(64)] + ["", None, "one"]
+    column = pa.array(texts, pa.string())
+    # Sets of 8 bytes for each word of 10 and the arrays of one run, not of all 4 MB.
+    assert traced_peak(lambda: ngram_join.shingle_sets(column)) < 50_000_000
+    runs = ngram_join.shingle_sets(column.slice(1))
+    monkeypatch.setattr(ngram_join, "SHINGLED_BYTES", 1 << 30)
+    whole = ngram_join.shingle_sets(column.slice(1))
+    assert [s.tolist() for s in runs] == [s.tolist() for s in whole]
+
+
+def test_memory_for_a_window_of_prefixes_is_bounded():
+    each = 75
+    rows = ngram_join.WINDOW_TOKENS // each
+    blob = np.random.default_rng(6).integers(0, 256, (rows, 6 * each), np.uint8)
+    prefixes = pa.table({"doc_id": np.arange(rows), "tokens": pa.array([b.tobytes() for b in blob], pa.binary())})
+    groups = pa.table({"rep": np.arange(rows), "comp": np.arange(rows)})
+    assert traced_peak(lambda: ngram_join._entries(prefixes, groups)) < 25_000_000
