@@ -18,8 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from docketspark.llm.common import small_batches, shuffle_parts, text_of
-from docketspark.llm.tokens import encoder, tokenizer_path
+from docketspark.llm.common import shuffle_parts, sliced, small_batches, text_of
+from docketspark.llm.tokens import SLICE_BYTES, SLICE_ROWS, encoder, tokenizer_path
 from docketspark.session import scratch_dir
 from docketspark.sources.files import open_input
 
@@ -232,13 +232,12 @@ def write_tokens(
     spark = docs.sparkSession
     folder = folder or scratch_dir(spark, "tokens")
     path = path or tokenizer_path()
-    end = np.array([end_id], "<u4").tobytes()
     schema = "part int, segment int, name string, n_docs bigint, n_ids bigint"
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encode = encoder(path).encode
+        encode = encoder(path).encode_column
         part, made, held, doc_ids, ids = TaskContext.get().partitionId(), 0, 0, [], []
 
         def written() -> pa.RecordBatch:
@@ -251,9 +250,9 @@ def write_tokens(
             arrays = [pa.array([v], t) for v, t in zip(row.values(), types, strict=True)]
             return pa.RecordBatch.from_arrays(arrays, names=list(row))
 
-        for batch in small_batches(frames):
-            for doc_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                new = encode(text) + end
+        for batch in sliced(small_batches(frames, SLICE_ROWS), "text", SLICE_BYTES):
+            known = encode(batch.column("text"), end_id)
+            for doc_id, new in zip(batch.column("doc_id").to_pylist(), known, strict=True):
                 if ids and held + len(new) // 4 > segment_ids:
                     yield written()
                     held, doc_ids, ids = 0, [], []

@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import regex
 import tiktoken
@@ -12,7 +13,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from docketspark.llm import byte_bpe, packing, token_files
+from docketspark.llm import byte_bpe, packing, token_files, tokens
 from docketspark.llm.tokens import Remembered, WordEncoder, tokenizer_path
 
 WORD = WordEncoder(tokenizer_path())
@@ -50,6 +51,34 @@ def test_word_encoder_on_any_text(text):
     assert np.frombuffer(WORD.encode(text), "<u4").tolist() == whole_ids(text)
 
 
+COLUMN = [*TEXTS, None, "a×b ×, é, ÷ Ñ!? É\u0301 J\u030c x\u0301.", "<|endoftext|>x", "word, " * 40, "日本" * 300, "é" * 700]
+
+
+@pytest.mark.parametrize("size", [1, 7, 64, 1 << 21])
+@pytest.mark.parametrize("end", [None, 2])
+def test_a_column_gives_the_tokenizers_ids(monkeypatch, size, end):
+    monkeypatch.setattr(tokens, "SLICE_BYTES", size)
+    for column in (pa.array(COLUMN), pa.array(["cut off", *COLUMN, "too"]).slice(1, len(COLUMN)), pa.array([], pa.string())):
+        found = WordEncoder(tokenizer_path()).encode_column(column, end)
+        assert [np.frombuffer(x, "<u4").tolist() for x in found] == [whole_ids(t, end) for t in column.to_pylist()]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(alphabet=st.one_of(st.characters(codec="utf-8"), st.sampled_from(" \n\x0b\x0c\x1c\x85'.,aBéÑ×÷<|>")), max_size=20), max_size=6))
+def test_a_column_of_any_texts(texts):
+    found = WORD.encode_column(pa.array(texts, pa.string()), 1)
+    assert [np.frombuffer(x, "<u4").tolist() for x in found] == [whole_ids(t, 1) for t in texts]
+
+
+def test_a_batch_asks_for_each_distinct_piece_once(monkeypatch):
+    asked = []
+    coder = WordEncoder(tokenizer_path())
+    monkeypatch.setattr(coder, "pieces", type("P", (), {"__getitem__": lambda self, p: asked.append(p) or coder._piece(p)})())
+    column = pa.array(["the same words, again and again, it's"] * 500)
+    assert len(set(coder.encode_column(column))) == 1
+    assert sorted(asked) == sorted([b"the", b"same", b"words", b",", b"again", b"and", b"it's"])
+
+
 def test_remembered_forgets_and_computes_again():
     calls = []
     known = Remembered(lambda k: calls.append(k) or k * 2, 3)
