@@ -9,8 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docketspark.llm.common import small_batches, text_of
-from docketspark.llm.tokens import encoder, tokenizer_path
+from docketspark.llm.common import sliced, small_batches, text_of
+from docketspark.llm.tokens import SLICE_BYTES, SLICE_ROWS, encoder, tokenizer_path
 
 CAPACITY = 2048
 # Tokens that a task packs together. The number of sequences a piece can choose
@@ -125,12 +125,11 @@ def pack(
     if capacity < 1 or capacity & (capacity - 1):
         raise ValueError("capacity must be a power of two")
     path = path or tokenizer_path()
-    end = np.array([end_id], "<u4").tobytes()
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encode = encoder(path).encode
+        encode = encoder(path).encode_column
         sequence = TaskContext.get().partitionId() << 40
         window, tokens = [], 0
 
@@ -143,9 +142,9 @@ def pack(
             arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
             return pa.RecordBatch.from_arrays(arrays, names=_names())
 
-        for batch in small_batches(frames):
-            for doc_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                ids = encode(text) + end
+        for batch in sliced(small_batches(frames, SLICE_ROWS), "text", SLICE_BYTES):
+            known = encode(batch.column("text"), end_id)
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), known, strict=True):
                 window.append((doc_id, ids))
                 tokens += len(ids) // 4
                 if tokens >= window_tokens:

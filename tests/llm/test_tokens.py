@@ -145,6 +145,24 @@ def test_pack_covers_every_row(spark):
     assert sum(r.length for r in rows if r.doc_id == 0) == 2 * len(whole_ids(TEXTS[0], 1))
 
 
+@pytest.mark.parametrize("run", ["pack", "write_tokens"])
+def test_documents_are_encoded_a_batch_at_a_time(spark, tmp_path, monkeypatch, run):
+    class Columns:
+        """Ids of columns alone; no text by itself."""
+
+        def __init__(self, coder):
+            self.encode_column = coder.encode_column
+
+    monkeypatch.setattr(packing if run == "pack" else token_files, "encoder", lambda path: Columns(WordEncoder(path)))
+    docs = spark.createDataFrame(DOCS, SCHEMA)
+    if run == "pack":
+        found = packing.pack(docs).agg(F.sum("length")).first()[0]
+    else:
+        folder = token_files.write_tokens(docs, f"file://{tmp_path}/store", path=tokenizer_path())
+        found = token_files.segments(spark, folder).agg(F.sum("n_ids")).first()[0]
+    assert found == sum(len(whole_ids(t, 1)) for _, t, _ in DOCS)
+
+
 def test_pack_empty_and_bad_capacity(spark):
     docs = spark.createDataFrame([], SCHEMA)
     assert packing.pack(docs).collect() == []
