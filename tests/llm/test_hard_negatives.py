@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from docketspark.llm import hard_negatives as hn
 
+_WORD = (1 << 64) - 1
 SCHEMA = "vec_id bigint, embedding array<float>, label int, rank int, part string"
 
 
@@ -125,3 +126,81 @@ def test_a_hot_vector_gives_a_bounded_number_of_keys(spark, monkeypatch):
     assert run(spark, rows, F.col("vec_id") % 10 == 0, 2) == slow(rows, lambda i: i % 10 == 0)
     anchors = sum(i % 10 == 0 for i, _, _ in rows)
     assert all(n <= anchors * 16 * 20 for n in counted)
+
+
+def test_nothing_is_broadcast_and_keys_grow_with_cells_not_blocks(spark, monkeypatch):
+    """Every row is a block of its own: an anchor still gets its keys once a cell."""
+    monkeypatch.setattr(hn, "ROWS", 1)
+    rows = vectors(6, 200)
+    seen = []
+    original = hn._secondary_sort
+
+    def watched(keys):
+        seen.append((keys.count(), keys._jdf.queryExecution().toString()))
+        return original(keys)
+
+    monkeypatch.setattr(hn, "_secondary_sort", watched)
+    assert run(spark, rows, F.col("vec_id") % 10 == 0, 2) == slow(rows, lambda i: i % 10 == 0)
+    anchors, cells = 20, hn.CELLS * spark.sparkContext.defaultParallelism
+    assert len(seen) == 2 and all("Broadcast" not in plan and "Join" not in plan for _, plan in seen)
+    assert seen[0][0] <= anchors * 5 * cells and seen[1][0] <= anchors * (15 * cells + 5)
+
+
+def test_more_anchors_than_a_task_holds(spark, monkeypatch):
+    monkeypatch.setattr(hn, "ROWS", 16)
+    monkeypatch.setattr(hn, "ANCHORS", 4)
+    monkeypatch.setattr(hn, "CELL_BYTES", 2000)
+    monkeypatch.setattr(hn, "PART_BYTES", 1000)
+    rows = vectors(7, 200)
+    assert run(spark, rows, F.col("vec_id") % 5 == 0) == slow(rows, lambda i: i % 5 == 0)
+
+
+@pytest.mark.parametrize("n_labels", [1, 3, 40])
+@pytest.mark.parametrize("largest", [2, 3000, 1 << 15, 1 << 31, 1 << 40])
+def test_tiles_keep_the_first_rows_of_every_window(monkeypatch, n_labels, largest):
+    """Ties, hot rows, repeated rows, ids with several rows; single, double and exact products."""
+    for name, value in {"ANCHORS": 8, "FIRST": 3, "COLUMNS": 11, "LABEL": 4, "FLOOD": 4, "WAITING": 10}.items():
+        monkeypatch.setattr(hn, name, value)
+    rng = np.random.default_rng(n_labels + largest % 97)
+    n, kind = 120, "<f8" if largest > 1 << 31 else "<i4" if largest >= 1 << 15 else "<i2"
+    ids, labels = rng.integers(0, 100, n), rng.integers(0, n_labels, n)
+    matrix = rng.integers(-largest, largest, (n, 3), dtype=np.int64).clip(1 - largest, largest - 1)
+    matrix[rng.random(n) < 0.4] = matrix[0]
+    whole = np.array([hash((int(i), int(b), *m.tolist())) & _WORD for i, b, m in zip(ids, labels, matrix)], np.uint64)
+
+    def block(at, windows=None):
+        at = at[np.lexsort((whole[at], ids[at], labels[at]))]
+        row = {"n": len(at), "width": 3, "kind": kind, "ids": ids[at].tobytes(), "labels": labels[at].tobytes(),
+               "rows": whole[at].tobytes(), "vectors": matrix[at].astype(kind).tobytes(),
+               "windows": b"" if windows is None else windows[at].tobytes()}
+        return hn.Block(row)
+
+    first = np.unique(ids, return_index=True)[1][:40]
+    spread = 3 * largest * largest
+    limits = np.sort(np.array([[[rng.integers(-spread, spread) if spread < 1 << 62 else int(rng.integers(-(1 << 62), 1 << 62)) for _ in range(2)] for _ in range(3)] for _ in range(n)], np.int64), axis=2)
+    limits[rng.random((n, 3)) < 0.2] = [1, 0]
+    limits[::4, 0] = -(1 << 63), (1 << 63) - 1
+    for same_label, windows, k in ((True, None, 3), (False, limits, 2)):
+        tiles = hn._tiles([block(first[:25], windows), block(first[25:], windows)], k, same_label)
+        at = np.concatenate([rng.permutation(n), rng.permutation(n)[:30]])
+        for part in np.array_split(at, 9):
+            for tile in tiles:
+                tile.meet(hn._Rows(block(part)))
+        found = set()
+        for tile in tiles:
+            tile.settle()
+            line, scores, other, rows = tile.held
+            found |= set(zip(tile.ids[line].tolist(), scores.tolist(), other.tolist(), rows.tolist(), strict=True))
+        expected = set()
+        for a in first.tolist():
+            scored = []
+            for b in range(n):
+                if (labels[a] == labels[b]) == same_label and not (same_label and ids[a] == ids[b]):
+                    score = sum(int(p) * int(q) for p, q in zip(matrix[a], matrix[b]))
+                    score = min(max(score, -(1 << 63)), (1 << 63) - 1)
+                    scored.append((-score, int(ids[b]), int(whole[b])))
+            scored = sorted(set(scored))
+            for least, most in [(-(1 << 63), 1 << 63)] if windows is None else windows[a].tolist():
+                fit = [s for s in scored if least <= -s[0] <= most][:k]
+                expected |= {(int(ids[a]), -s, i, r) for s, i, r in fit}
+        assert found == expected and (expected or n_labels == 1)
