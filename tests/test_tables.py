@@ -368,3 +368,40 @@ def test_facts_are_parsed_once_when_written(spark, tmp_path):
     tables.write_facts(spark.createDataFrame(rows, schema).mapInArrow(watched, schema), str(tmp_path / "facts"))
     assert seen.value == 30
     assert concept_facts(spark.read.parquet(str(tmp_path / "facts")), "dei", "t1").count() == 10
+
+
+@pytest.mark.parametrize("share", [1.0, 0.3, 0.0])
+def test_facts_lie_in_ranges_found_from_a_sample(spark, tmp_path, monkeypatch, share):
+    """A sample gives the bounds: all facts are stored, computed once, and never kept meanwhile."""
+    monkeypatch.setattr(tables, "PART_ROWS", 40)
+    monkeypatch.setattr(tables, "LEAST_PART_ROWS", 20)
+    kept = []
+    monkeypatch.setattr(tables, "scratch_dir", lambda _, label: kept.append(str(tmp_path / label)) or kept[-1])
+    seen = spark.sparkContext.accumulator(0)
+
+    def watched(frames):
+        for frame in frames:
+            seen.add(frame.num_rows)
+            yield frame
+
+    schema = "taxonomy string, tag string, cik string, `end` string, val string"
+    rows = [
+        (f"x{n % 2}", None if n % 11 == 0 else f"t{n % 3}é", f"{n % 50:010d}", f"20{n % 20:02d}-01-01", str(n))
+        for n in range(300)
+    ] + [("x1", "hot", "1", "2020-01-01", str(n)) for n in range(300, 400)]
+    df = spark.createDataFrame(rows, schema).repartition(3)
+    sample = spark.createDataFrame(rows[:: round(1 / share)] if share else [], schema)
+    path = str(tmp_path / "facts")
+    tables.write_facts(df.mapInArrow(watched, schema), path, sample, share or 1.0)
+    assert seen.value == 400 and len(kept) == 1
+    assert spark.read.parquet(kept[0]).columns == ["_key"]
+    stored = spark.read.parquet(path).select("taxonomy", "tag", "cik", "end", "val", F.input_file_name().alias("f"))
+    found = [tuple(r) for r in stored.collect()]
+    assert sorted(map(repr, (r[:5] for r in found))) == sorted(map(repr, rows))
+    files = {}
+    for taxonomy, tag, cik, end, _, file in found:
+        files.setdefault(file, []).append((taxonomy, tag or "", cik, end))
+    assert all(keys == sorted(keys) for keys in files.values())
+    spans = sorted((keys[0], keys[-1]) for keys in files.values())
+    assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+    assert len(files) >= (8 if share else 2)
