@@ -1,11 +1,13 @@
 from __future__ import annotations
 
+import datetime
 import json
 
 import pytest
 from pyspark.sql import functions as F
 
 from docketspark.operators import entities
+from docketspark.queries import feeds
 from docketspark.sources import entities as entity_files
 from docketspark.sources import facts as fact_files
 from docketspark.sources import index_files, search, securities, submissions
@@ -284,3 +286,29 @@ def test_rejected_documents_are_parsed_once(spark):
     found = fact_files.facts_rejects(docs.select(F.concat("v", F.lit(" ")).alias("v")))
     assert sorted(r.reason for r in found.collect()) == ["no facts", "not a facts document"]
     assert found._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1
+
+
+def test_fact_documents_leave_out_nulls_and_quote_odd_numbers(spark, tmp_path):
+    schema = (
+        "l_suppkey bigint, l_orderkey bigint, l_quantity double, l_extendedprice double,"
+        " l_discount double, l_tax double, l_returnflag string, l_shipdate timestamp_ntz"
+    )
+    day = datetime.datetime(1998, 5, 6)
+    rows = [(7, 12, 5.0, 70.0, 0.04, float("nan"), "R", day), (None, None, None, float("inf"), -0.0, 1e-9, None, None)]
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "lineitem.parquet"))
+    found = sorted((r.v for r in feeds.fact_documents(spark, str(tmp_path)).collect()), key=len)
+    rest = '"end":"1998-05-06","accn":"000000000000000012","fy":1998,"fp":"Q2","form":"10-K"'
+
+    def document(cik, facts):
+        a, b, c, d, e, f, g = facts
+        return (
+            f'{{{cik}"facts":{{"us-gaap":{{"Revenues":{{"units":{{"USD":[{a},{b}]}}}},"UnitsSold":{{"units":{{"shares":[{c}]}}}}}},'
+            f'"dei":{{"Rates":{{"units":{{"pure":[{d}],"USD":[{e}]}}}},"Shares":{{"units":{{"pure":[{f},{g}]}}}}}}}}}}'
+        )
+
+    first = ("70.0", "140.0", "5.0", "0.04", '"NaN"', "10.0", "5.0E-10")
+    second = ('"val":"Infinity",', '"val":"Infinity",', "", '"val":-0.0,', '"val":1.0E-9,', '"val":"Infinity",', "")
+    assert found == [
+        document("", [f'{{{val}"form":"10-Q"}}' for val in second]),
+        document('"cik":7,', [f'{{"val":{val},{rest}}}' for val in first]),
+    ]
